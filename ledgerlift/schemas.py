@@ -62,8 +62,12 @@ DOMAINS = {
 }
 
 
+_TYPES = {"string": T.StringType(), "bigint": T.LongType(), "double": T.DoubleType(), "date": T.DateType()}
+
+
 def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    pairs = [field.split() for field in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 SOURCE_SCHEMAS = {
