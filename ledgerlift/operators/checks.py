@@ -164,7 +164,7 @@ def contradiction_rule(as_of: date) -> RowRule:
     )
 
 
-def standard_rules(key: str, as_of: date) -> list[RowRule]:
+def standard_rules(key: str, as_of: date, earliest: date = EARLIEST_DATE) -> list[RowRule]:
     """Every single-table rule of a domain."""
     domain = DOMAINS[key]
     rules = blank_rules(domain.required)
@@ -172,7 +172,7 @@ def standard_rules(key: str, as_of: date) -> list[RowRule]:
         rules.append(negative_rule())
     if key in ("finance", "expenses"):
         rules.append(allowed_values_rule())
-    rules += date_range_rules(domain.dates, as_of)
+    rules += date_range_rules(domain.dates, as_of, earliest)
     rules.append(format_rule())
     if key == "hr":
         rules.append(contradiction_rule(as_of))
@@ -265,7 +265,8 @@ def number_findings(findings: DataFrame) -> DataFrame:
     over one row per task.
     """
     order = ["check_order", "table_name", "column_name", "row_identifier", "description"]
-    ranged = findings.orderBy(*order)
+    # a sort reads its input twice (range bounds, then rows), so the checks run before it
+    ranged = stage(findings, "findings-unsorted").orderBy(*order)
     placed = stage(
         ranged.withColumn("task", F.spark_partition_id()).withColumn(
             "place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))),

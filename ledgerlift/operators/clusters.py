@@ -16,6 +16,7 @@ from ledgerlift.functions.similarity import similarity
 from ledgerlift.functions.text import strip_space
 from ledgerlift.operators.duplicates import (
     company_rows, exact_groups, initial_groups, initial_keyed, name_keys, person_rows, similar_names,
+    staged_names,
 )
 from ledgerlift.operators.skew import LIST_LENGTH, join_to_groups, list_in_parts
 from ledgerlift.schemas import HIRE_GAP_DAYS, NAME_THRESHOLD
@@ -88,19 +89,19 @@ def _small_star(edges: DataFrame, known: int) -> DataFrame:
 # --- edges ------------------------------------------------------------------------
 
 
-def _initial_edges(rows: DataFrame) -> DataFrame:
+def _initial_edges(rows: DataFrame, known: int) -> DataFrame:
     """Names under one (first token, letter) key that has both sides, linked as a star."""
     groups = initial_groups(rows)
     named = initial_keyed(rows).groupBy("hub", "norm").agg(F.min("id").alias("node"))
     # the least node of the key stands for it
     hub = F.least(F.col("short.id"), F.col("full.id"))
     linked = join_to_groups(named.select("hub", "node"), groups.select("hub", "n", hub.alias("b")),
-                            "hub", "n", "node")
+                            "hub", "n", "node", known)
     return linked.select(F.col("node").alias("a"), "b")
 
 
-def _similar_edges(rows: DataFrame, threshold: float, metric: str, blocked: bool) -> DataFrame:
-    pairs = similar_names(name_keys(rows), threshold, metric, blocked)
+def _similar_edges(rows: DataFrame, threshold: float, metric: str, blocked: bool, known: int) -> DataFrame:
+    pairs = similar_names(name_keys(rows, known), threshold, metric, blocked)
     heads = exact_groups(rows).select("norm", "first_id")
     across = pairs.select(F.col("early.norm").alias("norm_a"), F.col("late.norm").alias("norm_b")).filter(
         F.col("norm_a") != F.col("norm_b")).distinct()
@@ -111,12 +112,12 @@ def _similar_edges(rows: DataFrame, threshold: float, metric: str, blocked: bool
     )
 
 
-def _node_clusters(rows: DataFrame, edges: DataFrame) -> DataFrame:
+def _node_clusters(rows: DataFrame, edges: DataFrame, known: int) -> DataFrame:
     """(id, norm, cluster): each row under the least id of its component."""
     heads = exact_groups(rows).select("norm", F.col("first_id").alias("node"), "n")
     found = heads.join(connected_components(edges), "node", "left").select(
         "norm", F.coalesce("component", "node").alias("cluster"), "n")
-    return join_to_groups(rows.select("id", "norm"), found, "norm", "n", "id").select("id", "norm", "cluster")
+    return join_to_groups(rows.select("id", "norm"), found, "norm", "n", "id", known).select("id", "norm", "cluster")
 
 
 # --- persons ----------------------------------------------------------------------
@@ -125,14 +126,14 @@ def _node_clusters(rows: DataFrame, edges: DataFrame) -> DataFrame:
 def person_clusters(hr: DataFrame, threshold: float = NAME_THRESHOLD, metric: str = "ratio",
                     fuzzy: bool = True) -> DataFrame:
     """(id, cluster, cluster_rows) for rows in clusters of two and more."""
-    rows = person_rows(hr)
-    edges = _initial_edges(rows)
+    rows, known = staged_names(person_rows(hr))
+    edges = _initial_edges(rows, known)
     if fuzzy:
-        edges = edges.unionByName(_similar_edges(rows, threshold, metric, blocked=True))
-    members = _node_clusters(rows, edges)
+        edges = edges.unionByName(_similar_edges(rows, threshold, metric, True, known))
+    members = _node_clusters(rows, edges, known)
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("cluster_rows")).filter(
         F.col("cluster_rows") > 1)
-    return join_to_groups(members.select("id", "cluster"), sizes, "cluster", "cluster_rows", "id").select(
+    return join_to_groups(members.select("id", "cluster"), sizes, "cluster", "cluster_rows", "id", known).select(
         "id", "cluster", "cluster_rows")
 
 
@@ -275,15 +276,16 @@ def vendor_clusters(procurement: DataFrame, threshold: float = NAME_THRESHOLD, m
     Rows of one vendor id belong together whatever their names. Names without a usable
     token stay alone with their vendor id.
     """
-    named = procurement.filter(F.col("vendor_id").isNotNull() & F.col("vendor_name").isNotNull()).groupBy(
-        "vendor_id", "vendor_name").agg(F.count(F.lit(1)).alias("name_orders"))
-    rows = company_rows(named)
+    # the one pass over the orders
+    named = stage(procurement.filter(F.col("vendor_id").isNotNull() & F.col("vendor_name").isNotNull()).groupBy(
+        "vendor_id", "vendor_name").agg(F.count(F.lit(1)).alias("name_orders")), "vendor-names")
+    rows, known = staged_names(company_rows(named))
     heads = exact_groups(rows).select("norm", F.col("first_id").alias("b"), "n")
     # a vendor joins the group of each of its names
-    edges = join_to_groups(rows.select("id", "norm"), heads, "norm", "n", "id").select(
+    edges = join_to_groups(rows.select("id", "norm"), heads, "norm", "n", "id", known).select(
         F.col("id").alias("a"), "b").distinct()
     if fuzzy:
-        edges = edges.unionByName(_similar_edges(rows, threshold, metric, blocked=False))
+        edges = edges.unionByName(_similar_edges(rows, threshold, metric, False, known))
     components = connected_components(edges)
     orders = named.groupBy("vendor_id").agg(F.sum("name_orders").alias("orders"))
     return (

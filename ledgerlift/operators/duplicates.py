@@ -58,6 +58,12 @@ def company_rows(df: DataFrame, row_id: str = "vendor_id", name: str = "vendor_n
     return name_rows(df.select(row_id, name).distinct(), row_id, name, COMPANY_SUFFIXES, trim=False)
 
 
+def staged_names(rows: DataFrame) -> tuple[DataFrame, int]:
+    """The name rows written once, for the several rules that read them, and their number."""
+    written = stage(rows, "name-rows")
+    return written, written.count()
+
+
 # --- rule 1: equal normalised names -------------------------------------------
 
 
@@ -69,11 +75,11 @@ def exact_groups(rows: DataFrame) -> DataFrame:
     )
 
 
-def exact_matches(rows: DataFrame) -> DataFrame:
+def exact_matches(rows: DataFrame, known: int | None = None) -> DataFrame:
     """(id, shown, other_id, other_name): every row but the first of its normalised name."""
     groups = exact_groups(rows).filter(F.col("n") > 1)
     return (
-        join_to_groups(rows.select("id", "shown", "norm"), groups, "norm", "n", "id")
+        join_to_groups(rows.select("id", "shown", "norm"), groups, "norm", "n", "id", known)
         .filter(F.col("id") > F.col("first_id"))
         .select("id", "shown", F.col("first_id").alias("other_id"), F.col("first_name").alias("other_name"))
     )
@@ -114,12 +120,12 @@ def initial_groups(rows: DataFrame) -> DataFrame:
         "n", F.col("short_rows") + F.col("full_rows"))
 
 
-def abbreviation_matches(rows: DataFrame) -> DataFrame:
+def abbreviation_matches(rows: DataFrame, known: int | None = None) -> DataFrame:
     """(id, shown, other_id, other_name): rows with an earlier row on the other side."""
     keyed = initial_keyed(rows).select("id", "shown", "hub", "is_short")
     other = F.when(F.col("is_short"), F.col("full")).otherwise(F.col("short"))
     return (
-        join_to_groups(keyed, initial_groups(rows), "hub", "n", "id")
+        join_to_groups(keyed, initial_groups(rows), "hub", "n", "id", known)
         .select("id", "shown", other.alias("other"))
         .filter(F.col("id") > F.col("other.id"))
         .select("id", "shown", F.col("other.id").alias("other_id"), F.col("other.shown").alias("other_name"))
@@ -129,7 +135,7 @@ def abbreviation_matches(rows: DataFrame) -> DataFrame:
 # --- rule 3: similar names --------------------------------------------------------
 
 
-def name_keys(rows: DataFrame) -> DataFrame:
+def name_keys(rows: DataFrame, known: int | None = None) -> DataFrame:
     """Distinct compared names with their earliest row (``head``) and latest id.
 
     ``free`` is the earliest row that is not the first row of its normalised name: pairs
@@ -143,7 +149,7 @@ def name_keys(rows: DataFrame) -> DataFrame:
     )
     second = (
         join_to_groups(rows.select("id", "shown", "raw", "norm"),
-                       exact_groups(rows).filter(F.col("n") > 1), "norm", "n", "id")
+                       exact_groups(rows).filter(F.col("n") > 1), "norm", "n", "id", known)
         .filter(F.col("id") > F.col("first_id"))
         .groupBy("raw").agg(F.min(F.struct("id", "shown")).alias("free"))
     )
@@ -279,12 +285,12 @@ def similar_names(keys: DataFrame, threshold: float = NAME_THRESHOLD, metric: st
 
 
 def fuzzy_matches(rows: DataFrame, threshold: float = NAME_THRESHOLD, metric: str = "ratio",
-                  blocked: bool = True, abbreviations: bool = True) -> DataFrame:
+                  blocked: bool = True, abbreviations: bool = True, known: int | None = None) -> DataFrame:
     """(id, shown, other_id, other_name, score): pairs no earlier rule has flagged.
 
     A row appears once per similar name, against the earliest row with that name.
     """
-    keys = name_keys(rows)
+    keys = name_keys(rows, known)
     pairs = similar_names(keys, threshold, metric, blocked)
     e, l = F.col("early"), F.col("late")
     same_norm = e["norm"] == l["norm"]
@@ -298,7 +304,7 @@ def fuzzy_matches(rows: DataFrame, threshold: float = NAME_THRESHOLD, metric: st
         "raw", F.col("free").alias("other"), F.lit(1.0).alias("score"))
     targets = across.unionByName(own).filter(F.col("other").isNotNull()).join(keys.select("raw", "n"), "raw")
     return (
-        join_to_groups(rows.select("id", "shown", "raw"), targets, "raw", "n", "id")
+        join_to_groups(rows.select("id", "shown", "raw"), targets, "raw", "n", "id", known)
         .filter(F.col("id") > F.col("other.id"))
         .select("id", "shown", F.col("other.id").alias("other_id"),
                 F.col("other.shown").alias("other_name"), "score")
@@ -308,30 +314,31 @@ def fuzzy_matches(rows: DataFrame, threshold: float = NAME_THRESHOLD, metric: st
 # --- findings ---------------------------------------------------------------------
 
 
-def person_exact_findings(hr: DataFrame) -> DataFrame:
+def person_exact_findings(rows: DataFrame, known: int | None = None) -> DataFrame:
     d = DOMAINS["hr"]
     text = F.concat(F.lit("Name '"), F.col("shown"), F.lit("' matches "), F.col("other_id"), F.lit(" ('"),
                     F.col("other_name"), F.lit("') exactly once whitespace/case differences are ignored - "
                                                "likely the same person entered twice."))
-    return findings_from(exact_matches(person_rows(hr)), d.label, d.table, "name", "id",
+    return findings_from(exact_matches(rows, known), d.label, d.table, "name", "id",
                          "duplication", text, "high", "exact_name_match")
 
 
-def person_abbreviation_findings(hr: DataFrame) -> DataFrame:
+def person_abbreviation_findings(rows: DataFrame, known: int | None = None) -> DataFrame:
     d = DOMAINS["hr"]
     text = F.concat(F.lit("Name '"), F.col("shown"), F.lit("' appears to abbreviate the surname on "),
                     F.col("other_id"), F.lit(" ('"), F.col("other_name"),
                     F.lit("') to an initial - likely the same person entered twice."))
-    return findings_from(abbreviation_matches(person_rows(hr)), d.label, d.table, "name", "id",
+    return findings_from(abbreviation_matches(rows, known), d.label, d.table, "name", "id",
                          "duplication", text, "medium", "name_abbreviation")
 
 
-def person_fuzzy_findings(hr: DataFrame, threshold: float = NAME_THRESHOLD, metric: str = "ratio") -> DataFrame:
+def person_fuzzy_findings(rows: DataFrame, threshold: float = NAME_THRESHOLD, metric: str = "ratio",
+                          known: int | None = None) -> DataFrame:
     d = DOMAINS["hr"]
     text = F.concat(F.lit("Name '"), F.col("shown"), F.lit("' is a "), percent_text(F.col("score")),
                     F.lit(" textual match to "), F.col("other_id"), F.lit(" ('"), F.col("other_name"),
                     F.lit("') - possible duplicate entry."))
-    return findings_from(fuzzy_matches(person_rows(hr), threshold, metric), d.label, d.table, "name", "id",
+    return findings_from(fuzzy_matches(rows, threshold, metric, known=known), d.label, d.table, "name", "id",
                          "duplication", text, "medium", "fuzzy_name_match")
 
 
@@ -345,24 +352,24 @@ def _on_first_order(matches: DataFrame, procurement: DataFrame) -> DataFrame:
     return matches.join(orders, "id", "left").withColumn("row", F.coalesce("first_po", "id"))
 
 
-def company_suffix_findings(procurement: DataFrame) -> DataFrame:
+def company_suffix_findings(rows: DataFrame, procurement: DataFrame, known: int | None = None) -> DataFrame:
     d = DOMAINS["procurement"]
-    rows = _on_first_order(exact_matches(company_rows(procurement)), procurement)
+    on_orders = _on_first_order(exact_matches(rows, known), procurement)
     text = F.concat(F.lit("Vendor '"), F.col("shown"), F.lit("' ("), F.col("id"), F.lit(") matches '"),
                     F.col("other_name"), F.lit("' ("), F.col("other_id"),
                     F.lit(") once common company suffixes (Ltd/PLC/Inc/etc.) are ignored - likely the "
                           "same vendor entered as two master records."))
-    return findings_from(rows, d.label, d.table, "vendor_name", "row", "duplication", text, "high",
+    return findings_from(on_orders, d.label, d.table, "vendor_name", "row", "duplication", text, "high",
                          "company_suffix_match")
 
 
-def company_fuzzy_findings(procurement: DataFrame, threshold: float = NAME_THRESHOLD,
-                           metric: str = "ratio") -> DataFrame:
+def company_fuzzy_findings(rows: DataFrame, procurement: DataFrame, threshold: float = NAME_THRESHOLD,
+                           metric: str = "ratio", known: int | None = None) -> DataFrame:
     d = DOMAINS["procurement"]
-    matches = fuzzy_matches(company_rows(procurement), threshold, metric, blocked=False, abbreviations=False)
-    rows = _on_first_order(matches, procurement)
+    matches = fuzzy_matches(rows, threshold, metric, blocked=False, abbreviations=False, known=known)
+    on_orders = _on_first_order(matches, procurement)
     text = F.concat(F.lit("Vendor '"), F.col("shown"), F.lit("' ("), F.col("id"), F.lit(") is a "),
                     percent_text(F.col("score")), F.lit(" textual match to '"), F.col("other_name"),
                     F.lit("' ("), F.col("other_id"), F.lit(") - possible duplicate vendor master record."))
-    return findings_from(rows, d.label, d.table, "vendor_name", "row", "duplication", text, "medium",
+    return findings_from(on_orders, d.label, d.table, "vendor_name", "row", "duplication", text, "medium",
                          "fuzzy_name_match")

@@ -15,21 +15,26 @@ from ledgerlift.operators import issues as I
 from ledgerlift.operators import mapping as M
 from ledgerlift.operators import policy as P
 from ledgerlift.operators import reconcile as R
-from ledgerlift.schemas import DOMAINS
+from ledgerlift.schemas import DOMAINS, EARLIEST_DATE
 from ledgerlift.sources.readers import require_inputs
 from ledgerlift.sources.spec import DomainSpec, default_spec
 from ledgerlift.sources.stages import stage
 
 
-def discover(sources: Mapping[str, DataFrame], as_of: date, fuzzy: bool = True) -> DataFrame:
+def discover(sources: Mapping[str, DataFrame], as_of: date, fuzzy: bool = True,
+             earliest: date = EARLIEST_DATE) -> DataFrame:
     """Numbered findings of all checks."""
     require_inputs(sources, DOMAINS)
-    parts = [C.apply_rules(sources[k], d, C.standard_rules(k, as_of)) for k, d in DOMAINS.items()]
-    parts += [D.person_exact_findings(sources["hr"]), D.person_abbreviation_findings(sources["hr"]),
-              D.company_suffix_findings(sources["procurement"])]
+    orders = sources["procurement"]
+    persons, n_persons = D.staged_names(D.person_rows(sources["hr"]))
+    vendors, n_vendors = D.staged_names(D.company_rows(orders))
+    parts = [C.apply_rules(sources[k], d, C.standard_rules(k, as_of, earliest)) for k, d in DOMAINS.items()]
+    parts += [D.person_exact_findings(persons, n_persons), D.person_abbreviation_findings(persons, n_persons),
+              D.company_suffix_findings(vendors, orders, n_vendors)]
     if fuzzy:
-        parts += [D.person_fuzzy_findings(sources["hr"]), D.company_fuzzy_findings(sources["procurement"])]
-    parts += [C.orphan_vendor_findings(sources["finance"], sources["procurement"]),
+        parts += [D.person_fuzzy_findings(persons, known=n_persons),
+                  D.company_fuzzy_findings(vendors, orders, known=n_vendors)]
+    parts += [C.orphan_vendor_findings(sources["finance"], orders),
               C.orphan_employee_findings(sources["expenses"], sources["hr"])]
     return C.number_findings(C.collect_findings(parts))
 
@@ -81,13 +86,14 @@ class Migration:
 
 
 def run(sources: Mapping[str, DataFrame], as_of: date, specs: Mapping[str, DomainSpec] | None = None,
-        manifest: DataFrame | None = None, earlier: DataFrame | None = None, fuzzy: bool = True) -> Migration:
+        manifest: DataFrame | None = None, earlier: DataFrame | None = None, fuzzy: bool = True,
+        earliest: date = EARLIEST_DATE) -> Migration:
     """The whole job; each stage is written to shared storage before the next reads it.
 
     ``earlier`` holds resolutions of previous runs, which survive a rebuild of the log.
     """
     specs = specs or default_spec()
-    findings = discover(sources, as_of, fuzzy)
+    findings = discover(sources, as_of, fuzzy, earliest)
     log = I.build_issues(findings, earlier)
     person = stage(K.person_clusters(sources["hr"], fuzzy=fuzzy), "person-clusters")
     vendors = stage(K.vendor_clusters(sources["procurement"], fuzzy=fuzzy), "vendor-clusters")

@@ -14,7 +14,7 @@ from ledgerlift.plans.pipeline import discover, map_all, migrate_all
 from ledgerlift.schemas import COMPANY_SUFFIXES, DOMAINS, ISSUE_TYPES, PERSON_TITLES
 from ledgerlift.sources.spec import default_spec
 from ledgerlift.sources.stages import stage
-from ledgerlift.workloads.views import AS_OF, SHORT, VIEWS, ctes, table, view, views
+from ledgerlift.workloads.views import AS_OF, EARLIEST, SHORT, VIEWS, ctes, table, view, views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,12 +73,12 @@ def sql_currency(key: str) -> str:
         "high", "invalid_currency", "currency IS NOT NULL AND currency NOT IN ('EUR', 'GBP', 'USD')")
 
 
-def sql_dates(key: str) -> str:
+def sql_dates(key: str, earliest: str = str(EARLIEST)) -> str:
     return " UNION ALL ".join(
         _finding(key, c, "accuracy",
                  f"'{c.replace('_', ' ')} (' || CAST({c} AS VARCHAR) || ') falls outside the plausible range "
-                 "(2010-01-01 to today).'",
-                 "medium", "date_out_of_bounds", f"{c} < DATE '2010-01-01' OR {c} > DATE '{AS_OF}'")
+                 f"({earliest} to today).'",
+                 "medium", "date_out_of_bounds", f"{c} < DATE '{earliest}' OR {c} > DATE '{AS_OF}'")
         for c in DOMAINS[key].dates)
 
 
@@ -239,10 +239,15 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {k: v[k] for k in KEYS}
 
 
+def staged_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The source tables written once, as a load does, for jobs that read them many times."""
+    return {k: stage(df, k) for k, df in sources(spark, sf_dir).items()}
+
+
 def found(spark: SparkSession, sf_dir: str):
     """Sources and numbered findings of the exact rules."""
-    src = sources(spark, sf_dir)
-    return src, discover(src, AS_OF, fuzzy=False)
+    src = staged_sources(spark, sf_dir)
+    return src, discover(src, AS_OF, fuzzy=False, earliest=EARLIEST)
 
 
 def logged(spark: SparkSession, sf_dir: str):

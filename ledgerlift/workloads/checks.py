@@ -233,9 +233,13 @@ def blank_findings(spark, sf):
     return _plain(out)
 
 
+def _any_blank(columns) -> str:
+    return " OR ".join(f"{c} IS NULL OR trim(CAST({c} AS VARCHAR)) = ''" for c in columns)
+
+
 @query("C3_required_columns", with_ctes(ALL, select=" UNION ALL ".join(
     f"SELECT '{DOMAINS[k].label}' AS domain, {len(DOMAINS[k].required)} AS required_columns, "
-    f"count(*) FILTER ({' OR '.join(f'''{c} IS NULL OR trim(CAST({c} AS VARCHAR)) = ''''' for c in DOMAINS[k].required)}) "
+    f"count(*) FILTER ({_any_blank(DOMAINS[k].required)}) "
     f"AS incomplete_rows FROM {SHORT[k]}" for k in KEYS)))
 def required_columns(spark, sf):
     from functools import reduce
@@ -276,7 +280,7 @@ def allowed_long_list(spark, sf):
                               "c_custkey").select("o_orderkey", "o_custkey")
 
 
-@query("C6_date_range", _checked(ALL, *[sql_dates(k) for k in KEYS]))
+@query("C6_date_range", _checked(ALL, *[sql_dates(k, "2010-01-01") for k in KEYS]))
 def date_range(spark, sf):
     out = None
     for k, df in sources(spark, sf).items():
@@ -336,8 +340,8 @@ def descriptions(spark, sf):
     parts = [
         C.apply_rules(src["finance"], DOMAINS["finance"], [C.allowed_values_rule()]),
         C.apply_rules(src["procurement"], DOMAINS["procurement"], [C.negative_rule()]),
-        D.person_exact_findings(src["hr"]),
-        C.apply_rules(src["expenses"], DOMAINS["expenses"], C.date_range_rules(DOMAINS["expenses"].dates, AS_OF)),
+        D.person_exact_findings(D.person_rows(src["hr"])),
+        C.apply_rules(src["expenses"], DOMAINS["expenses"], C.date_range_rules(DOMAINS["expenses"].dates, AS_OF, EARLIEST)),
     ]
     return C.collect_findings(parts).select("row_identifier", "description")
 

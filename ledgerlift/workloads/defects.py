@@ -122,8 +122,8 @@ def scored(spark, sf):
     exp, m2 = planted(spark, sf, "expenses")
     fin, exp = stage(fin, "planted-finance"), stage(exp, "planted-expenses")
     findings = C.collect_findings([
-        C.apply_rules(fin, DOMAINS["finance"], C.standard_rules("finance", AS_OF)),
-        C.apply_rules(exp, DOMAINS["expenses"], C.standard_rules("expenses", AS_OF)),
+        C.apply_rules(fin, DOMAINS["finance"], C.standard_rules("finance", AS_OF, EARLIEST)),
+        C.apply_rules(exp, DOMAINS["expenses"], C.standard_rules("expenses", AS_OF, EARLIEST)),
         C.orphan_vendor_findings(fin, view(spark, sf, "procurement")),
         C.orphan_employee_findings(exp, view(spark, sf, "hr")),
     ])

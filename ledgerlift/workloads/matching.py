@@ -34,7 +34,7 @@ def company_tokens(spark, sf):
 
 @query("D2_person_exact", _checked("hr", sql_person_exact(), more=(PERSONS,)))
 def person_exact(spark, sf):
-    return _plain(D.person_exact_findings(view(spark, sf, "hr")))
+    return _plain(D.person_exact_findings(D.person_rows(view(spark, sf, "hr"))))
 
 
 @query("D2_part_copies", f"WITH {PARTS}, {PART_NAMES} SELECT id, other_id FROM {sql_exact('pn')} x")
@@ -44,12 +44,13 @@ def part_copies(spark, sf):
 
 @query("D3_person_abbreviation", _checked("hr", sql_person_abbreviation(), more=(PERSONS,)))
 def person_abbreviation(spark, sf):
-    return _plain(D.person_abbreviation_findings(view(spark, sf, "hr")))
+    return _plain(D.person_abbreviation_findings(D.person_rows(view(spark, sf, "hr"))))
 
 
 @query("D4_person_fuzzy")
 def person_fuzzy(spark, sf):
-    return _plain(D.person_fuzzy_findings(view(spark, sf, "hr")))
+    rows, known = D.staged_names(D.person_rows(view(spark, sf, "hr")))
+    return _plain(D.person_fuzzy_findings(rows, known=known))
 
 
 FUZZY_PARTS = (f"WITH {PARTS}, {PART_NAMES}, f AS {sql_fuzzy('pn', True, True, 0.9)} "
@@ -58,7 +59,8 @@ FUZZY_PARTS = (f"WITH {PARTS}, {PART_NAMES}, f AS {sql_fuzzy('pn', True, True, 0
 
 @query("D4_fuzzy_levenshtein", FUZZY_PARTS)
 def fuzzy_levenshtein(spark, sf):
-    return D.fuzzy_matches(D.person_rows(_parts(spark, sf)), 0.9, "levenshtein").select("id", "other_id", "score")
+    rows, known = D.staged_names(D.person_rows(_parts(spark, sf)))
+    return D.fuzzy_matches(rows, 0.9, "levenshtein", known=known).select("id", "other_id", "score")
 
 
 CUSTOMER_NAMES = ("cn AS (SELECT c_custkey AS id, lower(c_name) AS raw FROM customer)")
@@ -68,19 +70,22 @@ CUSTOMER_NAMES = ("cn AS (SELECT c_custkey AS id, lower(c_name) AS raw FROM cust
        f"ON a.id < b.id AND {SIMILAR} >= 0.92")
 def similar_customers(spark, sf):
     names = table(spark, sf, "customer").select("c_custkey", "c_name")
-    keys = D.name_keys(D.person_rows(names, "c_custkey", "c_name"))
+    keys = D.name_keys(*D.staged_names(D.person_rows(names, "c_custkey", "c_name")))
     return D.similar_names(keys, 0.92, "levenshtein").select(
         F.col("early.raw").alias("early"), F.col("late.raw").alias("late"))
 
 
 @query("D5_company_suffix", _checked("proc", sql_company_suffix(), more=(COMPANIES,)))
 def company_suffix(spark, sf):
-    return _plain(D.company_suffix_findings(view(spark, sf, "procurement")))
+    orders = view(spark, sf, "procurement")
+    return _plain(D.company_suffix_findings(D.company_rows(orders), orders))
 
 
 @query("D6_company_fuzzy")
 def company_fuzzy(spark, sf):
-    return _plain(D.company_fuzzy_findings(view(spark, sf, "procurement")))
+    orders = view(spark, sf, "procurement")
+    rows, known = D.staged_names(D.company_rows(orders))
+    return _plain(D.company_fuzzy_findings(rows, orders, known=known))
 
 
 SUPPLIERS = "sup AS (SELECT s_suppkey AS id0, s_name || CASE WHEN s_suppkey % 10 = 7 THEN ' Ltd' ELSE '' END AS nm FROM supplier)"
@@ -92,8 +97,9 @@ SUPPLIER_NAMES = "sn AS " + sql_names("sup", "id0", "nm", COMPANY_SUFFIXES, "nam
 def supplier_fuzzy(spark, sf):
     rows = table(spark, sf, "supplier").select(
         "s_suppkey", F.concat("s_name", F.when(F.col("s_suppkey") % 10 == 7, " Ltd").otherwise("")).alias("nm"))
-    return D.fuzzy_matches(D.company_rows(rows, "s_suppkey", "nm"), 0.92, "levenshtein", blocked=False,
-                           abbreviations=False).select("id", "other_id", "score")
+    names, known = D.staged_names(D.company_rows(rows, "s_suppkey", "nm"))
+    return D.fuzzy_matches(names, 0.92, "levenshtein", blocked=False, abbreviations=False, known=known).select(
+        "id", "other_id", "score")
 
 
 @query("D7_rule_precedence", with_ctes("hr", PERSONS, f"e AS {sql_exact('np')}", f"b AS {sql_abbreviation('np')}",
@@ -101,13 +107,13 @@ def supplier_fuzzy(spark, sf):
     "SELECT id, other_id, 1 AS rule_rank FROM e UNION ALL SELECT id, other_id, 2 FROM b UNION ALL "
     "SELECT id, other_id, 3 FROM f")))
 def rule_precedence(spark, sf):
-    rows = D.person_rows(view(spark, sf, "hr"))
+    rows, known = D.staged_names(D.person_rows(view(spark, sf, "hr")))
 
     def ranked(df, rank):
         return df.select("id", "other_id", F.lit(rank).alias("rule_rank"))
 
-    return ranked(D.exact_matches(rows), 1).unionByName(ranked(D.abbreviation_matches(rows), 2)).unionByName(
-        ranked(D.fuzzy_matches(rows, 0.9, "levenshtein"), 3))
+    return ranked(D.exact_matches(rows, known), 1).unionByName(ranked(D.abbreviation_matches(rows, known), 2)).unionByName(
+        ranked(D.fuzzy_matches(rows, 0.9, "levenshtein", known=known), 3))
 
 
 @query("D8_first_order", with_ctes("proc", select="SELECT vendor_id, min(po_id) AS first_po FROM proc GROUP BY vendor_id"))

@@ -352,7 +352,7 @@ def headline(spark, sf):
 @query("whole_migration")
 def whole_migration(spark, sf):
     """Every stage in order, resolutions and the fuzzy rules included."""
-    return run(sources(spark, sf), AS_OF).counts
+    return run(staged_sources(spark, sf), AS_OF, earliest=EARLIEST).counts
 
 
 # --- figures ------------------------------------------------------------------------------

@@ -7,6 +7,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 AS_OF = date(2024, 12, 31)
+# the test tables start in 1995; the first days of that year serve as out of range
+EARLIEST = date(1995, 1, 10)
 
 # domain key -> (base table, defining query)
 VIEWS = {
