@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,26 +54,34 @@ def plant(df: DataFrame, domain: Domain, defects: Sequence[Defect], bucket: Colu
     # choose before anything changes: defects may rewrite the columns they choose by
     marks = [F.when(_chosen(d, bucket), F.lit(i)) for i, d in enumerate(defects)]
     marked = df.withColumn("_defect", F.coalesce(*marks, F.lit(-1)))
-    in_place = {i: dict([(d.column, d.value), *d.also]) for i, d in enumerate(defects) if not d.copies}
-    changed = marked.select(*[
-        reduce(lambda out, i, c=c: F.when(F.col("_defect") == i, in_place[i][c]).otherwise(out)
-               if c in in_place[i] else out, in_place, F.col(c)).cast(df.schema[c].dataType).alias(c)
-        for c in columns
-    ])
-    manifest = None
-    for i, d in enumerate(defects):
-        rows = marked.filter(F.col("_defect") == i)
-        new = dict([(d.column, d.value), *d.also])
-        row_id = new.get(domain.row_id, F.col(domain.row_id))
-        if d.copies:
-            changed = changed.unionByName(rows.select(*[new.get(c, F.col(c)).cast(df.schema[c].dataType).alias(c)
-                                                        for c in columns]))
-        part = rows.select(
-            F.concat(F.lit(f"{domain.key}-{d.bucket}-"), row_id.cast("string")).alias("issue_id"),
-            F.lit(domain.label).alias("domain"), F.lit(domain.table).alias("table"),
-            row_id.cast("string").alias("row_identifier"), F.lit(d.column).alias("column"),
-            F.lit(d.issue_type).alias("issue_type"), d.description.alias("description"))
-        manifest = part if manifest is None else manifest.unionByName(part)
+    new = [dict([(d.column, d.value), *d.also]) for d in defects]
+    copied = [i for i, d in enumerate(defects) if d.copies]
+
+    def rewritten(indexes: Sequence[int]) -> list[Column]:
+        out = []
+        for c in columns:
+            value = F.col(c)
+            for i in indexes:
+                if c in new[i]:
+                    value = F.when(F.col("_defect") == i, new[i][c]).otherwise(value)
+            out.append(value.cast(df.schema[c].dataType).alias(c))
+        return out
+
+    changed = marked.select(*rewritten([i for i in range(len(defects)) if i not in copied]))
+    if copied:
+        changed = changed.unionByName(marked.filter(F.col("_defect").isin(copied)).select(*rewritten(copied)))
+
+    # one pass for the manifest of all defects
+    def entry(i: int, d: Defect) -> Column:
+        row_id = new[i].get(domain.row_id, F.col(domain.row_id)).cast("string")
+        return F.when(F.col("_defect") == i, F.struct(
+            F.concat(F.lit(f"{domain.key}-{d.bucket}-"), row_id).alias("issue_id"),
+            row_id.alias("row_identifier"), F.lit(d.column).alias("column"),
+            F.lit(d.issue_type).alias("issue_type"), d.description.alias("description")))
+
+    entries = F.coalesce(*[entry(i, d) for i, d in enumerate(defects)])
+    manifest = marked.filter(F.col("_defect") >= 0).select(entries.alias("e")).select(
+        "e.*", F.lit(domain.label).alias("domain"), F.lit(domain.table).alias("table"))
     return changed, manifest.select(*MANIFEST_SCHEMA.names)
 
 

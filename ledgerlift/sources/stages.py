@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,11 +25,12 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="ledgerlift-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
+        _own[app] = tempfile.mkdtemp(prefix="ledgerlift-")
+    return _own[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -144,14 +144,46 @@ def sql_abbreviation(names: str) -> str:
 SIMILAR = "(1 - 2.0 * levenshtein(a.raw, b.raw) / (len(a.raw) + len(b.raw)))"
 
 
-def sql_fuzzy(names: str, blocked: bool, abbreviations: bool, threshold: float) -> str:
+def sql_ratio(pairs: str, name: str) -> str:
+    """<name>(pid, score) for ``pairs(pid, a, b)``: longest common block, then the same left and right of it.
+
+    Of equally long blocks the first in a, then the first in b, is taken.
+    """
+    longest = ("list_max(flatten(list_transform(range(1, len(a) + 1), lambda i: list_transform(list_filter("
+               "range(1, len(a) - i + 2), lambda k: instr(b, substr(a, i, k)) > 0), lambda k: k * 1000 + 999 - i))))")
+    return f"""{name}_blocks AS (SELECT pid, a, b, CAST(0 AS BIGINT) AS k, 0 AS depth FROM {pairs}
+  UNION ALL SELECT pid, x.a, x.b, x.k, depth + 1 FROM (SELECT pid, depth, unnest([
+      {{'a': substr(a, 1, i - 1), 'b': substr(b, 1, j - 1), 'k': n}}, {{'a': substr(a, i + n), 'b': substr(b, j + n), 'k': 0}}]) AS x
+    FROM (SELECT *, instr(b, substr(a, i, n)) AS j FROM (SELECT pid, a, b, depth, CAST(code // 1000 AS BIGINT) AS n,
+        CAST(999 - code % 1000 AS BIGINT) AS i FROM (SELECT pid, a, b, depth, {longest} AS code FROM {name}_blocks
+          WHERE a <> '' AND b <> '') q1 WHERE code IS NOT NULL) q2) q3) q4),
+{name} AS (SELECT pid, CAST(2 AS DOUBLE) * sum(k) / max(CASE WHEN depth = 0 THEN len(a) + len(b) END) AS score
+  FROM {name}_blocks GROUP BY pid)"""
+
+
+def sql_pairs(names: str, blocked: bool, abbreviations: bool) -> str:
+    """Earlier (a) and later (b) row of every pair no earlier rule has flagged."""
     block = "AND substr(a.first, 1, 3) = substr(b.first, 1, 3)" if blocked else ""
     short = f"AND NOT ({ABBREVIATES})" if abbreviations else ""
-    return (f"(SELECT b.id, b.shown, min(a.id) AS other_id, arg_min(a.shown, a.id) AS other_name, max(score) AS score "
-            f"FROM (SELECT b.id AS bid, a.id AS aid, a.raw AS araw, {SIMILAR} AS score FROM {names} a JOIN {names} b "
-            f"ON a.id < b.id {block} AND NOT (a.norm = b.norm AND a.id = (SELECT min(c.id) FROM {names} c "
-            f"WHERE c.norm = a.norm)) {short} WHERE {SIMILAR} >= {threshold}) p "
-            f"JOIN {names} a ON a.id = p.aid AND a.raw = p.araw JOIN {names} b ON b.id = p.bid GROUP BY b.id, b.shown, p.araw)")
+    return (f"(SELECT a.id AS aid, a.raw AS araw, a.shown AS ashown, b.id AS bid, b.raw AS braw, b.shown AS bshown "
+            f"FROM {names} a JOIN {names} b ON a.id < b.id {block} AND NOT (a.norm = b.norm "
+            f"AND a.id = (SELECT min(c.id) FROM {names} c WHERE c.norm = a.norm)) {short})")
+
+
+def sql_fuzzy(names: str, blocked: bool, abbreviations: bool, threshold: float, metric: str = "levenshtein",
+              out: str = "fz") -> str:
+    """<out>(id, shown, other_id, other_name, score), by either metric."""
+    pairs = f"{out}_pairs AS {sql_pairs(names, blocked, abbreviations)}"
+    if metric == "levenshtein":
+        scored = (f"{out}_scores AS (SELECT DISTINCT araw, braw, 1 - 2.0 * levenshtein(araw, braw) / (len(araw) + len(braw)) "
+                  f"AS score FROM {out}_pairs)")
+    else:
+        scored = (f"{out}_dist AS (SELECT DISTINCT araw || chr(31) || braw AS pid, araw AS a, braw AS b FROM {out}_pairs),\n"
+                  + sql_ratio(f"{out}_dist", f"{out}_r")
+                  + f",\n{out}_scores AS (SELECT d.a AS araw, d.b AS braw, r.score FROM {out}_dist d JOIN {out}_r r ON r.pid = d.pid)")
+    return (f"{pairs},\n{scored},\n{out} AS (SELECT p.bid AS id, p.bshown AS shown, min(p.aid) AS other_id, "
+            f"arg_min(p.ashown, p.aid) AS other_name, max(s.score) AS score FROM {out}_pairs p JOIN {out}_scores s "
+            f"ON s.araw = p.araw AND s.braw = p.braw WHERE s.score >= {threshold} GROUP BY p.bid, p.bshown, p.araw)")
 
 
 def sql_person_exact() -> str:
@@ -168,6 +200,25 @@ def sql_person_abbreviation() -> str:
                     "medium", "name_abbreviation", "true", sql_abbreviation("np") + " x", "id")
 
 
+PERCENT = "CAST(CAST(round_even(score * 100, 0) AS INTEGER) AS VARCHAR) || '%'"
+
+
+def sql_person_fuzzy(source: str = "fz") -> str:
+    return _finding("hr", "name", "duplication",
+                    f"'Name ''' || shown || ''' is a ' || {PERCENT} || ' textual match to ' || other_id || ' (''' || "
+                    "other_name || ''') - possible duplicate entry.'",
+                    "medium", "fuzzy_name_match", "true", source, "id")
+
+
+def sql_company_fuzzy(source: str = "fz") -> str:
+    return _finding("procurement", "vendor_name", "duplication",
+                    f"'Vendor ''' || shown || ''' (' || id || ') is a ' || {PERCENT} || ' textual match to ''' || other_name "
+                    "|| ''' (' || other_id || ') - possible duplicate vendor master record.'",
+                    "medium", "fuzzy_name_match", "true",
+                    source + " x JOIN (SELECT vendor_id, min(po_id) AS first_po FROM proc GROUP BY vendor_id) f "
+                    "ON f.vendor_id = x.id", "first_po")
+
+
 def sql_company_suffix() -> str:
     return _finding("procurement", "vendor_name", "duplication",
                     "'Vendor ''' || shown || ''' (' || id || ') matches ''' || other_name || ''' (' || other_id || ') once "

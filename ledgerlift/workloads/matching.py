@@ -47,17 +47,29 @@ def person_abbreviation(spark, sf):
     return _plain(D.person_abbreviation_findings(D.person_rows(view(spark, sf, "hr"))))
 
 
-@query("D4_person_fuzzy")
+def _fuzzy_findings(keys: str, *more: str, finding: str) -> str:
+    return with_ctes(keys, *more, select=f"SELECT {NO_ORDER} FROM ({finding}) f", recursive=True)
+
+
+@query("D4_person_fuzzy", _fuzzy_findings("hr", PERSONS, sql_fuzzy("np", True, True, 0.9, "ratio"),
+                                          finding=sql_person_fuzzy()))
 def person_fuzzy(spark, sf):
     rows, known = D.staged_names(D.person_rows(view(spark, sf, "hr")))
     return _plain(D.person_fuzzy_findings(rows, known=known))
 
 
-FUZZY_PARTS = (f"WITH {PARTS}, {PART_NAMES}, f AS {sql_fuzzy('pn', True, True, 0.9)} "
-               "SELECT id, other_id, score FROM f")
+def _fuzzy_parts(metric: str, threshold: float) -> str:
+    return (f"WITH RECURSIVE {PARTS}, {PART_NAMES}, {sql_fuzzy('pn', True, True, threshold, metric)} "
+            "SELECT id, other_id, score FROM fz")
+
+
+@query("D4_fuzzy_ratio", _fuzzy_parts("ratio", 0.88))
+def fuzzy_ratio(spark, sf):
+    rows, known = D.staged_names(D.person_rows(_parts(spark, sf)))
+    return D.fuzzy_matches(rows, 0.88, known=known).select("id", "other_id", "score")
 
 
-@query("D4_fuzzy_levenshtein", FUZZY_PARTS)
+@query("D4_fuzzy_levenshtein", _fuzzy_parts("levenshtein", 0.9))
 def fuzzy_levenshtein(spark, sf):
     rows, known = D.staged_names(D.person_rows(_parts(spark, sf)))
     return D.fuzzy_matches(rows, 0.9, "levenshtein", known=known).select("id", "other_id", "score")
@@ -81,7 +93,8 @@ def company_suffix(spark, sf):
     return _plain(D.company_suffix_findings(D.company_rows(orders), orders))
 
 
-@query("D6_company_fuzzy")
+@query("D6_company_fuzzy", _fuzzy_findings("proc", COMPANIES, sql_fuzzy("nc", False, False, 0.9, "ratio"),
+                                           finding=sql_company_fuzzy()))
 def company_fuzzy(spark, sf):
     orders = view(spark, sf, "procurement")
     rows, known = D.staged_names(D.company_rows(orders))
@@ -92,20 +105,33 @@ SUPPLIERS = "sup AS (SELECT s_suppkey AS id0, s_name || CASE WHEN s_suppkey % 10
 SUPPLIER_NAMES = "sn AS " + sql_names("sup", "id0", "nm", COMPANY_SUFFIXES, "name")
 
 
-@query("D6_fuzzy_levenshtein", f"WITH {SUPPLIERS}, {SUPPLIER_NAMES}, f AS {sql_fuzzy('sn', False, False, 0.92)} "
-       "SELECT id, other_id, score FROM f")
-def supplier_fuzzy(spark, sf):
+def _fuzzy_suppliers(metric: str) -> str:
+    return (f"WITH RECURSIVE {SUPPLIERS}, {SUPPLIER_NAMES}, {sql_fuzzy('sn', False, False, 0.92, metric)} "
+            "SELECT id, other_id, score FROM fz")
+
+
+def _supplier_matches(spark, sf, metric):
     rows = table(spark, sf, "supplier").select(
         "s_suppkey", F.concat("s_name", F.when(F.col("s_suppkey") % 10 == 7, " Ltd").otherwise("")).alias("nm"))
     names, known = D.staged_names(D.company_rows(rows, "s_suppkey", "nm"))
-    return D.fuzzy_matches(names, 0.92, "levenshtein", blocked=False, abbreviations=False, known=known).select(
+    return D.fuzzy_matches(names, 0.92, metric, blocked=False, abbreviations=False, known=known).select(
         "id", "other_id", "score")
 
 
+@query("D6_fuzzy_ratio", _fuzzy_suppliers("ratio"))
+def supplier_fuzzy_ratio(spark, sf):
+    return _supplier_matches(spark, sf, "ratio")
+
+
+@query("D6_fuzzy_levenshtein", _fuzzy_suppliers("levenshtein"))
+def supplier_fuzzy(spark, sf):
+    return _supplier_matches(spark, sf, "levenshtein")
+
+
 @query("D7_rule_precedence", with_ctes("hr", PERSONS, f"e AS {sql_exact('np')}", f"b AS {sql_abbreviation('np')}",
-                                       f"f AS {sql_fuzzy('np', True, True, 0.9)}", select=(
+                                       sql_fuzzy("np", True, True, 0.9), select=(
     "SELECT id, other_id, 1 AS rule_rank FROM e UNION ALL SELECT id, other_id, 2 FROM b UNION ALL "
-    "SELECT id, other_id, 3 FROM f")))
+    "SELECT id, other_id, 3 FROM fz")))
 def rule_precedence(spark, sf):
     rows, known = D.staged_names(D.person_rows(view(spark, sf, "hr")))
 
@@ -121,7 +147,7 @@ def first_order(spark, sf):
     return D.first_orders(view(spark, sf, "procurement"))
 
 
-MANAGED = ("pairs AS (SELECT h.employee_id AS id, trim(lower(h.name)) AS a, trim(lower(m.name)) AS b FROM hr h "
+MANAGED = ("pairs AS (SELECT h.employee_id AS id, h.employee_id AS pid, trim(lower(h.name)) AS a, trim(lower(m.name)) AS b FROM hr h "
            "JOIN hr m ON m.employee_id = h.manager_id)")
 
 
@@ -131,7 +157,8 @@ def _managed(spark, sf):
     return hr.join(m, "manager_id").select(F.col("employee_id").alias("id"), F.trim(F.lower("name")).alias("a"), "b")
 
 
-@query("D9_similarity_ratio")
+@query("D9_similarity_ratio", with_ctes("hr", MANAGED, sql_ratio("pairs", "r"), recursive=True, select=(
+    "SELECT p.id, p.a, p.b, r.score FROM pairs p JOIN r ON r.pid = p.pid")))
 def similarity_ratio(spark, sf):
     return _managed(spark, sf).withColumn("score", similarity(F.col("a"), F.col("b")))
 
@@ -168,7 +195,18 @@ def vendor_clusters(spark, sf):
     return K.vendor_clusters(view(spark, sf, "procurement"), fuzzy=False)
 
 
-@query("D10_vendor_clusters_ratio")
+def _with_similar(edges: tuple[str, ...], names: str, blocked: bool, edge: str) -> tuple[str, ...]:
+    """Component expressions whose edges include similar names."""
+    fuzzy = sql_fuzzy(names, blocked, False, 0.9, "ratio")
+    first = edges[0].replace(f"{edge} AS (", f"{edge}_exact AS (", 1)
+    union = f"{edge} AS (SELECT a, b FROM {edge}_exact UNION SELECT id, other_id FROM fz UNION SELECT other_id, id FROM fz)"
+    return (first, fuzzy, union, *edges[1:])
+
+
+@query("D10_vendor_clusters_ratio", with_ctes(
+    "proc", COMPANIES, *_with_similar(VENDOR_EDGES, "nc", False, "ve"), recursive=True, select=(
+        "SELECT DISTINCT p.vendor_id, p.vendor_name, o.orders, vc.cluster FROM proc p JOIN vc ON vc.vendor_id = p.vendor_id "
+        "JOIN (SELECT vendor_id, count(*) AS orders FROM proc GROUP BY vendor_id) o ON o.vendor_id = p.vendor_id")))
 def vendor_clusters_ratio(spark, sf):
     return K.vendor_clusters(view(spark, sf, "procurement"))
 
@@ -178,7 +216,8 @@ def person_clusters(spark, sf):
     return K.person_clusters(view(spark, sf, "hr"), metric="levenshtein")
 
 
-@query("D11_person_clusters_ratio")
+@query("D11_person_clusters_ratio", with_ctes(
+    "hr", PERSONS, *_with_similar(PERSON_EDGES, "np", True, "pe0"), recursive=True, select="SELECT * FROM pc"))
 def person_clusters_ratio(spark, sf):
     return K.person_clusters(view(spark, sf, "hr"))
 
@@ -257,7 +296,13 @@ def pair_review(spark, sf):
     return K.duplicate_review(hr, person_groups(spark, sf, hr), "levenshtein").drop("recommendation")
 
 
-@query("D17_pair_review_ratio")
+RATIO_REVIEW = ("rp AS (SELECT employee_id_a || chr(31) || employee_id_b AS pid, lower(trim(name_a)) AS a, "
+                "lower(trim(name_b)) AS b FROM review)", sql_ratio("rp", "rr"))
+
+
+@query("D17_pair_review_ratio", with_ctes("hr", *REVIEWED, *RATIO_REVIEW, recursive=True, select=(
+    "SELECT employee_id_a, employee_id_b, name_a, name_b, rr.score AS similarity_score, same_dept_code, same_cost_centre, "
+    "hire_date_delta_days, recommendation FROM review JOIN rr ON rr.pid = employee_id_a || chr(31) || employee_id_b")))
 def pair_review_ratio(spark, sf):
     hr = view(spark, sf, "hr")
     return K.duplicate_review(hr, person_groups(spark, sf, hr))

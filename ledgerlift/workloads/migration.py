@@ -194,10 +194,13 @@ def _counts_sql() -> str:
 COUNTS = _counts_sql()
 
 
-@query("R5_row_counts", with_ctes(ALL, *CHAIN, *TARGETS, COUNTS, select=(
+COUNTED = with_ctes(ALL, *CHAIN, *TARGETS, COUNTS, select=(
     "SELECT table_name, source_rows, target_rows, target_rows - source_rows AS delta, -held_rows AS expected_delta, "
     "CASE WHEN target_rows = source_rows AND held_rows = 0 THEN 'CLEAN' WHEN target_rows - source_rows = -held_rows "
-    "THEN 'EXPECTED DELTA' ELSE 'UNEXPECTED DELTA' END AS status FROM counts")))
+    "THEN 'EXPECTED DELTA' ELSE 'UNEXPECTED DELTA' END AS status FROM counts"))
+
+
+@query("R5_row_counts", COUNTED)
 def row_counts(spark, sf):
     src, held, targets = migrated(spark, sf)
     return R.row_counts(src, targets, held)
@@ -349,7 +352,8 @@ def headline(spark, sf):
     return R.headline(R.row_counts(src, targets, held), sums, R.standard_rules(src, targets, held))
 
 
-@query("whole_migration")
+# resolutions and fuzzy findings change flags, never the held rows
+@query("whole_migration", COUNTED)
 def whole_migration(spark, sf):
     """Every stage in order, resolutions and the fuzzy rules included."""
     return run(staged_sources(spark, sf), AS_OF, earliest=EARLIEST).counts
