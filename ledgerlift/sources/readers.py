@@ -26,6 +26,16 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan that fills fewer tasks than there are cores one task per core.
+
+    Only small inputs, such as one file with one row group, are reshuffled; a scan with
+    more splits than cores is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_sources(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:
     """The four source tables below ``folder``, by domain key."""
     out = {}

@@ -6,6 +6,8 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlift.sources.readers import spread
+
 AS_OF = date(2024, 12, 31)
 # the test tables start in 1995; the first days of that year serve as out of range
 EARLIEST = date(1995, 1, 10)
@@ -56,7 +58,7 @@ FROM events
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def view(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
