@@ -33,12 +33,12 @@ def money_sum(c: Column) -> Column:
     return F.coalesce(F.sum(c.cast(MONEY)), F.lit(0).cast(MONEY))
 
 
-def row_hash(columns: Sequence[Column]) -> Column:
-    """128 bits over (value, is-null) pairs; (1, NULL, 'a') and (1, 'a', NULL) differ."""
+def row_hash(columns: Sequence[Column]) -> tuple[Column, Column]:
+    """Two 64-bit hashes over (value, is-null) pairs; (1, NULL, 'a') and (1, 'a', NULL) differ.
+
+    Two plain numbers rather than a struct keep aggregates over them in the hash aggregate.
+    """
     parts: list[Column] = []
     for c in columns:
         parts += [c, c.isNull()]
-    return F.struct(
-        F.xxhash64(*parts).alias("lo"),
-        F.xxhash64(F.lit(7), *reversed(parts)).alias("hi"),
-    )
+    return F.xxhash64(*parts), F.xxhash64(F.lit(7), *reversed(parts))

@@ -56,28 +56,27 @@ def row_checksums(source: DataFrame, target: DataFrame, spec: DomainSpec, row_id
     aggregate by key replaces the join: only ids and hashes are shuffled.
     """
     key = spec.target_of(row_id)
-    columns = [F.col(c) for c in spec.targets()]
+    lo, hi = row_hash([F.col(c) for c in spec.targets()])
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.col(key).alias("key"), F.lit(name).alias("side"), row_hash(columns).alias("h"))
+        return df.select(F.col(key).alias("key"), F.lit(name).alias("side"), lo.alias("lo"), hi.alias("hi"))
 
     is_s, is_t, is_h = (F.col("side") == x for x in ("s", "t", "h"))
-    both = side(map_table(source, spec), "s").unionByName(side(target, "t"))
-    nothing = F.struct(F.lit(0).cast("bigint").alias("lo"), F.lit(0).cast("bigint").alias("hi"))
-    both = both.unionByName(
-        _held_ids(held, spec.source_table, "key").select("key", F.lit("h").alias("side"), nothing.alias("h")))
+    zero = F.lit(0).cast("bigint")
+    both = side(map_table(source, spec), "s").unionByName(side(target, "t")).unionByName(
+        _held_ids(held, spec.source_table, "key").select(
+            "key", F.lit("h").alias("side"), zero.alias("lo"), zero.alias("hi")))
 
+    # with one row per id the two xors are its hashes; the extremes tell repeated ids apart
     def facts(which: Column, prefix: str) -> list[Column]:
-        return [
-            F.count_if(which).alias(f"{prefix}_n"),
-            F.min(F.when(which, F.col("h"))).alias(f"{prefix}_min"),
-            F.max(F.when(which, F.col("h"))).alias(f"{prefix}_max"),
-            F.bit_xor(F.when(which, F.col("h.lo"))).alias(f"{prefix}_xor"),
-        ]
+        low, high = F.when(which, F.col("lo")), F.when(which, F.col("hi"))
+        return [F.count_if(which).alias(f"{prefix}_n"), F.min(low).alias(f"{prefix}_min"),
+                F.max(low).alias(f"{prefix}_max"), F.bit_xor(low).alias(f"{prefix}_lo"),
+                F.bit_xor(high).alias(f"{prefix}_hi")]
 
     by_key = both.groupBy("key").agg(*facts(is_s, "s"), *facts(is_t, "t"), F.count_if(is_h).alias("h_n"))
     same = reduce(lambda a, b: a & b,
-                  [F.col(f"s_{f}").eqNullSafe(F.col(f"t_{f}")) for f in ("n", "min", "max", "xor")])
+                  [F.col(f"s_{f}").eqNullSafe(F.col(f"t_{f}")) for f in ("n", "min", "max", "lo", "hi")])
     state = (
         F.when((F.col("s_n") == 0) & (F.col("t_n") == 0), F.lit(None).cast("string"))
         .when(F.col("s_n") == 0, "unexpected")

@@ -34,7 +34,7 @@ def company_tokens(spark, sf):
 
 @query("D2_person_exact", _checked("hr", sql_person_exact(), more=(PERSONS,)))
 def person_exact(spark, sf):
-    return _plain(D.person_exact_findings(D.person_rows(view(spark, sf, "hr"))))
+    return _plain(D.person_exact_findings(*D.staged_names(D.person_rows(view(spark, sf, "hr")))))
 
 
 @query("D2_part_copies", f"WITH {PARTS}, {PART_NAMES} SELECT id, other_id FROM {sql_exact('pn')} x")
@@ -44,7 +44,7 @@ def part_copies(spark, sf):
 
 @query("D3_person_abbreviation", _checked("hr", sql_person_abbreviation(), more=(PERSONS,)))
 def person_abbreviation(spark, sf):
-    return _plain(D.person_abbreviation_findings(D.person_rows(view(spark, sf, "hr"))))
+    return _plain(D.person_abbreviation_findings(*D.staged_names(D.person_rows(view(spark, sf, "hr")))))
 
 
 def _fuzzy_findings(keys: str, *more: str, finding: str) -> str:
@@ -90,7 +90,8 @@ def similar_customers(spark, sf):
 @query("D5_company_suffix", _checked("proc", sql_company_suffix(), more=(COMPANIES,)))
 def company_suffix(spark, sf):
     orders = view(spark, sf, "procurement")
-    return _plain(D.company_suffix_findings(D.company_rows(orders), orders))
+    rows, known = D.staged_names(D.company_rows(orders))
+    return _plain(D.company_suffix_findings(rows, orders, known))
 
 
 @query("D6_company_fuzzy", _fuzzy_findings("proc", COMPANIES, sql_fuzzy("nc", False, False, 0.9, "ratio"),
