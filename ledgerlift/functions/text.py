@@ -14,8 +14,12 @@ _EDGE_MARKS = r"^[.,]+|[.,]+$"
 
 
 def is_blank(c: Column) -> Column:
-    """NULL, or only spaces once written as text."""
-    return c.isNull() | (F.trim(c.cast("string")) == "")
+    """NULL, or only spaces once written as text.
+
+    Only text can be blank without being NULL; the optimizer folds the type test, so other
+    types are never written as text.
+    """
+    return c.isNull() | ((F.typeof(c) == "string") & (F.trim(c.cast("string")) == ""))
 
 
 def strip_space(c: Column) -> Column:

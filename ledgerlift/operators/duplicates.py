@@ -342,6 +342,14 @@ def person_fuzzy_findings(rows: DataFrame, threshold: float = NAME_THRESHOLD, me
                          "duplication", text, "medium", "fuzzy_name_match")
 
 
+def vendor_names(procurement: DataFrame) -> DataFrame:
+    """(vendor_id, vendor_name, po_id): the names in use with their first order.
+
+    One pass over the orders; every vendor rule can read this instead of the orders.
+    """
+    return procurement.groupBy("vendor_id", "vendor_name").agg(F.min("po_id").alias("po_id"))
+
+
 def first_orders(procurement: DataFrame) -> DataFrame:
     """(vendor_id, first_po): the order that stands for a vendor, partially aggregated."""
     return procurement.groupBy("vendor_id").agg(F.min("po_id").alias("first_po"))

@@ -25,7 +25,7 @@ def discover(sources: Mapping[str, DataFrame], as_of: date, fuzzy: bool = True,
              earliest: date = EARLIEST_DATE) -> DataFrame:
     """Numbered findings of all checks."""
     require_inputs(sources, DOMAINS)
-    orders = sources["procurement"]
+    orders = stage(D.vendor_names(sources["procurement"]), "vendor-names")
     persons, n_persons = D.staged_names(D.person_rows(sources["hr"]))
     vendors, n_vendors = D.staged_names(D.company_rows(orders))
     parts = [C.apply_rules(sources[k], d, C.standard_rules(k, as_of, earliest)) for k, d in DOMAINS.items()]
