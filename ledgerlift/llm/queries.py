@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import bpe, packing, simhash
+from ledgerlift.llm import bpe, kdtree, packing, simhash, sketches
 from ledgerlift.sources.stages import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,21 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bottom-k sketches of every text and of its edited text, and how alike they and the next are."""
+    rows = sketches.with_edits(documents(spark, sf_dir, "doc_id", "text"))
+    return rows.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        sketches.as_text(F.col("sketch")).alias("fingerprint"),
+        sketches.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        sketches.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        sketches.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of 4096 tokens, padding as little as first-fit decreasing leaves."""
@@ -56,3 +71,19 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     digests = packing.with_crc32(pieces).drop("ids")
     return packing.assign(digests, docs.count()).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of nearly equal bytes, cut along length, script and text."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    size = F.octet_length(text) + 1
+    rows = stage(documents(spark, sf_dir, "doc_id", "text").select(
+        "doc_id", size.cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.log2(size).alias("length"), ((size - F.length(text) - 1) / size).alias("beyond_ascii"),
+        F.xxhash64(text).alias("text_hash")), "kd-rows")
+    placed = kdtree.kd_shards(
+        rows, size="size", dimensions=["length", "beyond_ascii"], group="text_hash", key="doc_id", shards=16)
+    return kdtree.with_slots(placed, shard="shard", key="doc_id", tie="text_hash").select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
+        F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
