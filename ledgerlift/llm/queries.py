@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import bpe, kdtree, packing, simhash, sketches
+from ledgerlift.llm import bpe, kdtree, langid, packing, simhash, sketches, toxicity
+from ledgerlift.llm.samples import fold
 from ledgerlift.sources.stages import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +63,16 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learnt from those outside fold 2 of 4."""
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    held_out = fold("doc_id", 4) == 2
+    net = langid.train(docs.filter(~held_out))
+    return langid.predict(docs.select("doc_id", "text"), net, keep=["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of 4096 tokens, padding as little as first-fit decreasing leaves."""
@@ -87,3 +98,17 @@ def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdtree.with_slots(placed, shard="shard", key="doc_id", tie="text_hash").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+TOXIC_FROM = 0.7
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from labelled ones outside fold 1 of 3."""
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    held_out = fold("doc_id", 3) == 1
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").filter(~held_out)
+    machine = toxicity.train(docs, labels)
+    return toxicity.score(docs, machine, keep=["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
