@@ -36,93 +36,99 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class MergeReplay:
-    """Replays the merges of a rank table over many pieces at once."""
+    """Replays the merges of a rank table over many pieces at once.
+
+    A merge's rank is the id of the token it makes, so the index is kept by that id: the
+    positions whose symbol and next symbol make the token. Positions are entered as
+    arrays and checked when their merge is due.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
-        self.tokens: list[bytes] = [b""] * (max(ranks.values(), default=-1) + 1)
-        for token, rank in ranks.items():
-            self.tokens[rank] = token
-        self.single = [ranks[bytes([b])] for b in range(256)] if all(bytes([b]) in ranks for b in range(256)) else None
-        if self.single is None:
+        if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("the rank table lacks a single byte")
-        self.merged: dict[int, int] = {}
-
-    def _rank(self, left: int, right: int) -> int:
-        """The token that a pair becomes, which is also the merge's rank; -1: no merge."""
-        key = left << 32 | right
-        found = self.merged.get(key)
-        if found is None:
-            found = self.merged[key] = self.ranks.get(self.tokens[left] + self.tokens[right], -1)
-        return found
+        self.ranks = ranks
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        made = [
+            (left << 32 | right, rank)
+            for token, rank in ranks.items() for cut in range(1, len(token))
+            if (left := ranks.get(token[:cut])) is not None and (right := ranks.get(token[cut:])) is not None
+        ]
+        made.sort()
+        self.pairs = np.array([p for p, _ in made] or [-1], np.int64)
+        self.makes = np.array([r for _, r in made] or [-1], np.int32)
+
+    def _made(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The token that each pair makes, -1 if none; a negative symbol makes none."""
+        pair = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == pair) & (left >= 0) & (right >= 0), self.makes[at], -1)
 
     def encode(self, pieces: list[bytes]) -> list[list[int]]:
-        """The ids of every piece."""
-        symbols: list[int] = []
-        starts = [0]
-        whole: dict[int, int] = {}
-        for n, piece in enumerate(pieces):
-            known = self.ranks.get(piece)
-            if known is not None:  # a piece that is itself a token stays whole
-                whole[n] = known
-            else:
-                symbols.extend(map(self.single.__getitem__, piece))
-            symbols.append(-1)  # keeps neighbours in different pieces apart
-            starts.append(len(symbols))
-        after = list(range(1, len(symbols) + 1))
-        before = list(range(-1, len(symbols) - 1))
-        index: dict[tuple[int, int], list[int]] = {}
-        due: dict[int, set] = {}
-        ranks: list[int] = []
-        rank_of = self._rank
-
-        def enter(at: int, left: int, right: int) -> None:
-            places = index.get((left, right))
-            if places is not None:
-                places.append(at)
-                return
-            rank = rank_of(left, right)
-            if rank < 0:
-                return
-            index[left, right] = [at]
-            if rank in due:
-                due[rank].add((left, right))
-            else:
-                due[rank] = {(left, right)}
-                heapq.heappush(ranks, rank)
-
-        for at in range(len(symbols) - 1):
-            if symbols[at] >= 0 and symbols[at + 1] >= 0:
-                enter(at, symbols[at], symbols[at + 1])
-        while ranks:
-            rank = heapq.heappop(ranks)
-            places = []
-            for pair in due.pop(rank):
-                places += [(at, pair) for at in index.pop(pair)]
-            places.sort()  # leftmost first, as overlapping places of one pair demand
-            for at, (left, right) in places:
-                if symbols[at] != left:
-                    continue
-                then = after[at]
-                if symbols[then] != right:
-                    continue
-                symbols[at] = rank
-                symbols[then] = -2
-                follow = after[then]
-                after[at] = follow
-                before[follow] = at
-                prior = before[at]
-                if prior >= 0 and symbols[prior] >= 0:
-                    enter(prior, symbols[prior], rank)
-                if symbols[follow] >= 0:
-                    enter(at, rank, symbols[follow])
-        out = []
-        for n in range(len(pieces)):
-            if n in whole:
-                out.append([whole[n]])
-            else:
-                out.append([s for s in symbols[starts[n]:starts[n + 1] - 1] if s >= 0])
-        return out
+        """The ids of every piece; a piece that is itself a token stays whole."""
+        split = [p for p in pieces if p not in self.ranks]
+        replayed = iter(self._replay(split))
+        return [[self.ranks[p]] if p in self.ranks else next(replayed) for p in pieces]
+
+    def _replay(self, pieces: list[bytes]) -> list[list[int]]:
+        if not pieces:
+            return []
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        stops = np.cumsum(size + 1) - 1  # a stop after each piece keeps neighbours in different pieces apart
+        n = int(stops[-1]) + 1
+        symbols = np.full(n, -1, np.int32)
+        symbols[np.delete(np.arange(n), stops)] = self.single[np.frombuffer(b"".join(pieces), np.uint8)]
+        after = np.arange(1, n + 1, dtype=np.int32)
+        before = np.arange(-1, n - 1, dtype=np.int32)
+        makes = np.full(n, -1, np.int32)
+        index: dict[int, list[np.ndarray]] = {}
+        due: list[int] = []
+
+        def enter(at: np.ndarray, made: np.ndarray) -> None:
+            order = made.argsort(kind="stable")
+            made, at = made[order], at[order]
+            cuts = [0, *(np.flatnonzero(made[1:] != made[:-1]) + 1).tolist(), len(made)]
+            for rank, a, b in zip(made[cuts[:-1]].tolist(), cuts[:-1], cuts[1:], strict=True):
+                places = index.get(rank)
+                if places is None:
+                    index[rank] = [at[a:b]]
+                    heapq.heappush(due, rank)
+                else:
+                    places.append(at[a:b])
+
+        makes[:-1] = self._made(symbols[:-1], symbols[1:])
+        first = np.flatnonzero(makes >= 0)
+        if first.size:
+            enter(first, makes[first])
+        while due:
+            rank = heapq.heappop(due)
+            places = index.pop(rank)
+            at = places[0] if len(places) == 1 else np.concatenate(places)
+            at = np.unique(at[makes[at] == rank])
+            if not at.size:
+                continue
+            # in a run of overlapping places every other one merges, from the left
+            new_run = np.concatenate([[True], after[at[:-1]] != at[1:]])
+            if not new_run.all():
+                place = np.arange(at.size)
+                at = at[(place - np.maximum.accumulate(np.where(new_run, place, 0))) % 2 == 0]
+            then = after[at]
+            follow = after[then]
+            symbols[at] = rank
+            symbols[then] = -2
+            makes[then] = -1
+            after[at] = follow
+            before[follow] = at  # a stop follows the last symbol of a piece
+            touched = np.concatenate([before[at], at])
+            touched = touched[touched >= 0]
+            made = self._made(symbols[touched], symbols[after[touched]])
+            makes[touched] = made
+            real = made >= 0
+            if real.any():
+                enter(touched[real], made[real])
+        live = symbols >= 0
+        ids = symbols[live].tolist()
+        ends = np.cumsum(live)[stops].tolist()
+        return [ids[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
 def _segments(text: str) -> list:
@@ -165,14 +171,14 @@ def encode(
         store = SegmentStore(_SegmentEncoder(table.value, pattern))
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found, offsets = store.ids_of([_segments(t) for t in texts_of(batch, text)])
+            found, offsets = store.ids_of(map(_segments, texts_of(batch, text)))
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(found, pa.int32()))
             return extended(batch, keep, {ids: lists}, fields)
 
         return work
 
     names = list(dict.fromkeys([*keep, text]))
-    return map_slices(docs.select(*names), text, start, schema)
+    return map_slices(docs.select(*names), text, start, schema, 16 << 20)
 
 
 def decode(

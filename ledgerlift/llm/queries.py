@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import bpe, kdtree, langid, packing, simhash, sketches, toxicity
+from ledgerlift.llm import bpe, kdtree, langid, lm, packing, simhash, sketches, toxicity
 from ledgerlift.llm.samples import fold
 from ledgerlift.sources.stages import stage
 
@@ -63,6 +63,14 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by word counts and by the neural model, learnt outside fold 2 of 7."""
+    held_out = fold("doc_id", 7) == 2
+    return lm.score(documents(spark, sf_dir, "doc_id", "text"), ~held_out, keep=["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents, learnt from those outside fold 2 of 4."""

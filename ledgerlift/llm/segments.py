@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 
-MOST_SEGMENTS = 600_000
+MOST_SEGMENTS = 400_000
 
 
 class SegmentStore:
@@ -28,24 +28,33 @@ class SegmentStore:
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter((i for part in ids for i in part), np.int32, int(size.sum()))
         first = len(self.flat) + np.cumsum(size) - size
-        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
         self.flat = np.concatenate([self.flat, flat])
         self.first = np.concatenate([self.first, first])
         self.size = np.concatenate([self.size, size])
 
-    def ids_of(self, texts: list[list]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, given as lists of segments, and the offset of each text in them (one more at the end)."""
-        new = list({s for segments in texts for s in segments if s not in self.index})
-        if len(self.index) + len(new) > self.most and self.index:
+    def ids_of(self, texts: Iterable[list]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, given as lists of segments, and the offset of each text in them (one more at the end).
+
+        Texts may come from a generator: of each only the numbers of its segments are kept.
+        """
+        if len(self.index) > self.most:
             self._clear()
-            new = list({s for segments in texts for s in segments})
+        index, new, parts, counts = self.index, [], [], [0]
+        for segments in texts:
+            at = list(map(index.get, segments))
+            if None in at:
+                for n, known in enumerate(at):
+                    if known is None:
+                        s = segments[n]
+                        at[n] = found = index.setdefault(s, len(index))
+                        if found == len(self.size) + len(new):
+                            new.append(s)
+            parts.append(np.array(at, np.int32))
+            counts.append(len(at))
         if new:
             self._learn(new)
-        counts = np.fromiter(map(len, texts), np.int64, len(texts))
-        total = int(counts.sum())
-        at = np.fromiter((self.index[s] for segments in texts for s in segments), np.int64, total)
+        at = np.concatenate(parts) if parts else np.empty(0, np.int32)
         size = self.size[at]
         ends = np.cumsum(size)
-        ids = self.flat[np.repeat(self.first[at] - (ends - size), size) + np.arange(ends[-1] if total else 0)]
-        offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        return ids, offsets
+        ids = self.flat[np.repeat(self.first[at] - (ends - size), size) + np.arange(ends[-1] if len(at) else 0)]
+        return ids, np.concatenate([[0], ends])[np.cumsum(counts)]
