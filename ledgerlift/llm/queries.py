@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import bpe, kdtree, langid, lm, packing, simhash, sketches, toxicity
+from ledgerlift.llm import ann, bpe, kdtree, langid, lm, packing, simhash, sketches, toxicity
 from ledgerlift.llm.samples import fold
 from ledgerlift.sources.stages import stage
 
@@ -63,6 +63,13 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20, among all others."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return ann.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0), top=20)
+
+
 @query
 def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by word counts and by the neural model, learnt outside fold 2 of 7."""
