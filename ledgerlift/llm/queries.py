@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import ann, bpe, kdtree, langid, lm, packing, simhash, sketches, toxicity
+from ledgerlift.llm import ann, bpe, kdtree, langid, lm, packing, simhash, sketches, suffixdedup, toxicity
 from ledgerlift.llm.samples import fold
 from ledgerlift.sources.stages import stage
 
@@ -48,6 +48,15 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove from every document the bytes of 200-byte strings that also start elsewhere."""
+    rows = suffixdedup.remove_repeats(documents(spark, sf_dir, "doc_id", "text"), length=200)
+    return rows.select(
+        "doc_id", "n_bytes", suffixdedup.removed_bytes().alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bottom-k sketches of every text and of its edited text, and how alike they and the next are."""
