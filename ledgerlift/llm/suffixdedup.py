@@ -206,7 +206,7 @@ def repeated_runs(
 
 def remove_repeats(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = 200, keep: list[str] | None = None,
-    most_regions: int = 20_000,
+    most_regions: int = 20_000, whole_characters: bool = False,
 ) -> DataFrame:
     """Each document's kept bytes and removed spans.
 
@@ -215,7 +215,8 @@ def remove_repeats(
     judged on the input. Columns: ``keep`` (all but the text, unless named), kept (binary),
     n_bytes and spans (array of start and end). Null text counts as empty and shorter
     texts keep all. Two rows alike in key and text repeat each other and lose all that
-    is long enough. Clashing names raise ValueError.
+    is long enough. ``whole_characters`` keeps a character of which a byte stays, so the
+    kept bytes are text. Clashing names raise ValueError.
     """
     keep = [c for c in docs.columns if c != text] if keep is None else keep
     keyed = _keyed(docs, key, text)
@@ -236,9 +237,15 @@ def remove_repeats(
                         edges[r["first"] + at] += 1
                         edges[r["first"] + at + n + length - 1] -= 1
                 covered = np.cumsum(edges[:-1]) > 0
+                codes = np.frombuffer(data, np.uint8)
+                if whole_characters:  # a character goes only if all of its bytes do
+                    first = np.flatnonzero((codes & 0xC0) != 0x80)
+                    if len(first):
+                        covered = np.repeat(
+                            np.logical_and.reduceat(covered, first), np.diff(np.concatenate([first, [len(codes)]])))
                 cuts = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
                 sizes.append(len(data))
-                kept.append(np.frombuffer(data, np.uint8)[~covered].tobytes())
+                kept.append(codes[~covered].tobytes())
                 spans.append([{"start": int(a), "end": int(b)} for a, b in zip(cuts[::2], cuts[1::2], strict=True)])
             arrays = [batch.column(c) for c in keep] + [
                 pa.array(sizes, pa.int64()), pa.array(kept, pa.binary()), pa.array(spans, fields.field("spans").type)]
