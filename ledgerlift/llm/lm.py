@@ -286,7 +286,7 @@ def score(
     learnt = docs.filter(training).select(text)
     counts = stage(count_words(learnt, text=text), "lm-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    first = counts.orderBy(F.desc("n"), "word").limit(settings.known_words).toArrow()
+    first = counts.orderBy(F.col("word") != F.lit(bytearray(END)), F.desc("n"), "word").limit(settings.known_words).toArrow()
     words, known = first.column("word").to_pylist(), first.column("n").to_pylist()
     own, shared = settings.own_classes, settings.shared_classes
 

@@ -111,6 +111,8 @@ def fit(
     seen_w = np.full(buckets, caution, np.float32)
     seen_v = np.full((buckets, factors), caution, np.float32)
     seen_b = 1.0
+    batch = min(batch, max(16, len(answer) // 50))  # a small sample is seen more often and in smaller steps
+    epochs = max(epochs, min(60, -(-1500 * batch // len(answer))))
     positive = np.where(answer > 0, min(10.0, (1 - prior) / max(prior, 1e-3)) ** 0.5, 1.0)
     for epoch in range(epochs):
         use = np.ones(len(answer), bool)
