@@ -42,7 +42,7 @@ class Settings:
     shared_classes: int = 64
     factors: int = 32
     batch: int = 4096
-    noise: int = 64
+    noise: int = 32
     noise_weight: float = 10.0
     rate: float = 0.1
     rounds: int = 1
@@ -173,15 +173,17 @@ class Trainer:
         self.level = np.log(settings.noise_weight * shares).astype(np.float32)
         self.seen = [np.full_like(a, 0.1) for a in (model.before, model.earlier, model.target, model.bias)]
 
-    def _move(self, which: int, rows: np.ndarray, grads: np.ndarray) -> None:
-        """Add up the gradients of equal rows and take an Adagrad step."""
-        order = rows.argsort(kind="stable")
-        rows, grads = rows[order], grads[order]
+    def _move(self, rows: np.ndarray, *moves: tuple[int, np.ndarray]) -> None:
+        """Add up the gradients of equal rows and take an Adagrad step, for each (parameter, gradients)."""
+        order = rows.astype(np.uint16).argsort(kind="stable")
+        rows = rows[order]
         first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        total, rows = np.add.reduceat(grads, first, axis=0), rows[first]
-        values = (self.model.before, self.model.earlier, self.model.target, self.model.bias)[which]
-        self.seen[which][rows] += total ** 2
-        values[rows] -= self.settings.rate * total / np.sqrt(self.seen[which][rows])
+        rows = rows[first]
+        for which, grads in moves:
+            total = np.add.reduceat(grads[order], first, axis=0)
+            values = (self.model.before, self.model.earlier, self.model.target, self.model.bias)[which]
+            self.seen[which][rows] += total ** 2
+            values[rows] -= self.settings.rate * total / np.sqrt(self.seen[which][rows])
 
     def step(self, one: np.ndarray, two: np.ndarray, word: np.ndarray) -> None:
         m, s = self.model, self.settings
@@ -194,10 +196,11 @@ class Trainer:
         false = (s.noise_weight / s.noise) / (1 + np.exp(-np.clip(false, -30, 30)))
         real, false = (real * (64 / n)).astype(np.float32), (false * (64 / n)).astype(np.float32)
         back = real[:, None] * own + false @ m.target[noise]
-        self._move(2, np.concatenate([word, noise]), np.concatenate([real[:, None] * context, false.T @ context]))
-        self._move(3, np.concatenate([word, noise]), np.concatenate([real, false.sum(axis=0)]))
-        self._move(0, one, back)
-        self._move(1, two, back)
+        self._move(
+            np.concatenate([word, noise]), (2, np.concatenate([real[:, None] * context, false.T @ context])),
+            (3, np.concatenate([real, false.sum(axis=0)])))
+        self._move(one, (0, back))
+        self._move(two, (1, back))
 
 
 def _train_round(docs: DataFrame, text: str, table, model: Model, shares: np.ndarray, settings: Settings) -> Model:
@@ -344,7 +347,7 @@ def _local_scores(
         logs = np.log10(words.counts + 1)
         inside = np.zeros(settings.classes)
         inside[settings.own_classes:] = np.log10(own_room)
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, 16 << 20):
             numbers, classes, offsets, rest = words.read(texts_of(batch, text))
             classes = np.where(classes < 0, settings.own_classes, classes)
             one, two = _contexts(classes, offsets, int(max(0, words.classes[words.end])))
