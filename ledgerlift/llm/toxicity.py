@@ -76,13 +76,19 @@ def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def logits(machine: Machine, terms: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Of each passage; every different term counts 1/sqrt(number of terms)."""
-    size = np.maximum(LEAST_TERMS, np.diff(offsets))
-    own = machine.vectors[terms]
-    joint = _sums(own, offsets)
-    pairs = 0.5 * ((joint ** 2).sum(axis=1) - _sums((own ** 2).sum(axis=1), offsets))
-    return machine.bias + _sums(machine.weights[terms], offsets) / np.sqrt(size) + pairs / size
+def logits(machine: Machine, terms: np.ndarray, offsets: np.ndarray, step: int = 8192) -> np.ndarray:
+    """Of each passage; every different term counts 1/sqrt(number of terms). ``step`` passages are held at a time."""
+    out = np.empty(len(offsets) - 1)
+    for at in range(0, len(out), step):
+        inside = offsets[at:at + step + 1]
+        ids = terms[inside[0]:inside[-1]]
+        inside = inside - inside[0]
+        size = np.maximum(LEAST_TERMS, np.diff(inside))
+        own = machine.vectors[ids]
+        joint = _sums(own, inside)
+        pairs = 0.5 * ((joint ** 2).sum(axis=1) - _sums((own ** 2).sum(axis=1), inside))
+        out[at:at + step] = machine.bias + _sums(machine.weights[ids], inside) / np.sqrt(size) + pairs / size
+    return out
 
 
 def fit(
@@ -105,8 +111,11 @@ def fit(
     if not len(answer):
         return machine
     sizes = np.diff(offsets)
-    pairs_seen = np.unique(terms.astype(np.int64) * len(labels) + np.repeat(owner, sizes))
-    known = np.bincount(pairs_seen // len(labels), minlength=buckets) >= least_texts
+    texts_with = np.zeros(buckets, np.int32)
+    edges = np.searchsorted(owner, np.arange(len(labels) + 1))
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        texts_with[np.unique(terms[offsets[a]:offsets[b]])] += 1
+    known = texts_with >= least_texts
     machine.vectors[~known] = 0
     seen_w = np.full(buckets, caution, np.float32)
     seen_v = np.full((buckets, factors), caution, np.float32)
