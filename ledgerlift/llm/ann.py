@@ -4,8 +4,9 @@ Centroids are fitted on a bounded sample by halving it along its main direction,
 are of like length. A vector enters the list of its nearest centroid and, near a boundary,
 those of others about as near. Centroids are searched through an in-memory graph of their
 neighbours. A query reads every list whose centroid is at most ``ratio`` times as far as
-its nearest. Lists are cut into blocks of bounded size, so neither a long list nor many
-queries of one list end in one task.
+its nearest: first the nearest, whose best vectors give the score that those of the other
+lists must reach, so these return few. Lists are cut into blocks of bounded size, so
+neither a long list nor many queries of one list end in one task.
 
 Equal vectors are one entry with their smallest ids, so a vector on a third of all rows is
 compared once. Largest inner product becomes smallest distance by one extra dimension that
@@ -129,9 +130,10 @@ def _matrix(column) -> np.ndarray:
 
 
 def _placed(distinct: DataFrame, fitted, settings: Settings, queries: bool) -> DataFrame:
-    """(list, key, vector as bytes): where a vector is stored, or which lists a query reads."""
+    """(list, key, vector as bytes, nearest): where a vector is stored, or which lists a query reads; the nearest is marked."""
     schema = T.StructType([
-        T.StructField("list", T.IntegerType()), T.StructField("key", T.LongType()), T.StructField("vector", T.BinaryType())])
+        T.StructField("list", T.IntegerType()), T.StructField("key", T.LongType()), T.StructField("vector", T.BinaryType()),
+        T.StructField("nearest", T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centroids, graph, longest = fitted.value
@@ -143,7 +145,7 @@ def _placed(distinct: DataFrame, fitted, settings: Settings, queries: bool) -> D
                     length = np.abs(vectors).max(axis=1, keepdims=True)
                     points = vectors / length
                     points = np.pad(points / np.sqrt((points ** 2).sum(axis=1, keepdims=True)), ((0, 0), (0, 1)))
-                    _, near = search_graph(centroids, graph, points, settings.ratio)
+                    far, near = search_graph(centroids, graph, points, settings.ratio)
                 else:
                     far, near = search_graph(centroids, graph, _lifted(vectors, longest), settings.boundary)
                     if far.shape[1] > settings.copies:
@@ -152,17 +154,52 @@ def _placed(distinct: DataFrame, fitted, settings: Settings, queries: bool) -> D
                 row, place = np.nonzero(near)
                 data = [v.tobytes() for v in vectors]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(place, pa.int32()), pa.array(keys[row], pa.int64()), pa.array([data[r] for r in row], pa.binary())],
-                    ["list", "key", "vector"])
+                    [pa.array(place, pa.int32()), pa.array(keys[row], pa.int64()), pa.array([data[r] for r in row], pa.binary()),
+                     pa.array(place == far.argmin(axis=1)[row])],
+                    ["list", "key", "vector", "nearest"])
 
     return distinct.select(F.col("key").cast("long"), "vector").mapInArrow(run, schema)
 
 
-def _blocked(rows: DataFrame, own: str, own_blocks: DataFrame, other: str) -> DataFrame:
+def _blocked(rows: DataFrame, own: str, blocks: DataFrame, other: str) -> DataFrame:
     """Each row in its block of the list, once for every block of the other side."""
-    sized = rows.join(F.broadcast(own_blocks), "list")
     mine = F.pmod(F.xxhash64("key"), F.col(own)).cast("int").alias(f"{own}_at")
-    return sized.select("list", "key", "vector", mine, F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(f"{other}_at"))
+    every = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(f"{other}_at")
+    return rows.join(F.broadcast(blocks), "list").select(*rows.columns, mine, every)
+
+
+def _compared(stored: DataFrame, reads: DataFrame, top: int, block: int) -> DataFrame:
+    """(qkey, key, score): the ``top`` best of each block that a query reads, if they reach the query's ``bound``."""
+
+    def sizes(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(name))
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        kind = pa.schema([("qkey", pa.int64()), ("key", pa.int64()), ("score", pa.float64())])
+        if not left.num_rows or not right.num_rows:
+            return pa.Table.from_pylist([], schema=kind)
+        left = left.sort_by("key")  # equal scores keep the smaller keys
+        keys, qkeys, bounds = left.column("key").to_numpy(), right.column("key").to_numpy(), right.column("bound").to_numpy()
+        vectors, asked = (
+            np.frombuffer(b"".join(t.column("vector").to_pylist())).reshape(t.num_rows, -1) for t in (left, right))
+        # rounding of the matrix product is far below this share of the lengths
+        slack = 1e-12 * np.sqrt((asked ** 2).sum(axis=1)) * np.sqrt((vectors ** 2).sum(axis=1).max())
+        out = []
+        for at in range(0, len(qkeys), 256):
+            scores = asked[at:at + 256] @ vectors.T
+            best = np.argsort(-scores, axis=1, kind="stable")[:, :top]
+            least = (bounds - slack)[at:at + 256, None]
+            row, column = np.nonzero(np.take_along_axis(scores, best, axis=1) >= least)
+            place = best[row, column]
+            exact = (asked[at + row] * vectors[place]).sum(axis=1)
+            out.append(pa.Table.from_arrays([pa.array(qkeys[at + row]), pa.array(keys[place]), pa.array(exact)], schema=kind))
+        return pa.concat_tables(out)
+
+    blocks = sizes(stored, "p").join(sizes(reads, "q"), "list")
+    at = ["list", "p_at", "q_at"]
+    return _blocked(stored.select("list", "key", "vector"), "p", blocks, "q").groupBy(*at).cogroup(
+        _blocked(reads.select("list", "key", "vector", "bound"), "q", blocks, "p").groupBy(*at)).applyInArrow(
+        compare, "qkey long, key long, score double")
 
 
 def search(
@@ -193,36 +230,20 @@ def search(
     fitted = spark.sparkContext.broadcast((centroids, neighbour_graph(centroids, settings.neighbours), longest))
     stored = stage(_placed(known, fitted, settings, False), "ann-lists")
     reads = stage(_placed(asked_keys, fitted, settings, True), "ann-reads")
-    blocks = (
-        stored.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / settings.block).cast("int").alias("p"))
-        .join(reads.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / settings.block).cast("int").alias("q")), "list"))
-    near = T.StructType([T.StructField("qkey", T.LongType()), T.StructField("key", T.LongType()), T.StructField("score", T.DoubleType())])
-
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        kind = pa.schema([("qkey", pa.int64()), ("key", pa.int64()), ("score", pa.float64())])
-        if not left.num_rows or not right.num_rows:
-            return pa.Table.from_pylist([], schema=kind)
-        left = left.sort_by("key")  # equal scores keep the smaller keys
-        keys, qkeys = left.column("key").to_numpy(), right.column("key").to_numpy()
-        vectors, asked_for = (
-            np.frombuffer(b"".join(t.column("vector").to_pylist())).reshape(t.num_rows, -1) for t in (left, right))
-        out = []
-        for at in range(0, len(qkeys), 256):
-            scores = asked_for[at:at + 256] @ vectors.T
-            best = np.argsort(-scores, axis=1, kind="stable")[:, :top + 1]
-            row = np.repeat(np.arange(len(scores)), best.shape[1])
-            place = best.ravel()
-            exact = (asked_for[at + row] * vectors[place]).sum(axis=1)
-            out.append(pa.Table.from_arrays([pa.array(qkeys[at + row]), pa.array(keys[place]), pa.array(exact)], schema=kind))
-        return pa.concat_tables(out)
-
-    at = ["list", "p_at", "q_at"]
-    found = _blocked(stored, "p", blocks, "q").groupBy(*at).cogroup(
-        _blocked(reads, "q", blocks, "p").groupBy(*at)).applyInArrow(compare, near)
     first = Window.partitionBy("qkey").orderBy(F.desc("score"), "key")
-    best = (
-        found.groupBy("qkey", "key").agg(F.max("score").alias("score"))
-        .withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= top + 1).drop("rank"))
+
+    def best_of(found: DataFrame) -> DataFrame:
+        once = found.groupBy("qkey", "key").agg(F.max("score").alias("score"))
+        return once.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= top + 1)
+
+    none = F.lit(float("-inf"))
+    near = stage(best_of(_compared(
+        stored, reads.filter("nearest").withColumn("bound", none), top + 1, settings.block)).drop("rank"), "ann-near")
+    bounds = near.groupBy(F.col("qkey").alias("key")).agg(
+        F.when(F.count(F.lit(1)) > top, F.min("score")).otherwise(none).alias("bound"))
+    others = reads.filter(~F.col("nearest")).join(bounds, "key", "left").withColumn("bound", F.coalesce("bound", none))
+    beyond = _compared(stored, others, top + 1, settings.block)
+    best = best_of(near.unionByName(beyond)).drop("rank")
     each = Window.partitionBy("qkey").orderBy(F.desc("score"), "vec_id")
     rows = (
         best.join(known.select("key", "ids"), "key").select("qkey", "score", F.explode("ids").alias("vec_id"))
