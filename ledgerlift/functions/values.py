@@ -8,7 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _INTEGERS = {"bigint", "int", "integer", "smallint", "tinyint", "long"}
-MONEY = "decimal(18,2)"
+MONEY = "decimal(28,2)"  # of a total, which is rounded once
+EXACT = "decimal(28,8)"  # of the values that are added up
 
 
 def cast_to(c: Column, sql_type: str, lenient: bool = False) -> Column:
@@ -29,8 +30,8 @@ def cast_to(c: Column, sql_type: str, lenient: bool = False) -> Column:
 
 
 def money_sum(c: Column) -> Column:
-    """Sum in exact decimals, so the order of the rows cannot change it."""
-    return F.coalesce(F.sum(c.cast(MONEY)), F.lit(0).cast(MONEY))
+    """Sum in exact decimals, so the order of the rows cannot change it; only the sum is rounded."""
+    return F.coalesce(F.sum(c.cast(EXACT)), F.lit(0).cast(EXACT)).cast(MONEY)
 
 
 def row_hash(columns: Sequence[Column]) -> tuple[Column, Column]:

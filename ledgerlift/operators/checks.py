@@ -250,10 +250,13 @@ def blank_rates(df: DataFrame, domain: Domain, columns: Sequence[str] | None = N
 
 
 def collect_findings(parts: Sequence[DataFrame]) -> DataFrame:
-    """Union of checks, each finding with a key that survives a rebuild."""
+    """Union of checks, each finding with a key that survives a rebuild.
+
+    A missing value has a mark of its own in the key, so it does not move the values after it.
+    """
     union = reduce(DataFrame.unionByName, [p.select(*FINDING_COLUMNS) for p in parts])
-    key = F.sha2(F.concat_ws("\u001f", "table_name", "column_name", "row_identifier",
-                             "detection_rule", "description"), 256)
+    names = ("table_name", "column_name", "row_identifier", "detection_rule", "description")
+    key = F.sha2(F.concat_ws("\u001f", *[F.coalesce(F.concat(F.lit("="), c), F.lit("-")) for c in names]), 256)
     return union.withColumn("finding_key", key)
 
 

@@ -65,12 +65,13 @@ def migrate(mapped: DataFrame, spec: DomainSpec, row_id: str, actions: DataFrame
     """Mapped rows without the held ones, with migration_status and issue_id.
 
     One join serves both decisions. ``actions`` is unique per row, so no key is hot; read
-    from a stage, its size decides between broadcast and shuffle.
+    from a stage, its size decides between broadcast and shuffle. A missing id is an id like
+    any other: an action on a row without id holds or flags all rows without id.
     """
     key = spec.target_of(row_id)
     own = actions.filter(F.col("table_name") == spec.source_table).select(
-        F.col("row_identifier").alias(key), "held", "issue_id")
-    joined = mapped.join(own, key, "left").filter(~F.coalesce("held", F.lit(False)))
+        F.col("row_identifier").alias("_id"), "held", "issue_id")
+    joined = mapped.join(own, mapped[key].eqNullSafe(own["_id"]), "left").filter(~F.coalesce("held", F.lit(False)))
     return joined.select(
         *mapped.columns,
         F.when(F.col("issue_id").isNotNull(), "migrated_with_flag").otherwise("clean").alias("migration_status"),

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.functions.values import MONEY, money_sum, row_hash
+from ledgerlift.functions.values import EXACT, money_sum, row_hash
 from ledgerlift.operators.mapping import map_table
 from ledgerlift.schemas import DOMAINS, MONEY_TOLERANCE
 from ledgerlift.sources.spec import DomainSpec
@@ -17,7 +17,8 @@ from ledgerlift.sources.spec import DomainSpec
 def row_counts(sources: Mapping[str, DataFrame], targets: Mapping[str, DataFrame], held: DataFrame) -> DataFrame:
     """Source, target and held rows per table with the verdict on their difference.
 
-    A row held for several reasons counts once, and held rows are found by table name.
+    A row held for several reasons counts once, and held rows are found by table name. Where
+    an id is missing or repeats, every row that has it is held, and each of them counts.
     """
     n = F.count(F.lit(1)).cast("bigint")
     parts = []
@@ -26,9 +27,8 @@ def row_counts(sources: Mapping[str, DataFrame], targets: Mapping[str, DataFrame
         zero = F.lit(0).cast("bigint")
         parts.append(sources[key].agg(n.alias("s")).select(table, "s", zero.alias("t"), zero.alias("h")))
         parts.append(targets[key].agg(n.alias("t")).select(table, zero.alias("s"), "t", zero.alias("h")))
-    parts.append(
-        held.groupBy("table_name").agg(F.count_distinct("row_identifier").cast("bigint").alias("h"))
-        .select("table_name", F.lit(0).cast("bigint").alias("s"), F.lit(0).cast("bigint").alias("t"), "h"))
+        out = held_source_rows(sources[key], held, DOMAINS[key].table, DOMAINS[key].row_id)
+        parts.append(out.agg(n.alias("h")).select(table, zero.alias("s"), zero.alias("t"), "h"))
     totals = reduce(DataFrame.unionByName, parts).groupBy("table_name").agg(
         F.sum("s").alias("source_rows"), F.sum("t").alias("target_rows"), F.sum("h").alias("held_rows"))
     delta = F.col("target_rows") - F.col("source_rows")
@@ -49,6 +49,12 @@ def _held_ids(held: DataFrame, table: str, key: str) -> DataFrame:
     return held.filter(F.col("table_name") == table).select(F.col("row_identifier").alias(key)).distinct()
 
 
+def held_source_rows(source: DataFrame, held: DataFrame, table: str, row_id: str, how: str = "left_semi") -> DataFrame:
+    """Source rows whose id is held, or with ``left_anti`` the others; a missing id is an id like any other."""
+    ids = _held_ids(held, table, "_held")
+    return source.join(ids, source[row_id].eqNullSafe(ids["_held"]), how)
+
+
 def row_checksums(source: DataFrame, target: DataFrame, spec: DomainSpec, row_id: str, held: DataFrame) -> DataFrame:
     """(key, state) per row id: matched, drifted, held, missing or unexpected.
 
@@ -67,16 +73,16 @@ def row_checksums(source: DataFrame, target: DataFrame, spec: DomainSpec, row_id
         _held_ids(held, spec.source_table, "key").select(
             "key", F.lit("h").alias("side"), zero.alias("lo"), zero.alias("hi")))
 
-    # with one row per id the two xors are its hashes; the extremes tell repeated ids apart
+    # with one row per id the two xors are its hashes; extremes and sums tell repeated ids apart
     def facts(which: Column, prefix: str) -> list[Column]:
         low, high = F.when(which, F.col("lo")), F.when(which, F.col("hi"))
         return [F.count_if(which).alias(f"{prefix}_n"), F.min(low).alias(f"{prefix}_min"),
                 F.max(low).alias(f"{prefix}_max"), F.bit_xor(low).alias(f"{prefix}_lo"),
-                F.bit_xor(high).alias(f"{prefix}_hi")]
+                F.bit_xor(high).alias(f"{prefix}_hi"), F.sum(F.shiftright(low, 32)).alias(f"{prefix}_sum")]
 
     by_key = both.groupBy("key").agg(*facts(is_s, "s"), *facts(is_t, "t"), F.count_if(is_h).alias("h_n"))
     same = reduce(lambda a, b: a & b,
-                  [F.col(f"s_{f}").eqNullSafe(F.col(f"t_{f}")) for f in ("n", "min", "max", "lo", "hi")])
+                  [F.col(f"s_{f}").eqNullSafe(F.col(f"t_{f}")) for f in ("n", "min", "max", "lo", "hi", "sum")])
     state = (
         F.when((F.col("s_n") == 0) & (F.col("t_n") == 0), F.lit(None).cast("string"))
         .when(F.col("s_n") == 0, "unexpected")
@@ -95,13 +101,31 @@ def checksum_summary(states: DataFrame, table: str) -> DataFrame:
 
 
 def column_drift(source: DataFrame, target: DataFrame, spec: DomainSpec, row_id: str) -> DataFrame:
-    """(column_name, compared, drifted): differing values per column over rows on both sides."""
+    """(column_name, compared, drifted): ids on both sides, and those whose values differ, per column.
+
+    Where an id is missing or repeats, the values of all its rows are compared as a whole,
+    whatever their order. One aggregate by id takes the place of a join.
+    """
     key = spec.target_of(row_id)
     columns = [c for c in spec.targets() if c != key]
-    pairs = map_table(source, spec).alias("s").join(target.alias("t"), key)
-    counts = pairs.agg(
-        F.count(F.lit(1)).alias("compared"),
-        *[F.count_if(~F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}"))).alias(f"n_{i}") for i, c in enumerate(columns)])
+    mapped = map_table(source, spec).select(key, *columns, F.lit(True).alias("_source"))
+    both = mapped.unionByName(target.select(key, *columns, F.lit(False).alias("_source")))
+    hashed = both.select(key, "_source", *[
+        F.xxhash64(F.col(c), F.col(c).isNull()).alias(f"h_{i}") for i, c in enumerate(columns)])
+    facts = [F.count_if("_source").alias("s_n"), F.count_if(~F.col("_source")).alias("t_n")]
+    for i in range(len(columns)):
+        for side, own in (("s", F.col("_source")), ("t", ~F.col("_source"))):
+            value = F.when(own, F.col(f"h_{i}"))
+            # the upper halves add up without overflow and tell repeated values apart, which cancel in the xor
+            facts += [F.bit_xor(value).alias(f"{side}_x_{i}"), F.sum(F.shiftright(value, 32)).alias(f"{side}_a_{i}")]
+    by_id = hashed.groupBy(key).agg(*facts).filter((F.col("s_n") > 0) & (F.col("t_n") > 0))
+
+    def same(i: int) -> Column:
+        pairs = [F.col(f"s_{f}_{i}").eqNullSafe(F.col(f"t_{f}_{i}")) for f in "xa"]
+        return (F.col("s_n") == F.col("t_n")) & pairs[0] & pairs[1]
+
+    counts = by_id.agg(
+        F.count(F.lit(1)).alias("compared"), *[F.count_if(~same(i)).alias(f"n_{i}") for i in range(len(columns))])
     return counts.select("compared", F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"n_{i}").alias("drifted")) for i, c in enumerate(columns)
     ]))).select("column_name", "compared", "drifted")
@@ -116,12 +140,12 @@ def compare_totals(source: DataFrame, target: DataFrame, measure: Column, held:
     group on one side only counts as 0 on the other. Both sides are summed in exact
     decimals in one aggregate.
     """
-    kept = source.join(_held_ids(held, table, source_row_id), source_row_id, "left_anti")
+    kept = held_source_rows(source, held, table, source_row_id, "left_anti")
     name = F.lit("all") if group is None else group.cast("string")
 
     def side(df: DataFrame, is_source: bool) -> DataFrame:
-        value = measure.cast(MONEY)
-        none = F.lit(None).cast(MONEY)
+        value = measure.cast(EXACT)
+        none = F.lit(None).cast(EXACT)
         return df.select(name.alias("group_value"),
                          (value if is_source else none).alias("s"), (none if is_source else value).alias("t"))
 
@@ -132,7 +156,7 @@ def compare_totals(source: DataFrame, target: DataFrame, measure: Column, held:
         F.lit(rule).alias("rule"), "group_value",
         F.col("source_total").cast("double").alias("source_total"),
         F.col("target_total").cast("double").alias("target_total"),
-        F.when(gap < F.lit(tolerance).cast("decimal(18,6)"), "PASS").otherwise("FAIL").alias("status"))
+        F.when(gap < F.lit(tolerance).cast(EXACT), "PASS").otherwise("FAIL").alias("status"))
 
 
 def inclusion_counts(target: DataFrame, held: DataFrame, table: str) -> DataFrame:
@@ -164,12 +188,17 @@ def headline(counts: DataFrame, checksums: DataFrame, rules: DataFrame) -> DataF
         .otherwise("Does not reconcile with migration policy").alias("headline"))
 
 
+def order_value() -> Column:
+    """Quantity times unit price; the price keeps six decimals, and only totals are rounded."""
+    return F.col("quantity").cast("decimal(18,2)") * F.col("unit_price").cast("decimal(18,6)")
+
+
 def standard_rules(sources: Mapping[str, DataFrame], targets: Mapping[str, DataFrame], held: DataFrame,
                    names: Sequence[str] = ("expenses", "procurement", "finance")) -> DataFrame:
     """The three business totals."""
     measures = {
         "expenses": (F.col("amount"), "total expense amount"),
-        "procurement": (F.col("quantity").cast(MONEY) * F.col("unit_price").cast(MONEY), "total order value"),
+        "procurement": (order_value(), "total order value"),
         "finance": (F.col("amount"), "total finance amount"),
     }
     parts = []

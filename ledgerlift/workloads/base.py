@@ -315,4 +315,4 @@ def migrated(spark: SparkSession, sf_dir: str):
 
 
 def money(expression: str) -> str:
-    return f"CAST(COALESCE(SUM(CAST({expression} AS DECIMAL(18,2))), 0) AS DOUBLE)"
+    return f"CAST(CAST(COALESCE(SUM(CAST({expression} AS DECIMAL(28,8))), 0) AS DECIMAL(28,2)) AS DOUBLE)"

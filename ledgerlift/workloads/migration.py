@@ -263,16 +263,17 @@ def column_drift(spark, sf):
 def _rule_sql(key: str, expression: str, rule: str, group: str | None = None) -> str:
     short, d = SHORT[key], DOMAINS[key]
     g = f"CAST({group} AS VARCHAR)" if group else "'all'"
-    cast = f"CAST({expression} AS DECIMAL(18,2))"
+    cast = f"CAST({expression} AS DECIMAL(28,8))"
+    left, right = (f"CAST(coalesce(sum({x}), 0) AS DECIMAL(28,2))" for x in "st")
     kept = (f"SELECT {g} AS group_value, {cast} AS s, NULL AS t FROM {short} WHERE {d.row_id} NOT IN (SELECT row_identifier "
             f"FROM held WHERE table_name = '{d.table}')")
-    return (f"SELECT '{rule}' AS rule, group_value, CAST(coalesce(sum(s), 0) AS DOUBLE) AS source_total, "
-            "CAST(coalesce(sum(t), 0) AS DOUBLE) AS target_total, CASE WHEN abs(coalesce(sum(s), 0) - coalesce(sum(t), 0)) "
+    return (f"SELECT '{rule}' AS rule, group_value, CAST({left} AS DOUBLE) AS source_total, "
+            f"CAST({right} AS DOUBLE) AS target_total, CASE WHEN abs({left} - {right}) "
             f"< 0.01 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({kept} UNION ALL SELECT {g}, NULL, {cast} FROM "
             f"target_{short}) u GROUP BY group_value")
 
 
-PO_VALUE = "CAST(quantity AS DECIMAL(18,2)) * CAST(unit_price AS DECIMAL(18,2))"
+PO_VALUE = "CAST(quantity AS DECIMAL(18,2)) * CAST(unit_price AS DECIMAL(18,6))"
 RULES = {
     "R9_expense_total": ("expenses", "amount", "total expense amount"),
     "R10_order_value": ("procurement", PO_VALUE, "total order value"),
@@ -297,8 +298,7 @@ def expenses_by_centre(spark, sf):
     "procurement", PO_VALUE, "order value by vendor", "vendor_id")))
 def orders_by_vendor(spark, sf):
     src, held, targets = migrated(spark, sf)
-    value = F.col("quantity").cast("decimal(18,2)") * F.col("unit_price").cast("decimal(18,2)")
-    return R.compare_totals(src["procurement"], targets["procurement"], value, held, "legacy_procurement", "po_id",
+    return R.compare_totals(src["procurement"], targets["procurement"], R.order_value(), held, "legacy_procurement", "po_id",
                             "order value by vendor", F.col("vendor_id"))
 
 

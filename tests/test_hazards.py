@@ -12,7 +12,8 @@ from ledgerlift.operators import duplicates as D
 from ledgerlift.operators import issues as I
 from ledgerlift.operators import policy as P
 from ledgerlift.operators import reconcile as R
-from ledgerlift.schemas import DOMAINS
+from ledgerlift.operators.mapping import map_table
+from ledgerlift.schemas import DOMAINS, SOURCE_SCHEMAS
 from ledgerlift.sources.spec import default_spec
 
 FINDING = ("finding_id bigint, domain string, table_name string, column_name string, row_identifier string, "
@@ -195,3 +196,50 @@ def test_vendor_finding_sits_on_the_first_order(spark):
     got = D.company_suffix_findings(D.company_rows(orders), orders).collect()
     assert [r["row_identifier"] for r in got] == ["PO-1"]
     assert got[0]["description"].startswith("Vendor 'Green-Kelly Ltd' (V2) matches 'Green-Kelly' (V1) once")
+
+
+def test_order_value_is_rounded_once(spark):
+    shape = "po_id string, quantity bigint, unit_price double"
+    source = spark.createDataFrame([("P1", 1000, 0.004), ("P2", 1000, 0.004)], shape)
+    target = spark.createDataFrame([("P1", 1000, 0.0049), ("P2", 1000, 0.004)], shape)
+    held = P.held_rows(log_of(spark, [finding(1, "x")])[2])
+    row = R.standard_rules({"procurement": source}, {"procurement": target}, held, ["procurement"]).first()
+    assert (row["source_total"], row["target_total"], row["status"]) == (8.0, 8.9, "FAIL")
+
+
+def _finance(spark, rows):
+    """Finance rows of (id, amount), all other columns missing."""
+    spec, schema = default_spec()["finance"], SOURCE_SCHEMAS["finance"]
+    full = [tuple({"gl_entry_id": i, "amount": a}.get(f.name) for f in schema) for i, a in rows]
+    return spec, spark.createDataFrame(full, schema)
+
+
+def test_a_held_row_without_id_stays_behind(spark):
+    spec, source = _finance(spark, [(None, 5.0), ("a", 6.0), ("b", 7.0)])
+    rows = log_of(spark, [finding(1, None), finding(2, "b")])[2]
+    held = P.held_rows(rows)
+    target = P.migrate(map_table(source, spec), spec, "gl_entry_id", P.row_actions(rows))
+    assert [r["gl_entry_id"] for r in target.collect()] == ["a"]
+    count = R.row_counts({"finance": source}, {"finance": target}, held).first()
+    assert (count["delta"], count["expected_delta"], count["status"]) == (-2, -2, "EXPECTED DELTA")
+    total = R.standard_rules({"finance": source}, {"finance": target}, held, ["finance"]).first()
+    assert (total["source_total"], total["status"]) == (6.0, "PASS")
+
+
+def test_drift_of_repeated_ids(spark):
+    spec, source = _finance(spark, [("a", 1.0), ("a", 2.0), ("b", 3.0)])
+
+    def amount(rows):
+        drift = R.column_drift(source, map_table(_finance(spark, rows)[1], spec), spec, "gl_entry_id")
+        return {r["column_name"]: (r["compared"], r["drifted"]) for r in drift.collect()}["amount"]
+
+    assert amount([("a", 2.0), ("a", 1.0), ("b", 3.0)]) == (2, 0)
+    assert amount([("a", 1.0), ("a", 1.0), ("b", 3.0)]) == (2, 1)
+    assert amount([("a", 1.0), ("b", 4.0)]) == (2, 2)
+
+
+def test_missing_values_do_not_shift_finding_keys(spark):
+    shape = FINDING.replace(", finding_key string", "").replace("finding_id bigint", "check_order int")
+    rows = [(1, "Finance", "t", None, "x", "accuracy", "d", "high", "r"), (1, "Finance", "t", "x", None, "accuracy", "d", "high", "r")]
+    keys = C.collect_findings([spark.createDataFrame(rows, shape)]).select("finding_key").distinct().count()
+    assert keys == 2
