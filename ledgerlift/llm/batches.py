@@ -71,5 +71,7 @@ def map_slices(
             done = work(part)
             if done is not None and done.num_rows:
                 yield done
+        del work
+        pa.default_memory_pool().release_unused()  # the process goes on to tasks of other stages
 
     return df.mapInArrow(run, schema)
