@@ -22,6 +22,8 @@ from ledgerlift.sources.stages import stage
 
 HOT_GRAMS = 4096
 GRAMS_PER_KEY = 2
+# no two different names of which one is shorter reach a threshold that check_threshold accepts
+LEAST_LENGTH = 4
 BLOCK_LETTERS = 3
 
 
@@ -203,7 +205,7 @@ def candidate_keys(names: DataFrame, threshold: float) -> DataFrame:
             g, F.size(F.filter(F.slice(F.col("grams"), 1, i + 1), lambda x: x == g)).cast("string")),
     )
     grams = (
-        names.filter(F.length("raw") >= 5)
+        names.filter(F.length("raw") >= LEAST_LENGTH)
         .withColumn("grams", gram_list).withColumn("grams", numbered)
     )
     hot = (

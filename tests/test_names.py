@@ -146,6 +146,27 @@ def test_candidates_lose_nothing_at_other_thresholds(spark):
         D.similar_names(keys, 0.7)
 
 
+def test_short_names_are_candidates(spark):
+    names = sorted({"anna", "annas", "annxa", "xanna", "aaaa", "aaaaa", "abab", "ababa", "ann", "anns", "an", "ana", "bo", "bob"})
+    keys = D.name_keys(D.person_rows(people(spark, [(f"E{i:04d}", n) for i, n in enumerate(names)])))
+    for threshold in (0.86, 0.88, 0.9):
+        got = {(r.a, r.b) for r in D.similar_names(keys, threshold, blocked=False).select(
+            F.col("early.raw").alias("a"), F.col("late.raw").alias("b")).collect()}
+        want = {(a, b) for i, a in enumerate(names) for b in names[i + 1:] if SequenceMatcher(None, a, b).ratio() >= threshold}
+        assert got == want
+        assert (("anna", "annas") in want) == (threshold < 0.889)
+
+
+def test_shorter_names_reach_no_accepted_threshold():
+    for threshold in (t / 1000 for t in range(500, 1000)):
+        try:
+            D.check_threshold(threshold)
+        except ValueError:
+            continue
+        assert not [(a, b) for a in range(1, D.LEAST_LENGTH) for b in range(a, 20)
+                    if 2 * (a if b > a else a - 1) / (a + b) >= threshold]
+
+
 def test_tokens(spark):
     cases = {
         "Dr": [], ".": [""], "Ann Smith": ["ann", "smith"], "  Mrs. Ann  Smith, ": ["ann", "smith"], "": [],
