@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import ann, bpe, kdtree, langid, lm, packing, simhash, sketches, suffixdedup, toxicity
+from ledgerlift.llm import ann, bpe, kdtree, langid, lm, merkle, packing, simhash, sketches, suffixdedup, toxicity
 from ledgerlift.llm.samples import fold
 from ledgerlift.sources.stages import stage
 
@@ -136,3 +136,77 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     machine = toxicity.train(docs, labels)
     return toxicity.score(docs, machine, keep=["doc_id"]).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A proof for every document, and the root it leads to after every fifth id's text lost its capitals."""
+    docs = documents(spark, sf_dir, *LEAF_FIELDS)
+    lowered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.translate("text", CAPITALS, SMALL))
+    now = [F.coalesce(lowered, F.col("text")) if c == "text" else F.col(c) for c in LEAF_FIELDS]
+    leaves = docs.select(
+        "doc_id", "source", merkle.leaf_digest([F.col(c) for c in LEAF_FIELDS]).alias("leaf"),
+        merkle.leaf_digest(now).alias("found"))
+    proven = merkle.with_proofs(leaves)
+    root = merkle.folded(F.col("found"), F.col("proof"), F.col("places"))
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("proof", ""), 256).alias("proof_sha256"),
+        root.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _merkle_sql(levels: int = 5, top_levels: int = 3) -> str:
+    """The same tree level by level, for up to 16**levels documents a source and 16**top_levels sources."""
+    crc = ("xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), "
+           "lambda c: ascii(c)::UBIGINT)), lambda a, b: list_reduce(list_prepend(xor(a, b), "
+           "list_transform(range(8), lambda k: k::UBIGINT)), "
+           "lambda d, k: xor(d >> 1, 3988292384::UBIGINT * (d & 1)))), 4294967295::UBIGINT)")
+    sized = "coalesce(octet_length(encode({0}::VARCHAR))::VARCHAR || ':' || {0}::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(sized.format(text if f == "text" else f) for f in LEAF_FIELDS) + ")"
+    lowered = f"CASE WHEN {crc} % 5 = 0 THEN translate(text, '{CAPITALS}', '{SMALL}') ELSE text END"
+    steps = [f"d AS (SELECT *, {leaf('text')} AS h, {leaf('now')} AS found FROM (SELECT *, {lowered} AS now FROM documents))",
+             "l AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS i, "
+             "count(*) OVER (PARTITION BY source) AS n FROM d)", "s0 AS (SELECT source, i, h, n FROM l)"]
+
+    def grown(name: str, by: str, count: int) -> None:
+        for k in range(count):
+            window = f"OVER (PARTITION BY {by}i // 16 ORDER BY i ROWS BETWEEN {{}})"
+            steps.append(
+                f"{name}p{k} AS (SELECT {by}i, n, "
+                f"coalesce(string_agg(h, '') {window.format('UNBOUNDED PRECEDING AND 1 PRECEDING')}, '') AS pre, "
+                f"coalesce(string_agg(h, '') {window.format('1 FOLLOWING AND UNBOUNDED FOLLOWING')}, '') AS post FROM {name}{k})")
+            steps.append(
+                f"{name}{k + 1} AS (SELECT {by}i // 16 AS i, CASE WHEN max(n) = 1 THEN max(h) ELSE "
+                f"sha256(string_agg(h, '' ORDER BY i)) END AS h, (max(n) + 15) // 16 AS n FROM {name}{k} GROUP BY {by}i // 16)")
+
+    grown("s", "source, ", levels)
+    steps.append(f"t0 AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, h, "
+                 f"count(*) OVER () AS n FROM s{levels})")
+    grown("t", "", top_levels)
+    proof, joins = "''", ""
+    for name, at, count in (("s", "l.i", levels), ("t", "t0.i", top_levels)):
+        joins += " JOIN t0 ON t0.source IS NOT DISTINCT FROM l.source" if name == "t" else ""
+        for k in range(count):
+            p = f"{name}p{k}"
+            same = f" AND {p}.source IS NOT DISTINCT FROM l.source" if name == "s" else ""
+            joins += f" JOIN {p} ON {p}.i = {at} // {16 ** k}{same}"
+            proof += f" || {p}.pre || {p}.post"
+    steps.append(
+        f"f0 AS (SELECT doc_id, l.h AS leaf, t0.h AS subroot, found AS f, sha256({proof}) AS proof_sha256, " +
+        ", ".join(f"{name}p{k}.{c} AS {name}{k}{c}" for name, count in (("s", levels), ("t", top_levels))
+                  for k in range(count) for c in ("n", "pre", "post")) + f" FROM l{joins})")
+    last = "f0"
+    for name, count in (("s", levels), ("t", top_levels)):
+        for k in range(count):
+            new = f"f_{name}{k}"
+            steps.append(f"{new} AS (SELECT * REPLACE (CASE WHEN {name}{k}n = 1 THEN f ELSE "
+                         f"sha256({name}{k}pre || f || {name}{k}post) END AS f) FROM {last})")
+            last = new
+    return (f"WITH {', '.join(steps)} SELECT doc_id, leaf, subroot, r.h AS root, proof_sha256, f AS folded_root, "
+            f"f = r.h AS verified FROM {last}, t{top_levels} r")
+
+
+ORACLES["op11_merkle_manifest"] = _merkle_sql()
