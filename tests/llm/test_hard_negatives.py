@@ -57,8 +57,8 @@ def test_as_all_pairs(spark, settings):
 
 
 def test_few_rows_and_none(spark):
-    rows = [(0, [1.0, 1.0], 1, None), (1, [1.0, 1.0], 1, None), (2, [0.9, 0.9], 2, None), (3, [-1.0, 0.0], 2, None)]
-    assert [tuple(r) for r in mined(spark, rows).collect()] == by_hand(rows) == [(0, 1, 1, 2, 131072, 117760)]
+    rows = [(20, [1.0, 1.0], 1, None), (1, [1.0, 1.0], 1, None), (2, [0.9, 0.9], 2, None), (3, [-1.0, 0.0], 2, None)]
+    assert [tuple(r) for r in mined(spark, rows).collect()] == by_hand(rows) == [(20, 1, 1, 2, 131072, 117760)]
     assert mined(spark, rows[:1]).count() == 0
     nothing = hardneg.mine(spark.createDataFrame([], SCHEMA), label=F.col("label"), anchor=F.col("id") % 20 == 0)
     assert nothing.count() == 0 and nothing.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
