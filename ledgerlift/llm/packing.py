@@ -9,33 +9,32 @@ work is linear in the input; what is lost is at most one badly filled sequence a
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlift.llm.batches import arrow_schema, map_slices, texts_of, with_fields
+from ledgerlift.llm.batches import arrow_schema, map_slices, with_fields
 from ledgerlift.llm.segments import SegmentStore
 
 
-# Ids do not change where a space parts a letter from a full stop or comma, nor, where no
-# mark may combine with a letter and no special token may arise, by lowering A-Z.
-_STOP = re.compile(r"(?<=[a-z])[.,]")
-_COMBINING = re.compile("[\u0300-\u036f]")
-_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-
+def _segments(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Stretches of the texts that are encoded by themselves: the distinct ones, their numbers in order, and how many a text has.
 
-def _segments(text: str) -> list[str]:
-    """Stretches of a text that are encoded by themselves; fewer different ones than words with marks and case."""
-    if "<|" not in text:
-        if text.isascii():
-            text = text.lower()
-        elif not _COMBINING.search(text):
-            text = text.encode().translate(_LOWER).decode()
-    return _STOP.sub(r" \g<0>", text).replace("\n", " ").split(" ")
+    Ids do not change where a space parts a letter from a full stop or comma, nor, where no
+    mark may combine with a letter and no special token may arise, by lowering A-Z. So
+    there are fewer distinct stretches than words with marks and case.
+    """
+    texts = pc.fill_null(texts, "")
+    as_is = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, "[\u0300-\u036f]"))
+    texts = pc.if_else(as_is, texts, pc.ascii_lower(texts))
+    texts = pc.replace_substring(pc.replace_substring_regex(texts, "([a-z])([.,])", r"\1 \2"), "\n", " ")
+    parts = pc.split_pattern(texts, " ")
+    numbered = parts.flatten().dictionary_encode()
+    return (numbered.dictionary.to_pylist(), numbered.indices.to_numpy(),
+            pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64))
 
 
 def tokenise(
@@ -66,7 +65,7 @@ def tokenise(
         store = SegmentStore(lambda new: (e.ids for e in own.encode_batch_fast(new, add_special_tokens=False)))
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found, offsets = store.ids_of(map(_segments, texts_of(batch, text)))
+            found, offsets = store.ids_of_numbered(*_segments(batch.column(text)))
             if end is not None:
                 found = np.insert(found, offsets[1:], end)
                 offsets = offsets + np.arange(len(offsets))
@@ -87,7 +86,7 @@ def tokenise(
         return work
 
     names = list(dict.fromkeys([*keep, text]))
-    return map_slices(docs.select(*names), text, start, schema, 16 << 20)
+    return map_slices(docs.select(*names), text, start, schema)
 
 
 def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -122,8 +121,10 @@ def assign(
     """``pieces`` with sequence_id and offset (gapless from 0 in each sequence).
 
     ``documents`` is the number of documents behind the pieces; groups hold about
-    ``group_docs`` documents. Pieces are dealt to groups by a hash of (key, start), so a very long document
-    spreads over all groups. Equal rows are packed once each. Ties go by key and start.
+    ``group_docs`` documents. Pieces are dealt to groups by a hash of the row's mark, so a
+    very long document, and rows that share an id or have none, spread over all groups.
+    Equal rows are packed once each. Pieces of one length go by key and start, a null key
+    first, then by mark. No pieces: no rows; a column with a new name is an error.
     """
     groups = max(1, documents // group_docs)
     columns = pieces.columns
@@ -132,14 +133,16 @@ def assign(
 
     def pack(rows: pa.Table) -> pa.Table:
         group = rows.column("__group")[0].as_py()
-        rows = rows.drop_columns(["__group"]).sort_by([(key, "ascending"), ("start", "ascending")])
+        rows = rows.take(pc.sort_indices(
+            rows, sort_keys=[(key, "ascending"), ("start", "ascending"), ("__mark", "ascending")], null_placement="at_start"))
         bins, offsets = first_fit_decreasing(rows.column("length").to_numpy(), capacity)
         added = [pa.array(group << 32 | bins), pa.array(offsets)]
         arrays = [rows.column(c) for c in columns] + added
         return pa.Table.from_arrays([a.cast(f.type) for a, f in zip(arrays, fields, strict=True)], schema=fields)
 
     return (
-        pieces.withColumn("__group", F.pmod(F.xxhash64(key, "start"), F.lit(groups)))
+        pieces.withColumn("__mark", F.monotonically_increasing_id())
+        .withColumn("__group", F.pmod(F.xxhash64("__mark"), F.lit(groups)))
         .groupBy("__group").applyInArrow(pack, schema)
     )
 

@@ -54,6 +54,21 @@ class SegmentStore:
         if new:
             self._learn(new)
         at = np.concatenate(parts) if parts else np.empty(0, np.int32)
+        return self._gathered(at, np.array(counts))
+
+    def ids_of_numbered(self, distinct: list, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts given as numbers into a list of distinct segments and how many each text has."""
+        if len(self.index) > self.most:
+            self._clear()
+        index = self.index
+        new = [s for s in distinct if s not in index]
+        index.update(zip(new, range(len(index), len(index) + len(new)), strict=True))
+        if new:
+            self._learn(new)
+        number = np.fromiter(map(index.__getitem__, distinct), np.int32, len(distinct))
+        return self._gathered(number[at], np.concatenate([[0], counts]))
+
+    def _gathered(self, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         size = self.size[at]
         ends = np.cumsum(size)
         ids = self.flat[np.repeat(self.first[at] - (ends - size), size) + np.arange(ends[-1] if len(at) else 0)]
