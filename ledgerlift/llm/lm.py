@@ -73,7 +73,7 @@ def count_words(docs: DataFrame, *, text: str = "text") -> DataFrame:
                 [pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
         seen: Counter = Counter()
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, 4 << 20):
             for t in texts_of(batch, text):
                 seen.update(words_of(t))
             seen[END] += batch.num_rows
@@ -82,6 +82,7 @@ def count_words(docs: DataFrame, *, text: str = "text") -> DataFrame:
                 seen.clear()
         if seen:
             yield told(seen)
+        pa.default_memory_pool().release_unused()
 
     return docs.select(text).mapInArrow(run, schema).groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -96,7 +97,7 @@ class Vocabulary:
         own, shared = settings.own_classes, settings.shared_classes
         self.end = self.number.get(END, len(words))
         self.classes = np.array(
-            [n if n < own else shared_class(w, own, shared) for n, w in enumerate(words)] + [-1], np.int64)
+            [n if n < own else shared_class(w, own, shared) for n, w in enumerate(words)] + [-1], np.int32)
         if self.end == len(words):
             self.classes[-1] = -1
 
@@ -115,7 +116,7 @@ class Vocabulary:
                 unknown = [words[n] for n in places]
                 for n in places:
                     at[n] = other
-            found = np.array(at, np.int64)
+            found = np.array(at, np.int32)
             kinds = self.classes[found]
             if unknown:
                 kinds[found == other] = [shared_class(w, own, shared) for w in unknown]
@@ -218,7 +219,7 @@ def _train_round(docs: DataFrame, text: str, table, model: Model, shares: np.nda
         trainer = Trainer(
             Model.shaped(flat.copy(), *sizes), own_shares, settings, settings.seed + TaskContext.get().partitionId())
         tokens = 0
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, 4 << 20):
             _, classes, offsets, _ = words.read(texts_of(batch, text))
             one, two = _contexts(classes, offsets, int(words.classes[words.end]))
             order = trainer.rng.permutation(len(classes))
@@ -231,6 +232,7 @@ def _train_round(docs: DataFrame, text: str, table, model: Model, shares: np.nda
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([number], pa.int32()), pa.array([float(tokens)]), pa.array([part.tobytes()], pa.binary())],
                     ["block", "weight", "values"])
+        pa.default_memory_pool().release_unused()
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, list] = {}
@@ -253,24 +255,36 @@ def _train_round(docs: DataFrame, text: str, table, model: Model, shares: np.nda
     return Model.shaped(flat, *sizes)
 
 
+class ClassScores:
+    """log10 of the normalised probabilities of classes; the softmax of a context is computed when it first occurs."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.level = np.full(len(model.bias) ** 2, np.nan, np.float32)  # a few MB for the usual classes
+
+    def __call__(self, one: np.ndarray, two: np.ndarray, word: np.ndarray) -> np.ndarray:
+        m, count = self.model, len(self.model.bias)
+        out = np.empty(len(word), np.float32)
+        for at in range(0, len(word), 1 << 16):
+            own = slice(at, at + (1 << 16))
+            pairs = one[own].astype(np.int64) * count + two[own]
+            new = np.unique(pairs[np.isnan(self.level[pairs])])
+            for first in range(0, len(new), 2048):
+                part = new[first:first + 2048]
+                logits = (m.before[part // count] + m.earlier[part % count]) @ m.target.T
+                logits += m.bias
+                most = logits.max(axis=1)
+                logits -= most[:, None]
+                np.exp(logits, out=logits)
+                self.level[part] = most + np.log(logits.sum(axis=1))
+            context = m.before[one[own]] + m.earlier[two[own]]
+            out[own] = np.einsum("nf,nf->n", context, m.target[word[own]]) + m.bias[word[own]] - self.level[pairs]
+        return out / np.float32(np.log(10))
+
+
 def class_log10(model: Model, one: np.ndarray, two: np.ndarray, word: np.ndarray) -> np.ndarray:
     """log10 of the normalised probability of each token's class, by one softmax for each different context."""
-    count = len(model.bias)
-    pairs, place = np.unique(one * count + two, return_inverse=True)
-    level = np.empty(len(pairs), np.float32)
-    context = model.before[pairs // count] + model.earlier[pairs % count]
-    for at in range(0, len(pairs), 2048):
-        logits = context[at:at + 2048] @ model.target.T
-        logits += model.bias
-        most = logits.max(axis=1)
-        logits -= most[:, None]
-        np.exp(logits, out=logits)
-        level[at:at + 2048] = most + np.log(logits.sum(axis=1))
-    out = np.empty(len(word))
-    for at in range(0, len(word), 1 << 18):
-        own, kind = place[at:at + (1 << 18)], word[at:at + (1 << 18)]
-        out[at:at + (1 << 18)] = np.einsum("nf,nf->n", context[own], model.target[kind]) + model.bias[kind] - level[own]
-    return out / np.log(10)
+    return ClassScores(model)(one, two, word)
 
 
 def score(
@@ -282,10 +296,14 @@ def score(
     Rows where ``training`` holds are learnt from, all rows are scored. base_score is the
     add-one score of single words, score the model's; both are log10 and count the end.
     Null text is an end alone. Without training rows every word is as likely as any other
-    class allows and base_score is 0. Repeated rows count and score each.
+    class allows and base_score is 0. Repeated rows count and score each. A column with a
+    new name is an error. The model depends on how the table is split, as every task trains
+    on its own rows from one start.
     """
     settings = settings or Settings()
     keep = [c for c in docs.columns if c != text] if keep is None else keep
+    with_fields(docs, keep, n_tokens=T.LongType(), n_known=T.LongType(), train_tokens=T.LongType(), base_score=T.DoubleType(),
+                score=T.DoubleType())
     learnt = docs.filter(training).select(text)
     counts = stage(count_words(learnt, text=text), "lm-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -342,16 +360,16 @@ def _local_scores(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Vocabulary(*table.value, settings)
         flat, own_room = parameters.value
-        own_model = Model.shaped(flat, *sizes)
+        class_scores = ClassScores(Model.shaped(flat, *sizes))
         row = TaskContext.get().partitionId() << 36  # rows are written once, so their numbers stay
         logs = np.log10(words.counts + 1)
         inside = np.zeros(settings.classes)
         inside[settings.own_classes:] = np.log10(own_room)
-        for batch in slices(batches, text, 16 << 20):
+        for batch in slices(batches, text, 4 << 20):
             numbers, classes, offsets, rest = words.read(texts_of(batch, text))
             classes = np.where(classes < 0, settings.own_classes, classes)
             one, two = _contexts(classes, offsets, int(max(0, words.classes[words.end])))
-            own = class_log10(own_model, one, two, classes) - inside[classes]
+            own = class_scores(one, two, classes) - inside[classes]
             own += np.where(classes >= settings.own_classes, logs[numbers], 0)
             yield extended(batch, keep, {
                 "__row": row + np.arange(batch.num_rows), "n_tokens": np.diff(offsets),
@@ -359,5 +377,6 @@ def _local_scores(
                 "__base": np.add.reduceat(logs[numbers], offsets[:-1]), "__model": np.add.reduceat(own, offsets[:-1]),
                 "__rest": rest}, fields)
             row += batch.num_rows
+        pa.default_memory_pool().release_unused()
 
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
