@@ -7,24 +7,21 @@ the same names as all pairs would.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ledgerlift.functions.similarity import similarity
 from ledgerlift.functions.text import strip_space
 from ledgerlift.operators.duplicates import (
-    company_rows, exact_groups, initial_groups, initial_keyed, name_keys, person_rows, similar_names,
-    staged_names,
+    NameLinks, company_rows, exact_groups, initial_groups, initial_keyed, name_links, person_rows,
 )
-from ledgerlift.operators.skew import LIST_LENGTH, join_to_groups, list_in_parts
+from ledgerlift.operators.skew import join_to_groups, list_in_parts
 from ledgerlift.schemas import HIRE_GAP_DAYS, NAME_THRESHOLD
 from ledgerlift.sources.stages import new_path, stage
 
-LISTED_CLUSTER_ROWS = 50
-
-
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges(a, b)``; the component is its least node.
 
@@ -35,7 +32,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     spark = edges.sparkSession
     folders = [new_path(spark, "components-a"), new_path(spark, "components-b")]
-    current = stage(_downward(edges.select("a", "b").filter(F.col("a") != F.col("b"))), "", folders[0])
+    edges = stage(edges.select("a", "b"), "edges")  # read twice, and what makes them may be a long join
+    current = stage(_downward(edges.filter(F.col("a") != F.col("b"))), "", folders[0])
     nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     before = _print_of(current)
     for step in range(1, max_rounds + 1):
@@ -100,8 +98,7 @@ def _initial_edges(rows: DataFrame, known: int) -> DataFrame:
     return linked.select(F.col("node").alias("a"), "b")
 
 
-def _similar_edges(rows: DataFrame, threshold: float, metric: str, blocked: bool, known: int) -> DataFrame:
-    pairs = similar_names(name_keys(rows, known), threshold, metric, blocked)
+def _similar_edges(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     heads = exact_groups(rows).select("norm", "first_id")
     across = pairs.select(F.col("early.norm").alias("norm_a"), F.col("late.norm").alias("norm_b")).filter(
         F.col("norm_a") != F.col("norm_b")).distinct()
@@ -124,12 +121,13 @@ def _node_clusters(rows: DataFrame, edges: DataFrame, known: int) -> DataFrame:
 
 
 def person_clusters(hr: DataFrame, threshold: float = NAME_THRESHOLD, metric: str = "ratio",
-                    fuzzy: bool = True) -> DataFrame:
+                    fuzzy: bool = True, links: NameLinks | None = None) -> DataFrame:
     """(id, cluster, cluster_rows) for rows in clusters of two and more."""
-    rows, known = staged_names(person_rows(hr))
+    links = links or name_links(person_rows(hr), threshold, metric, fuzzy=fuzzy)
+    rows, known = links.rows, links.known
     edges = _initial_edges(rows, known)
-    if fuzzy:
-        edges = edges.unionByName(_similar_edges(rows, threshold, metric, True, known))
+    if links.pairs is not None:
+        edges = edges.unionByName(_similar_edges(rows, links.pairs))
     members = _node_clusters(rows, edges, known)
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("cluster_rows")).filter(
         F.col("cluster_rows") > 1)
@@ -155,31 +153,6 @@ def recommendation(same_dept, same_cost_centre, gap):
                   "likely_duplicate").otherwise("needs_human_review")
 
 
-def duplicate_review(hr: DataFrame, clusters: DataFrame, metric: str = "ratio",
-                     listed_rows: int = LISTED_CLUSTER_ROWS) -> DataFrame:
-    """One row per pair of a cluster, for review by people.
-
-    Pairs are listed for clusters of up to ``listed_rows`` rows. Larger ones would need the
-    square of their size; ``review_totals`` counts their pairs exactly and
-    ``review_partners`` names a partner for each of their rows.
-    """
-    rows = _review_rows(hr, clusters.filter(F.col("cluster_rows") <= listed_rows))
-    a, b = rows.alias("a"), rows.alias("b")
-    pairs = a.join(b, (F.col("a.cluster") == F.col("b.cluster")) & (F.col("a.id") < F.col("b.id")))
-    same_dept = F.col("a.dept_code").eqNullSafe(F.col("b.dept_code"))
-    same_centre = F.col("a.cost_centre").eqNullSafe(F.col("b.cost_centre"))
-    gap = F.abs(F.datediff(F.col("a.hire_date"), F.col("b.hire_date")))
-    raw_a, raw_b = (F.lower(strip_space(F.col(f"{s}.name"))) for s in "ab")
-    return pairs.select(
-        F.col("a.id").alias("employee_id_a"), F.col("b.id").alias("employee_id_b"),
-        F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b"),
-        similarity(raw_a, raw_b, metric).alias("similarity_score"),
-        same_dept.alias("same_dept_code"), same_centre.alias("same_cost_centre"),
-        gap.alias("hire_date_delta_days"),
-        recommendation(same_dept, same_centre, gap).alias("recommendation"),
-    )
-
-
 _PROFILE = ["cluster", "dept_code", "cost_centre"]
 
 
@@ -221,14 +194,102 @@ def review_metrics(totals: DataFrame) -> DataFrame:
     )
 
 
-def review_partners(hr: DataFrame, clusters: DataFrame, with_issue: DataFrame | None = None) -> DataFrame:
-    """(id, cluster, likely_rows, partner_id, settles): the pair list summed up per row.
+def _day(column: str = "hire_date") -> Column:
+    return F.datediff(column, F.lit(date(1970, 1, 1)))
+
+
+def _near_hires(rows: DataFrame) -> DataFrame:
+    """(id, likely_rows, near, settle_gap) of rows with others of their profile hired within 30 days.
 
-    ``likely_rows`` counts the likely duplicates of a row and ``partner_id`` is one of
-    them. ``settles`` tells whether some likely pair settles an issue of the row: a pair
-    settles the issue of its first row, or of its second if the first has none
-    (``with_issue(row_identifier)`` lists the rows with issues). Work per profile grows
-    with its hire days, not with its rows.
+    ``near`` is the nearest of them by hire day (id, name, gap): the earliest id of the
+    nearest days, or of the own day the last one when the row itself is the earliest.
+    ``settle_gap`` is the least gap to a later row, or to an earlier one that is ``free``.
+    A hire day meets at most 60 others, so work per profile grows with its hire days.
+    """
+    dated = rows.filter(F.col("hire_date").isNotNull()).withColumn("day", _day())
+    person = F.struct("id", "name")
+    days = dated.groupBy(*_PROFILE, "day").agg(
+        F.count(F.lit(1)).alias("rows"), F.min(person).alias("least"), F.max(person).alias("last"),
+        F.min(F.when(F.col("free"), F.col("id"))).alias("least_free"))
+    around = F.collect_list(F.struct("day", "rows", "least", "last", "least_free")).over(
+        _gap_window().rangeBetween(-HIRE_GAP_DAYS, HIRE_GAP_DAYS))
+    profile = F.sha2(F.to_json(F.struct(*_PROFILE, "day"), {"ignoreNullFields": "false"}), 256)
+    facts = days.select(profile.alias("profile"), "rows", "day", around.alias("days")).withColumn(
+        "near_rows", F.aggregate("days", F.lit(0).cast("long"), lambda n, d: n + d["rows"])).filter(F.col("near_rows") > 1)
+    found = join_to_groups(dated.select("id", profile.alias("profile")), facts, "profile", "rows", "id")
+    own = F.col("id")
+
+    def candidate(d: Column) -> Column:
+        gap = F.abs(d["day"] - F.col("day"))
+        person = F.when((gap > 0) | (d["least"]["id"] != own), d["least"]).when(d["last"]["id"] != own, d["last"])
+        return F.struct(gap.alias("gap"), person["id"].alias("id"), person["name"].alias("name"))
+
+    others = F.filter(F.transform("days", candidate), lambda c: c["id"].isNotNull())
+    settling = F.filter("days", lambda d: (d["last"]["id"] > own) | (d["least_free"] < own))
+    return found.select(
+        "id", (F.col("near_rows") - 1).alias("likely_rows"), F.array_min(others).alias("near"),
+        F.array_min(F.transform(settling, lambda d: F.abs(d["day"] - F.col("day")))).alias("settle_gap"))
+
+
+def _name_partners(links: NameLinks, metric: str) -> DataFrame:
+    """(raw, n, first_id, second_id, score): the partners by name of the rows of each compared name.
+
+    Rows of a name with several rows have each other: the first two stand for them, with
+    score 1. The row of any other name has, of the rows that a rule links to it, the one
+    whose name scores best, ties to the smaller id; of the names that one rule links in a
+    group, the first row stands for the group.
+    """
+    rows, known = links.rows, links.known
+    firsts = rows.select("raw", "id").withColumn(
+        "place", F.row_number().over(Window.partitionBy("raw").orderBy("id"))).filter(F.col("place") <= 2)
+    pairs = firsts.groupBy("raw").agg(F.min("id").alias("first_id"), F.max("id").alias("second_id"))
+    names = stage(links.keys.select("raw", "n", F.col("head.id").alias("id"), "norm", "first", "last", "words").join(
+        pairs, "raw"), "compared-names")
+    single = names.filter(F.col("n") == 1)
+    person = F.struct("id", "raw")
+    # the same tokens: the first row of the group, or the second for the first itself
+    groups = names.groupBy("norm").agg(F.min(person).alias("p"), F.count(F.lit(1)).alias("names")).filter(F.col("names") > 1)
+    joined = join_to_groups(names.select("norm", "raw", "id"), groups, "norm", "names", "raw", known)
+    second = joined.filter(F.col("id") != F.col("p.id")).groupBy("norm").agg(F.min(person).alias("q"))
+    joined = join_to_groups(single.select("norm", "raw", "id"), groups.join(second, "norm"), "norm", "names", "raw", known)
+    found = joined.select("raw", "id", F.when(F.col("id") != F.col("p.id"), F.col("p")).otherwise(F.col("q")).alias("p"))
+    # an initial: the first row of the other side
+    keyed = initial_keyed(single).select("raw", "id", "hub", "is_short")
+    other = F.when(F.col("is_short"), F.col("full")).otherwise(F.col("short"))
+    sides = join_to_groups(keyed, initial_groups(rows), "hub", "n", "raw", known)
+    found = found.unionByName(sides.select("raw", "id", F.struct(other["id"].alias("id"), F.lower(other["shown"]).alias("raw")).alias("p")))
+    if links.pairs is not None:
+        across = links.pairs.filter(F.col("early.norm") != F.col("late.norm"))
+
+        def seen(own: str, other: str) -> DataFrame:
+            head = F.struct(F.col(f"{other}.head.id").alias("id"), F.col(f"{other}.raw").alias("raw"))
+            return across.select(F.col(f"{own}.raw").alias("raw"), head.alias("p"))
+
+        found = found.unionByName(
+            single.select("raw", "id").join(seen("early", "late").unionByName(seen("late", "early")), "raw"))
+    first = F.col("id") < F.col("p.id")
+    score = similarity(F.when(first, F.col("raw")).otherwise(F.col("p.raw")), F.when(first, F.col("p.raw")).otherwise(F.col("raw")), metric)
+    best = found.distinct().withColumn("score", score).groupBy("raw").agg(
+        F.min(F.struct((-F.col("score")).alias("least"), F.col("p.id").alias("id"))).alias("b"))
+    return names.filter(F.col("n") > 1).select("raw", "n", "first_id", "second_id", F.lit(1.0).alias("score")).unionByName(
+        best.select("raw", F.lit(1).cast("long").alias("n"), F.col("b.id").alias("first_id"), F.col("b.id").alias("second_id"),
+                    (-F.col("b.least")).alias("score")))
+
+
+def person_review(hr: DataFrame, clusters: DataFrame, links: NameLinks, metric: str = "ratio",
+                  with_issue: DataFrame | None = None) -> DataFrame:
+    """One row per record of a cluster of any size, for review by people.
+
+    (employee_id, cluster, cluster_rows, name, partner_id, partner_name, similarity_score,
+    same_dept_code, same_cost_centre, hire_date_delta_days, likely_rows, recommendation,
+    named_partner_id, named_score, settle_gap). The partner is the record of the same
+    department and cost centre hired nearest within 30 days, a likely duplicate; without
+    one it is the best-scoring record by name (see ``_name_partners``), which
+    ``named_partner_id`` names in any case. ``likely_rows`` counts a record's likely
+    duplicates. ``settle_gap`` is the least gap of the pairs that settle the record's
+    issue: a pair settles the issue of its first row, or of its second if the first has
+    none (``with_issue(row_identifier)`` lists rows with issues). Output and work grow
+    with the records, never with their pairs.
     """
     rows = _review_rows(hr, clusters)
     if with_issue is None:
@@ -236,41 +297,42 @@ def review_partners(hr: DataFrame, clusters: DataFrame, with_issue: DataFrame |
     else:
         marks = with_issue.select(F.col("row_identifier").alias("id"), F.lit(False).alias("free")).distinct()
         rows = rows.join(marks, "id", "left").withColumn("free", F.coalesce("free", F.lit(True)))
-    days = (
-        rows.filter(F.col("hire_date").isNotNull())
-        .withColumn("day", F.datediff("hire_date", F.lit(date(1970, 1, 1))))
-        .groupBy(*_PROFILE, "day")
-        .agg(F.count(F.lit(1)).alias("rows"), F.min("id").alias("least"), F.max("id").alias("last"),
-             F.min(F.when(F.col("free"), F.col("id"))).alias("least_free"))
-    )
-    near = _gap_window().rangeBetween(-HIRE_GAP_DAYS, HIRE_GAP_DAYS)
-    profile = F.sha2(F.to_json(F.struct(*_PROFILE, "day"), {"ignoreNullFields": "false"}), 256)
-    facts = days.select(
-        profile.alias("profile"), "rows",
-        F.sum("rows").over(near).alias("near_rows"), F.min("least").over(near).alias("near_least"),
-        F.max("last").over(near).alias("near_last"), F.min("least_free").over(near).alias("near_free"),
-    ).filter(F.col("near_rows") > 1)
-    keyed = rows.filter(F.col("hire_date").isNotNull()).withColumn(
-        "day", F.datediff("hire_date", F.lit(date(1970, 1, 1)))).select("id", "cluster", profile.alias("profile"))
-    found = join_to_groups(keyed, facts, "profile", "rows", "id").select(
-        "id",
-        (F.col("near_rows") - 1).alias("likely_rows"),
-        # the least id in reach, or the last one when the row itself is the least
-        F.when(F.col("near_least") != F.col("id"), F.col("near_least")).otherwise(F.col("near_last"))
-        .alias("partner_id"),
-        ((F.col("near_last") > F.col("id")) | F.coalesce(F.col("near_free") < F.col("id"), F.lit(False)))
-        .alias("settles"),
-    )
-    return rows.select("id", "cluster").join(found, "id", "left").select(
-        "id", "cluster", F.coalesce("likely_rows", F.lit(0)).alias("likely_rows"), "partner_id",
-        F.coalesce("settles", F.lit(False)).alias("settles"))
+    rows = stage(rows.withColumn("raw", F.lower(strip_space(F.col("name")))), "review-rows")
+    partners = _name_partners(links, metric)
+    details = hr.select(F.col("employee_id").alias("pid"), F.struct(
+        F.col("employee_id").alias("id"), "name", "dept_code", "cost_centre", "hire_date").alias("person"))
+    # a partner's facts are fetched once per name, not once per row
+    ids = partners.select(F.explode(F.array("first_id", "second_id")).alias("pid")).distinct()
+    facts = stage(details.join(ids, "pid"), "partner-facts")
+    partners = stage(
+        partners.join(facts.select(F.col("pid").alias("first_id"), F.col("person").alias("one")), "first_id")
+        .join(facts.select(F.col("pid").alias("second_id"), F.col("person").alias("two")), "second_id")
+        .select("raw", "n", "one", "two", "score"), "partners")
+    named = join_to_groups(rows, partners, "raw", "n", "id", links.known).withColumn(
+        "named", F.when(F.col("one.id") != F.col("id"), F.col("one")).otherwise(F.col("two"))).drop("one", "two", "n")
+    both = named.join(_near_hires(rows), "id", "left")
+    likely = F.col("near").isNotNull()
+    partner = F.when(likely, F.col("near.name")).otherwise(F.col("named.name"))
+    pid = F.when(likely, F.col("near.id")).otherwise(F.col("named.id"))
+    raw = F.lower(strip_space(partner))
+    first = F.col("id") < pid
+    score = similarity(F.when(first, F.col("raw")).otherwise(raw), F.when(first, raw).otherwise(F.col("raw")), metric)
+    same_dept = likely | F.col("dept_code").eqNullSafe(F.col("named.dept_code"))
+    same_centre = likely | F.col("cost_centre").eqNullSafe(F.col("named.cost_centre"))
+    gap = F.when(likely, F.col("near.gap")).otherwise(F.abs(F.datediff("hire_date", F.col("named.hire_date"))))
+    return both.select(
+        F.col("id").alias("employee_id"), "cluster", "cluster_rows", "name", pid.alias("partner_id"), partner.alias("partner_name"),
+        score.alias("similarity_score"), same_dept.alias("same_dept_code"), same_centre.alias("same_cost_centre"),
+        gap.alias("hire_date_delta_days"), F.coalesce("likely_rows", F.lit(0)).alias("likely_rows"),
+        recommendation(same_dept, same_centre, gap).alias("recommendation"),
+        F.col("named.id").alias("named_partner_id"), F.col("score").alias("named_score"), "settle_gap")
 
 
 # --- companies --------------------------------------------------------------------
 
 
 def vendor_clusters(procurement: DataFrame, threshold: float = NAME_THRESHOLD, metric: str = "ratio",
-                    fuzzy: bool = True) -> DataFrame:
+                    fuzzy: bool = True, links: NameLinks | None = None) -> DataFrame:
     """(vendor_id, vendor_name, orders, cluster): one row per vendor id and name.
 
     Rows of one vendor id belong together whatever their names. Names without a usable
@@ -279,13 +341,14 @@ def vendor_clusters(procurement: DataFrame, threshold: float = NAME_THRESHOLD, m
     # the one pass over the orders
     named = stage(procurement.filter(F.col("vendor_id").isNotNull() & F.col("vendor_name").isNotNull()).groupBy(
         "vendor_id", "vendor_name").agg(F.count(F.lit(1)).alias("name_orders")), "vendor-names")
-    rows, known = staged_names(company_rows(named))
+    links = links or name_links(company_rows(named), threshold, metric, blocked=False, fuzzy=fuzzy)
+    rows, known = links.rows, links.known
     heads = exact_groups(rows).select("norm", F.col("first_id").alias("b"), "n")
     # a vendor joins the group of each of its names
     edges = join_to_groups(rows.select("id", "norm"), heads, "norm", "n", "id", known).select(
         F.col("id").alias("a"), "b").distinct()
-    if fuzzy:
-        edges = edges.unionByName(_similar_edges(rows, threshold, metric, False, known))
+    if links.pairs is not None:
+        edges = edges.unionByName(_similar_edges(rows, links.pairs))
     components = connected_components(edges)
     orders = named.groupBy("vendor_id").agg(F.sum("name_orders").alias("orders"))
     return (
@@ -332,10 +395,7 @@ def member_list(clusters: DataFrame) -> DataFrame:
 
 
 def member_notes(clusters: DataFrame) -> DataFrame:
-    """(cluster, members, member_ids): one line per cluster; lists of several parts are summed up."""
-    sized = multi_member_clusters(clusters)
-    lists = member_list(clusters).filter(F.col("members") <= LIST_LENGTH).select("cluster", "member_ids")
-    summary = F.concat(F.col("least_id"), F.lit(" to "), F.col("last_id"), F.lit(" ("),
-                       F.col("members").cast("string"), F.lit(" vendors)"))
-    return sized.join(lists, "cluster", "left").select(
-        "cluster", "members", F.coalesce("member_ids", summary).alias("member_ids"))
+    """(cluster, members, member_ids): one short line per cluster, of one form at any size."""
+    return multi_member_clusters(clusters).select("cluster", "members", F.concat(
+        F.col("least_id"), F.lit(" to "), F.col("last_id"), F.lit(" ("), F.col("members").cast("string"),
+        F.lit(" vendors)")).alias("member_ids"))

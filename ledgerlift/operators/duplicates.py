@@ -8,7 +8,9 @@ distinct-name pairs behind the fuzzy rule are available from ``similar_names``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from ledgerlift.functions.similarity import edit_budget, similarity
 from ledgerlift.functions.text import name_tokens, percent_text, strip_space
 from ledgerlift.operators.checks import findings_from
-from ledgerlift.operators.skew import SALTS, heavy_keys, join_to_groups
+from ledgerlift.operators.skew import join_to_groups
 from ledgerlift.schemas import COMPANY_SUFFIXES, DOMAINS, NAME_THRESHOLD, PERSON_TITLES
 from ledgerlift.sources.stages import stage
 
@@ -25,6 +27,8 @@ GRAMS_PER_KEY = 2
 # no two different names of which one is shorter reach a threshold that check_threshold accepts
 LEAST_LENGTH = 4
 BLOCK_LETTERS = 3
+PART_NAMES = 1000  # names of one signature that a task compares with as many others
+PAIRS_PER_TASK = 4_000_000
 
 
 def name_rows(df: DataFrame, row_id: str, name: str, drop: Sequence[str], trim: bool = True) -> DataFrame:
@@ -230,34 +234,37 @@ def candidate_keys(names: DataFrame, threshold: float) -> DataFrame:
     return ranked.select("raw", prefix.alias("prefix")).select("raw", "prefix", F.explode(pairs).alias("sig"))
 
 
-def near_names(names: DataFrame, threshold: float) -> DataFrame:
+def near_names(names: DataFrame, threshold: float, part_names: int = PART_NAMES) -> DataFrame:
     """(raw_1, raw_2): distinct names of one block within the edit distance of the threshold.
 
     A pair is taken at the first signature its names share and nowhere else, so no
-    candidate is tested twice or has to be made distinct. Signatures on very many names
-    are split over tasks.
+    candidate is tested twice or has to be made distinct. The names of a signature are cut
+    into parts of about ``part_names``, and every pair of parts i <= j is a cell that one
+    task compares: a signature on very many names becomes a triangle of cells, each of
+    bounded size, and a name is sent once to each part of its signatures and once more.
     """
-    sig = candidate_keys(names, threshold)
-    spark = names.sparkSession
+    sig = stage(candidate_keys(names, threshold), "name-signatures")
     sizes = sig.groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
-    heavy = F.broadcast(heavy_keys(sizes, "sig", "n"))
-    salt = F.when(F.col("_heavy"), F.pmod(F.xxhash64("raw"), F.lit(SALTS)).cast("int")).otherwise(0)
-    salts = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    # few bytes but much work per row: keep all tasks instead of merging them by size
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    marked = sig.join(heavy, "sig", "left")
-    a = marked.withColumn("salt", salt).repartition(tasks, "sig", "salt").alias("a")
-    b = marked.withColumn("salt", F.explode(salts)).repartition(tasks, "sig", "salt").alias("b")
+    work = sizes.agg(F.sum(F.col("n").cast("double") * F.col("n") / 2)).first()[0] or 0.0
+    # few bytes but much work per row: tasks follow the pairs to compare, not the bytes
+    tasks = max(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(work / PAIRS_PER_TASK))
+    large = sizes.filter(F.col("n") > part_names).select("sig", F.ceil(F.col("n") / part_names).cast("int").alias("parts"))
+    dealt = sig.join(large, "sig", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn(
+        "part", F.pmod(F.xxhash64("raw"), F.col("parts")).cast("int"))
+    a = dealt.withColumns({"i": F.col("part"), "j": F.explode(F.sequence("part", F.col("parts") - 1))})
+    b = dealt.withColumns({"i": F.explode(F.sequence(F.lit(0), "part")), "j": F.col("part")})
+    a, b = (side.drop("part", "parts").repartition(tasks, "sig", "i", "j").alias(name) for side, name in ((a, "a"), (b, "b")))
     budget = edit_budget(F.length("a.raw"), F.length("b.raw"), threshold)
     first_shared = F.slice(F.array_intersect("a.prefix", "b.prefix"), 1, GRAMS_PER_KEY)
+    # the prefixes of both names are in one global order, so either side may come first
     return a.join(
         b,
-        (F.col("a.sig") == F.col("b.sig")) & (F.col("a.salt") == F.col("b.salt"))
-        & (F.col("a.raw") < F.col("b.raw"))
+        (F.col("a.sig") == F.col("b.sig")) & (F.col("a.i") == F.col("b.i")) & (F.col("a.j") == F.col("b.j"))
+        & ((F.col("a.i") < F.col("a.j")) | (F.col("a.raw") < F.col("b.raw")))
         & (F.abs(F.length("a.raw") - F.length("b.raw")) <= budget)
         & (F.col("a.sig") == first_shared)
         & F.call_function("levenshtein", F.col("a.raw"), F.col("b.raw"), budget).between(0, budget),
-    ).select(F.col("a.raw").alias("raw_1"), F.col("b.raw").alias("raw_2"))
+    ).select(F.least("a.raw", "b.raw").alias("raw_1"), F.greatest("a.raw", "b.raw").alias("raw_2"))
 
 
 def similar_names(keys: DataFrame, threshold: float = NAME_THRESHOLD, metric: str = "ratio",
@@ -286,14 +293,38 @@ def similar_names(keys: DataFrame, threshold: float = NAME_THRESHOLD, metric: st
     return scored.filter(F.col("score") >= threshold)
 
 
+@dataclass(frozen=True)
+class NameLinks:
+    """Name rows, their number, the distinct names and the similar pairs among them, each written once.
+
+    The fuzzy findings, the clusters and the review read the same pairs, so the similarity
+    join runs once.
+    """
+
+    rows: DataFrame
+    known: int
+    keys: DataFrame
+    pairs: DataFrame | None
+
+
+def name_links(rows: DataFrame, threshold: float = NAME_THRESHOLD, metric: str = "ratio", blocked: bool = True,
+               fuzzy: bool = True) -> NameLinks:
+    written, known = staged_names(rows)
+    keys = name_keys(written, known)
+    pairs = stage(similar_names(keys, threshold, metric, blocked), "similar-names") if fuzzy else None
+    return NameLinks(written, known, keys, pairs)
+
+
 def fuzzy_matches(rows: DataFrame, threshold: float = NAME_THRESHOLD, metric: str = "ratio",
-                  blocked: bool = True, abbreviations: bool = True, known: int | None = None) -> DataFrame:
-    """(id, shown, other_id, other_name, score): pairs no earlier rule has flagged.
+                  blocked: bool = True, abbreviations: bool = True, known: int | None = None,
+                  links: NameLinks | None = None) -> DataFrame:
+    """(id, shown, other_id, other_name, score): rows with a similar earlier row that no earlier rule has flagged.
 
-    A row appears once per similar name, against the earliest row with that name.
+    A row appears once, against the earliest such row: the minimum over the similar names
+    is taken before any row is joined, so the output grows with the rows.
     """
-    keys = name_keys(rows, known)
-    pairs = similar_names(keys, threshold, metric, blocked)
+    keys = links.keys if links else name_keys(rows, known)
+    pairs = links.pairs if links else similar_names(keys, threshold, metric, blocked)
     e, l = F.col("early"), F.col("late")
     same_norm = e["norm"] == l["norm"]
     if abbreviations:
@@ -304,7 +335,9 @@ def fuzzy_matches(rows: DataFrame, threshold: float = NAME_THRESHOLD, metric: st
     # a name repeated beyond the pairs of rule 1 is its own similar name
     own = keys.filter(F.col("free.id") < F.col("last_id")).select(
         "raw", F.col("free").alias("other"), F.lit(1.0).alias("score"))
-    targets = across.unionByName(own).filter(F.col("other").isNotNull()).join(keys.select("raw", "n"), "raw")
+    earliest = across.unionByName(own).filter(F.col("other").isNotNull()).groupBy("raw").agg(
+        F.min(F.struct("other", "score")).alias("t")).select("raw", "t.other", "t.score")
+    targets = earliest.join(keys.select("raw", "n"), "raw")
     return (
         join_to_groups(rows.select("id", "shown", "raw"), targets, "raw", "n", "id", known)
         .filter(F.col("id") > F.col("other.id"))
@@ -335,12 +368,12 @@ def person_abbreviation_findings(rows: DataFrame, known: int | None = None) -> D
 
 
 def person_fuzzy_findings(rows: DataFrame, threshold: float = NAME_THRESHOLD, metric: str = "ratio",
-                          known: int | None = None) -> DataFrame:
+                          known: int | None = None, links: NameLinks | None = None) -> DataFrame:
     d = DOMAINS["hr"]
     text = F.concat(F.lit("Name '"), F.col("shown"), F.lit("' is a "), percent_text(F.col("score")),
                     F.lit(" textual match to "), F.col("other_id"), F.lit(" ('"), F.col("other_name"),
                     F.lit("') - possible duplicate entry."))
-    return findings_from(fuzzy_matches(rows, threshold, metric, known=known), d.label, d.table, "name", "id",
+    return findings_from(fuzzy_matches(rows, threshold, metric, known=known, links=links), d.label, d.table, "name", "id",
                          "duplication", text, "medium", "fuzzy_name_match")
 
 
@@ -374,9 +407,9 @@ def company_suffix_findings(rows: DataFrame, procurement: DataFrame, known: int
 
 
 def company_fuzzy_findings(rows: DataFrame, procurement: DataFrame, threshold: float = NAME_THRESHOLD,
-                           metric: str = "ratio", known: int | None = None) -> DataFrame:
+                           metric: str = "ratio", known: int | None = None, links: NameLinks | None = None) -> DataFrame:
     d = DOMAINS["procurement"]
-    matches = fuzzy_matches(rows, threshold, metric, blocked=False, abbreviations=False, known=known)
+    matches = fuzzy_matches(rows, threshold, metric, blocked=False, abbreviations=False, known=known, links=links)
     on_orders = _on_first_order(matches, procurement)
     text = F.concat(F.lit("Vendor '"), F.col("shown"), F.lit("' ("), F.col("id"), F.lit(") is a "),
                     percent_text(F.col("score")), F.lit(" textual match to '"), F.col("other_name"),

@@ -61,8 +61,8 @@ def odd_currency_lengths(finance: DataFrame) -> DataFrame:
 def _listed_groups(df: DataFrame, key: Column, key_name: str, entry: Column, order: str, out: str) -> DataFrame:
     """Groups of two and more with their entries as text, ordered by id.
 
-    Groups are counted by partial aggregation first; lists beyond 1,000 entries come in
-    several rows. A NULL key is a group like any other.
+    Groups are counted by partial aggregation first; a row holds up to 1,000 entries, and
+    ``part`` numbers the rows of a group in order. A NULL key is a group like any other.
     """
     keyed = df.select(
         F.when(key.isNull(), "0").otherwise(F.concat(F.lit("1"), key)).alias("_key"),
@@ -71,7 +71,7 @@ def _listed_groups(df: DataFrame, key: Column, key_name: str, entry: Column, ord
         F.col("duplicate_count") > 1)
     listed = list_in_parts(keyed, sizes, "_key", "duplicate_count", "_id", "_entry", out)
     return listed.select(
-        F.when(F.col("_key") != "0", F.expr("substring(_key, 2)")).alias(key_name), "duplicate_count", out)
+        F.when(F.col("_key") != "0", F.expr("substring(_key, 2)")).alias(key_name), "duplicate_count", "part", out)
 
 
 def same_names(hr: DataFrame) -> DataFrame:

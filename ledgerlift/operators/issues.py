@@ -167,14 +167,18 @@ def resolve_status_contradiction(rows: DataFrame, spec: DomainSpec, manifest: Da
     return _resolved(todo.filter(F.lit(spec.drops("employment_status"))), F.lit(W.STATUS_DROPPED_NOTE))
 
 
-def resolve_vendor_duplicates(rows: DataFrame, procurement: DataFrame, clusters: DataFrame,
+def resolve_vendor_duplicates(rows: DataFrame, first_orders: DataFrame, clusters: DataFrame,
                               members: DataFrame, master: DataFrame,
                               manifest: DataFrame | None = None) -> DataFrame:
-    """Vendor duplicates whose vendor shares its cluster with another; the note lists the members."""
+    """Vendor duplicates whose vendor shares its cluster with another; the note sums up the members.
+
+    ``first_orders(vendor_id, first_po)`` tells a finding's vendor, as vendors are reported
+    on their first order; the orders themselves are not read.
+    """
     todo = not_blocked(open_rows(rows).filter(
         (F.col("issue_type") == "duplication") & (F.col("column_name") == "vendor_name")
         & F.col("detection_rule").isin("company_suffix_match", "fuzzy_name_match")), manifest)
-    orders = procurement.select(F.col("po_id").alias("row_identifier"), "vendor_id")
+    orders = first_orders.select(F.col("first_po").alias("row_identifier"), "vendor_id")
     named = (
         todo.join(orders, "row_identifier")
         .join(clusters.select("vendor_id", "cluster").distinct(), "vendor_id")
@@ -192,55 +196,28 @@ def open_person_duplicates(rows: DataFrame) -> DataFrame:
         "row_identifier", "finding_key", "finding_id", "issue_id")
 
 
-def resolve_person_pairs(rows: DataFrame, review: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
-    """Reviewed pairs settle the issue of their first row, or else of their second.
+def resolve_persons(rows: DataFrame, review: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
+    """The review settles the open issues of persons, whatever the size of a cluster.
 
-    Likely duplicates resolve it with the smallest hire gap in the note; other pairs leave
-    it open with a note. One entry per issue: likely wins, then the highest score.
+    Where a likely duplicate settles the issue (``settle_gap`` of ``person_review``) it is
+    resolved with the smallest hire gap in the note; otherwise it stays open with a note
+    that names the best-scoring partner.
     """
-    todo = open_person_duplicates(rows)
-    with_issue = todo.select("row_identifier").distinct()
-    pairs = review.join(
-        with_issue.select(F.col("row_identifier").alias("employee_id_a"), F.lit(True).alias("has_a")),
-        "employee_id_a", "left")
-    first = F.coalesce("has_a", F.lit(False))
-    touched = pairs.select(
-        F.when(first, F.col("employee_id_a")).otherwise(F.col("employee_id_b")).alias("row_identifier"),
-        F.when(first, F.col("employee_id_b")).otherwise(F.col("employee_id_a")).alias("partner"),
-        (F.col("recommendation") == "likely_duplicate").alias("likely"),
-        "similarity_score", "hire_date_delta_days")
-    best = not_blocked(touched, manifest).groupBy("row_identifier").agg(
-        F.max("likely").alias("likely"),
-        F.min(F.when(F.col("likely"), F.col("hire_date_delta_days"))).alias("gap"),
-        F.max(F.struct("similarity_score", "partner")).alias("nearest"))
+    todo = not_blocked(open_person_duplicates(rows), manifest)
+    facts = review.select(F.col("employee_id").alias("row_identifier"), "settle_gap", "named_partner_id", "named_score")
+    likely = F.col("settle_gap").isNotNull()
     likely_note = F.concat(
         F.lit("Flagged as probable data-entry duplicate: same dept/cost_centre, hire dates "),
-        F.col("gap").cast("string"),
+        F.col("settle_gap").cast("string"),
         F.lit(" days apart. Consolidation requires HR sign-off, not auto-merged."))
     review_note = F.concat(
-        F.lit("Flagged as a possible near-duplicate of "), F.col("nearest.partner"), F.lit(" (similarity "),
-        percent_text(F.col("nearest.similarity_score")),
+        F.lit("Flagged as a possible near-duplicate of "), F.col("named_partner_id"), F.lit(" (similarity "),
+        percent_text(F.col("named_score")),
         F.lit(") - see hr_duplicate_review table. dept_code/cost_centre/hire_date do not all align, "
               "so this needs HR business review; not auto-resolved."))
-    return todo.join(best, "row_identifier").select(
-        "finding_key", F.when(F.col("likely"), RESOLVED).otherwise(OPEN).alias("status"),
-        F.when(F.col("likely"), likely_note).otherwise(review_note).alias("note"))
-
-
-def resolve_person_partners(rows: DataFrame, partners: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
-    """The same for clusters too large for a pair list, from ``review_partners``."""
-    todo = not_blocked(open_person_duplicates(rows), manifest)
-    done = partners.select(F.col("id").alias("row_identifier"), "likely_rows", "settles")
-    settles = F.coalesce("settles", F.lit(False))
-    return todo.join(done, "row_identifier").select(
-        "finding_key", F.when(settles, RESOLVED).otherwise(OPEN).alias("status"),
-        F.when(settles, F.concat(
-            F.lit("Flagged as probable data-entry duplicate: same dept/cost_centre and hire date as "),
-            F.col("likely_rows").cast("string"),
-            F.lit(" other record(s). Consolidation requires HR sign-off, not auto-merged.")))
-        .otherwise(F.lit("Flagged as a possible near-duplicate in a large cluster; dept_code/cost_centre/"
-                         "hire_date do not all align, so this needs HR business review; not auto-resolved."))
-        .alias("note"))
+    return todo.join(facts, "row_identifier").select(
+        "finding_key", F.when(likely, RESOLVED).otherwise(OPEN).alias("status"),
+        F.when(likely, likely_note).otherwise(review_note).alias("note"))
 
 
 # --- listings ---------------------------------------------------------------------

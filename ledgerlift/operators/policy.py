@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerlift.operators.issues import open_rows
@@ -61,18 +61,26 @@ def row_actions(issue_rows: DataFrame, policy: Sequence[tuple[str, str]] = POLIC
     )
 
 
-def migrate(mapped: DataFrame, spec: DomainSpec, row_id: str, actions: DataFrame) -> DataFrame:
+def migrate(mapped: DataFrame, spec: DomainSpec, row_id: str, actions: DataFrame,
+            seen: Observation | None = None) -> DataFrame:
     """Mapped rows without the held ones, with migration_status and issue_id.
 
     One join serves both decisions. ``actions`` is unique per row, so no key is hot; read
     from a stage, its size decides between broadcast and shuffle. A missing id is an id like
-    any other: an action on a row without id holds or flags all rows without id.
+    any other: an action on a row without id holds or flags all rows without id. ``seen``
+    counts the rows that come in (source_rows), those held (held_rows) and those that move
+    with a flag (flagged_rows) in the pass that writes the result.
     """
     key = spec.target_of(row_id)
     own = actions.filter(F.col("table_name") == spec.source_table).select(
         F.col("row_identifier").alias("_id"), "held", "issue_id")
-    joined = mapped.join(own, mapped[key].eqNullSafe(own["_id"]), "left").filter(~F.coalesce("held", F.lit(False)))
-    return joined.select(
+    held = F.coalesce(F.col("held"), F.lit(False))
+    joined = mapped.join(own, mapped[key].eqNullSafe(own["_id"]), "left")
+    if seen is not None:
+        joined = joined.observe(
+            seen, F.count(F.lit(1)).alias("source_rows"), F.count_if(held).alias("held_rows"),
+            F.count_if(~held & F.col("issue_id").isNotNull()).alias("flagged_rows"))
+    return joined.filter(~held).select(
         *mapped.columns,
         F.when(F.col("issue_id").isNotNull(), "migrated_with_flag").otherwise("clean").alias("migration_status"),
         "issue_id",

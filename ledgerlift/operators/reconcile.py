@@ -12,6 +12,7 @@ from ledgerlift.functions.values import EXACT, money_sum, row_hash
 from ledgerlift.operators.mapping import map_table
 from ledgerlift.schemas import DOMAINS, MONEY_TOLERANCE
 from ledgerlift.sources.spec import DomainSpec
+from ledgerlift.sources.stages import stage
 
 
 def row_counts(sources: Mapping[str, DataFrame], targets: Mapping[str, DataFrame], held: DataFrame) -> DataFrame:
@@ -29,8 +30,12 @@ def row_counts(sources: Mapping[str, DataFrame], targets: Mapping[str, DataFrame
         parts.append(targets[key].agg(n.alias("t")).select(table, zero.alias("s"), "t", zero.alias("h")))
         out = held_source_rows(sources[key], held, DOMAINS[key].table, DOMAINS[key].row_id)
         parts.append(out.agg(n.alias("h")).select(table, zero.alias("s"), zero.alias("t"), "h"))
-    totals = reduce(DataFrame.unionByName, parts).groupBy("table_name").agg(
-        F.sum("s").alias("source_rows"), F.sum("t").alias("target_rows"), F.sum("h").alias("held_rows"))
+    return row_count_verdicts(reduce(DataFrame.unionByName, parts).groupBy("table_name").agg(
+        F.sum("s").alias("source_rows"), F.sum("t").alias("target_rows"), F.sum("h").alias("held_rows")))
+
+
+def row_count_verdicts(totals: DataFrame) -> DataFrame:
+    """The verdict on ``totals(table_name, source_rows, target_rows, held_rows)``, however they were counted."""
     delta = F.col("target_rows") - F.col("source_rows")
     return totals.select(
         "table_name", "source_rows", "target_rows", delta.alias("delta"),
@@ -56,11 +61,12 @@ def held_source_rows(source: DataFrame, held: DataFrame, table: str, row_id: str
 
 
 def row_checksums(source: DataFrame, target: DataFrame, spec: DomainSpec, row_id: str, held: DataFrame) -> DataFrame:
-    """(key, state) per row id: matched, drifted, held, missing or unexpected.
+    """(key, state) per row id: matched, drifted, held, missing or unexpected."""
+    return _row_states(map_table(source, spec), target, spec, row_id, held).select("key", "state")
 
-    The source is mapped again, both sides shrink to the key and 128 bits, and one
-    aggregate by key replaces the join: only ids and hashes are shuffled.
-    """
+
+def _row_states(mapped: DataFrame, target: DataFrame, spec: DomainSpec, row_id: str, held: DataFrame) -> DataFrame:
+    """(key, state, rows): both sides shrink to the key and 128 bits, and one aggregate by key replaces the join."""
     key = spec.target_of(row_id)
     lo, hi = row_hash([F.col(c) for c in spec.targets()])
 
@@ -69,7 +75,7 @@ def row_checksums(source: DataFrame, target: DataFrame, spec: DomainSpec, row_id
 
     is_s, is_t, is_h = (F.col("side") == x for x in ("s", "t", "h"))
     zero = F.lit(0).cast("bigint")
-    both = side(map_table(source, spec), "s").unionByName(side(target, "t")).unionByName(
+    both = side(mapped, "s").unionByName(side(target, "t")).unionByName(
         _held_ids(held, spec.source_table, "key").select(
             "key", F.lit("h").alias("side"), zero.alias("lo"), zero.alias("hi")))
 
@@ -89,15 +95,114 @@ def row_checksums(source: DataFrame, target: DataFrame, spec: DomainSpec, row_id
         .when(F.col("t_n") == 0, F.when(F.col("h_n") > 0, "held").otherwise("missing"))
         .when(same, "matched").otherwise("drifted")
     )
-    return by_key.select("key", state.alias("state")).filter(F.col("state").isNotNull())
+    return by_key.select("key", state.alias("state"), F.greatest("s_n", "t_n").alias("rows")).filter(
+        F.col("state").isNotNull())
+
+
+STATES = ("matched", "drifted", "held", "missing", "unexpected")
 
 
 def checksum_summary(states: DataFrame, table: str) -> DataFrame:
     """Counts per state; the table is clean without drifted, missing or unexpected rows."""
-    kinds = ("matched", "drifted", "held", "missing", "unexpected")
-    bad = F.col("drifted") + F.col("missing") + F.col("unexpected")
-    return states.agg(*[F.count_if(F.col("state") == k).alias(k) for k in kinds]).select(
-        F.lit(table).alias("table_name"), *kinds, F.when(bad == 0, "CLEAN").otherwise("DRIFT").alias("status"))
+    rows = F.col("rows") if "rows" in states.columns else F.lit(1)
+    return states.agg(*[F.coalesce(F.sum(F.when(F.col("state") == k, rows)), F.lit(0)).cast("bigint").alias(k) for k in STATES]).select(
+        F.lit(table).alias("table_name"), *STATES, _verdict())
+
+
+def _verdict() -> Column:
+    return F.when(F.col("drifted") + F.col("missing") + F.col("unexpected") == 0, "CLEAN").otherwise("DRIFT").alias("status")
+
+
+# --- a tree of fingerprints: only ranges that differ are read row by row -----------
+
+LEAF_BITS = 12
+LEVEL_BITS = 4
+
+
+def key_range(key: Column, bits: int = LEAF_BITS) -> Column:
+    """The range of hashed keys that a row belongs to."""
+    return F.shiftrightunsigned(F.xxhash64(key), 64 - bits).cast("int")
+
+
+_PRINT = ("n", "lo", "hi", "sum")
+
+
+def _differs() -> Column:
+    return ~reduce(lambda a, b: a & b, [F.col(f"s_{f}").eqNullSafe(F.col(f"t_{f}")) for f in _PRINT])
+
+
+def fingerprint_tree(mapped: DataFrame, target: DataFrame, spec: DomainSpec, row_id: str, held: DataFrame) -> DataFrame:
+    """(bits, node, s_n, s_lo, s_hi, s_sum, t_..., differs): order-free fingerprints of key ranges, from leaves to root.
+
+    The source side leaves out held rows. Rows shrink to a range and 128 bits, and are
+    added up in each task before anything moves: at most 4096 sums leave a task, whatever
+    the size of the tables. A level above adds up 16 ranges.
+    """
+    key = spec.target_of(row_id)
+    lo, hi = row_hash([F.col(c) for c in spec.targets()])
+    kept = held_source_rows(mapped, held, spec.source_table, key, "left_anti")
+
+    def side(df: DataFrame, is_source: bool) -> DataFrame:
+        return df.select(key_range(F.col(key)).alias("node"), F.lit(is_source).alias("source"), lo.alias("lo"), hi.alias("hi"))
+
+    facts = []
+    for name, own in (("s", F.col("source")), ("t", ~F.col("source"))):
+        low, high = F.when(own, F.col("lo")), F.when(own, F.col("hi"))
+        facts += [F.count_if(own).alias(f"{name}_n"), F.bit_xor(low).alias(f"{name}_lo"), F.bit_xor(high).alias(f"{name}_hi"),
+                  F.sum(F.shiftright(low, 32)).alias(f"{name}_sum")]
+    leaves = stage(side(kept, True).unionByName(side(target, False)).groupBy("node").agg(*facts), "fingerprints")
+    levels = [leaves.withColumn("bits", F.lit(LEAF_BITS))]
+    for bits in range(LEAF_BITS - LEVEL_BITS, -1, -LEVEL_BITS):
+        sums = [(F.bit_xor if f in ("lo", "hi") else F.sum)(f"{s}_{f}").alias(f"{s}_{f}") for s in "st" for f in _PRINT]
+        levels.append(leaves.groupBy(F.shiftright("node", LEAF_BITS - bits).alias("node")).agg(*sums).withColumn("bits", F.lit(bits)))
+    return reduce(DataFrame.unionByName, levels).withColumn("differs", _differs())
+
+
+class TableComparison:
+    """One table and its target, compared by ranges; rows are read only where ranges differ."""
+
+    def __init__(self, source: DataFrame, target: DataFrame, spec: DomainSpec, row_id: str, held: DataFrame):
+        self.mapped, self.target, self.spec, self.row_id, self.held = map_table(source, spec), target, spec, row_id, held
+        self.tree = fingerprint_tree(self.mapped, target, spec, row_id, held)
+        self.leaves = self.tree.filter(F.col("bits") == LEAF_BITS)
+
+    def _within(self, df: DataFrame, differs: bool, key: str | None = None) -> DataFrame:
+        """Rows whose range differs; for ``differs=False`` all others. The list of ranges is bounded by 4096."""
+        ranges = self.leaves.filter("differs").select("node")
+        return df.join(F.broadcast(ranges), key_range(F.col(key or self.spec.target_of(self.row_id))) == ranges["node"],
+                       "left_semi" if differs else "left_anti")
+
+    def differences(self) -> DataFrame:
+        """(key, state, rows) of all row ids in differing ranges."""
+        held = self.held.filter(F.col("table_name") == self.spec.source_table)
+        return _row_states(self._within(self.mapped, True), self._within(self.target, True), self.spec, self.row_id,
+                           self._within(held, True, "row_identifier"))
+
+    def summary(self) -> DataFrame:
+        """Rows per state: clean ranges give their counts, differing ones their rows."""
+        key, table = self.spec.target_of(self.row_id), self.spec.source_table
+        clean = self.leaves.filter(~F.col("differs")).select(F.lit("matched").alias("state"), F.col("s_n").alias("rows"))
+        out = held_source_rows(self._within(self.mapped.select(key), False), self.held, table, key).select(
+            F.lit("held").alias("state"), F.lit(1).cast("bigint").alias("rows"))
+        return checksum_summary(clean.unionByName(out).unionByName(self.differences().select("state", "rows")), table)
+
+    def column_drift(self) -> DataFrame:
+        """(table_name, column_name, compared, drifted): rows of clean ranges count as compared without being read."""
+        clean = self.leaves.filter(~F.col("differs")).agg(F.coalesce(F.sum("s_n"), F.lit(0))).first()[0]
+        read = _column_drift(self._within(self.mapped, True), self._within(self.target, True), self.spec, self.row_id)
+        return read.select(F.lit(self.spec.source_table).alias("table_name"), "column_name",
+                           (F.col("compared") + F.lit(clean)).alias("compared"), "drifted")
+
+
+def compare_all(sources: Mapping[str, DataFrame], targets: Mapping[str, DataFrame], specs: Mapping[str, DomainSpec],
+                held: DataFrame) -> dict[str, TableComparison]:
+    return {k: TableComparison(sources[k], targets[k], specs[k], DOMAINS[k].row_id, held) for k in sources}
+
+
+def checksum_all(sources: Mapping[str, DataFrame], targets: Mapping[str, DataFrame], specs: Mapping[str, DomainSpec],
+                 held: DataFrame) -> DataFrame:
+    """The checksum summary of every table."""
+    return reduce(DataFrame.unionByName, [c.summary() for c in compare_all(sources, targets, specs, held).values()])
 
 
 def column_drift(source: DataFrame, target: DataFrame, spec: DomainSpec, row_id: str) -> DataFrame:
@@ -106,9 +211,13 @@ def column_drift(source: DataFrame, target: DataFrame, spec: DomainSpec, row_id:
     Where an id is missing or repeats, the values of all its rows are compared as a whole,
     whatever their order. One aggregate by id takes the place of a join.
     """
+    return _column_drift(map_table(source, spec), target, spec, row_id)
+
+
+def _column_drift(mapped: DataFrame, target: DataFrame, spec: DomainSpec, row_id: str) -> DataFrame:
     key = spec.target_of(row_id)
     columns = [c for c in spec.targets() if c != key]
-    mapped = map_table(source, spec).select(key, *columns, F.lit(True).alias("_source"))
+    mapped = mapped.select(key, *columns, F.lit(True).alias("_source"))
     both = mapped.unionByName(target.select(key, *columns, F.lit(False).alias("_source")))
     hashed = both.select(key, "_source", *[
         F.xxhash64(F.col(c), F.col(c).isNull()).alias(f"h_{i}") for i, c in enumerate(columns)])

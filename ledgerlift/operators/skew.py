@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlift.operators.ordered import PART, in_parts, spans
+from ledgerlift.sources.stages import stage
+
 HEAVY_GROUPS = 256
 HEAVY_ROWS = 20_000
 SALTS = 32
@@ -44,19 +47,23 @@ LIST_LENGTH = 1000
 
 
 def list_in_parts(rows: DataFrame, sizes: DataFrame, key: str, size: str, order: str, entry: str,
-                  out: str) -> DataFrame:
-    """(key, size, part, out): the entries of each group as text, ordered by ``order``.
+                  out: str, length: int = LIST_LENGTH, part_rows: int = 65_536) -> DataFrame:
+    """(key, size, part, out): the entries of each group as text, in order, ``length`` to a part.
 
-    A group of up to 1,000 entries is one part. Longer ones come in several, so the list
-    stays whole while no task and no value has to hold a group of any size.
+    Part k holds the entries of rank k * length onwards, so a group of any size has the
+    same row shape and reading its parts in turn gives the whole list in order. Ranks come
+    from ascending ranges of rows and prefix sums over them: no task holds a group. Equal
+    entries of a group follow each other in no order of their own.
     """
-    parts = F.ceil(F.col(size) / LIST_LENGTH)
-    return (
-        join_to_groups(rows.select(key, order, entry) if order != entry else rows.select(key, order),
-                       sizes.select(key, size), key, size, order)
-        .withColumn("part", F.pmod(F.xxhash64(order), parts).cast("int"))
-        .groupBy(key, size, "part")
-        .agg(F.array_join(
-            F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(entry).alias("e")))),
-                        lambda s: s["e"]), ", ").alias(out))
-    )
+    listed = stage(rows.select(F.col(key).alias("__key"), F.col(order).alias("__order"), F.col(entry).alias("__entry")).join(
+        sizes.select(F.col(key).alias("__key")), "__key", "left_semi"), "list-rows")
+    placed = in_parts(listed, [F.col("__key"), F.col("__order")], part_rows=part_rows, name="list-ranges")
+    starts = spans(placed, "__key").select(PART, "__key", "first")
+    inside = Window.partitionBy(PART, "__key").orderBy("__order", "__entry")
+    ranked = placed.withColumn("__place", F.row_number().over(inside)).join(starts, [PART, "__key"]).withColumn(
+        "part", F.floor((F.col("first") + F.col("__place") - 1) / length).cast("int"))
+    texts = ranked.groupBy("__key", "part").agg(F.array_join(
+        F.transform(F.sort_array(F.collect_list(F.struct(F.col("__order").alias("o"), F.col("__entry").alias("e")))),
+                    lambda s: s["e"]), ", ").alias(out))
+    return texts.join(sizes.select(F.col(key).alias("__key"), size), "__key").select(
+        F.col("__key").alias(key), size, "part", out)

@@ -11,8 +11,13 @@ from pyspark.sql import types as T
 from ledgerlift.schemas import DOMAINS, MANIFEST_SCHEMA, SOURCE_SCHEMAS
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Headered UTF-8 CSV with a stated schema; blanks are NULL and edge spaces are kept."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, blank_text: bool = False) -> DataFrame:
+    """Headered UTF-8 CSV with a stated schema; blanks are NULL and edge spaces are kept.
+
+    ``blank_text`` tells an empty text, written as two quotes, from a missing value. A
+    malformed line ends the read; ``csv_records`` reads files with quoted line breaks and
+    keeps rejected records.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
@@ -21,6 +26,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         .option("multiLine", False)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("nullValue", "\u0000" if blank_text else "")
         .option("mode", "FAILFAST")
         .csv(path)
     )

@@ -6,6 +6,8 @@ import json
 from dataclasses import dataclass
 from pathlib import Path
 
+from pyspark.sql import SparkSession
+
 
 @dataclass(frozen=True)
 class ColumnMap:
@@ -109,3 +111,11 @@ def default_spec() -> dict[str, DomainSpec]:
                         tuple(ColumnMap(*c) for c in columns))
         for key, columns in DEFAULT_COLUMNS.items()
     }
+
+
+def load_spec_table(spark: SparkSession, path: str) -> dict[str, DomainSpec]:
+    """The JSON spec at any path that Spark can read; a spec is a page of text."""
+    lines = spark.read.option("wholetext", True).text(path).limit(2).collect()
+    if len(lines) != 1:
+        raise RuntimeError(f"expected one spec file at {path}")
+    return parse_spec(json.loads(lines[0][0]))

@@ -10,7 +10,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 _own: dict[str, str] = {}
@@ -43,3 +44,17 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     path = path or new_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def counted_write(df: DataFrame, path: str) -> int:
+    """Write ``df`` to ``path`` and return its number of rows, counted while it is written."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return seen.get.get("n", 0)  # an empty table may be written without a pass
+
+
+def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``stage`` and the number of rows, from the one pass that writes them."""
+    path = new_path(df.sparkSession, name)
+    rows = counted_write(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), rows

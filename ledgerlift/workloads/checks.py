@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from ledgerlift.operators import inject as J
 from ledgerlift.operators import kpi as KP
 from ledgerlift.operators import mapping as M
+from ledgerlift.sources import csv_records as CR
 from ledgerlift.sources import readers as RD
 from ledgerlift.sources import sinks as SK
-from ledgerlift.sources.spec import parse_spec
+from ledgerlift.sources.spec import load_spec_table
 from ledgerlift.sources.stages import new_path
 from ledgerlift.schemas import SOURCE_SCHEMAS
 from ledgerlift.workloads.base import *  # noqa: F403
@@ -43,6 +46,31 @@ def csv_scan(spark, sf):
     return RD.read_csv(spark, path, SOURCE_SCHEMAS["hr"])
 
 
+@query("S1_quoted_line_breaks", "SELECT doc_id, text, lang FROM documents")
+def quoted_line_breaks(spark, sf):
+    """Texts with line breaks, quotes and commas written as CSV and read back in splits."""
+    path = new_path(spark, "documents-csv")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    SK.save_csv(docs, path)
+    return CR.read_csv_records(spark, path, docs.schema).rows
+
+
+BAD_AMOUNT = f"{NUMBER['finance']} % 113 = 3"
+
+
+@query("S1_quarantine", with_ctes("fin", select=(
+    f"SELECT gl_entry_id, CASE WHEN NOT ({BAD_AMOUNT}) THEN amount END AS amount, {BAD_AMOUNT} AS rejected FROM fin")))
+def quarantine(spark, sf):
+    """A load in which some amounts are no numbers: good rows load, the others are kept as records."""
+    path = new_path(spark, "finance-csv")
+    fin = view(spark, sf, "finance")
+    SK.save_csv(fin.withColumn("amount", F.when(F.expr(BAD_AMOUNT), "n/a").otherwise(F.col("amount").cast("string"))), path)
+    loaded = CR.read_csv_records(spark, path, SOURCE_SCHEMAS["finance"])
+    kept = loaded.rows.select("gl_entry_id", "amount", F.lit(False).alias("rejected"))
+    return kept.unionByName(loaded.rejected.select(
+        F.split("record", ",")[0].alias("gl_entry_id"), F.lit(None).cast("double").alias("amount"), F.lit(True).alias("rejected")))
+
+
 def _manifest(spark, sf):
     changed, manifest = J.plant(view(spark, sf, "finance"), DOMAINS["finance"], J.standard_defects("finance"),
                                 _number("gl_entry_id", 4))
@@ -132,8 +160,10 @@ def _specified(key: str) -> dict:
 
 @query("S4_spec_load", with_ctes("hr", sql_target("hr", held=False), select="SELECT * FROM mapped_hr"))
 def spec_load(spark, sf):
-    spec = parse_spec({"domains": {"hr": _specified("hr")}})["hr"]
-    return M.map_table(view(spark, sf, "hr"), spec)
+    path = new_path(spark, "spec")
+    content = json.dumps({"domains": {"hr": _specified("hr")}})
+    spark.createDataFrame([(content,)], "value string").coalesce(1).write.text(path)
+    return M.map_table(view(spark, sf, "hr"), load_spec_table(spark, path)["hr"])
 
 
 @query("S5_required_tables", with_ctes(ALL, select=" UNION ALL ".join(
@@ -158,9 +188,7 @@ def table_sink(spark, sf):
 def csv_sink(spark, sf):
     path = new_path(spark, "expenses-csv")
     SK.save_csv(view(spark, sf, "expenses"), path)
-    out = RD.read_csv(spark, path, SOURCE_SCHEMAS["expenses"])
-    # CSV has one blank: text columns show it as NULL, the source as empty text
-    return out.withColumn("cost_centre", F.coalesce("cost_centre", F.lit("")))
+    return RD.read_csv(spark, path, SOURCE_SCHEMAS["expenses"], blank_text=True)
 
 
 DOCUMENT = r"""'# ' || issue_id || chr(10) || chr(10) || '| Field | Value |' || chr(10) || '|---|---|' || chr(10)
@@ -168,15 +196,15 @@ DOCUMENT = r"""'# ' || issue_id || chr(10) || chr(10) || '| Field | Value |' ||
   || '| Table | ' || table_name || ' |' || chr(10) || '| Column | ' || column_name || ' |' || chr(10)
   || '| Issue Type | ' || issue_type || ' |' || chr(10)
   || '| Description | ' || replace(description, '|', '\|') || ' |' || chr(10)
-  || '| Root Cause (hypothesis) | why |' || chr(10) || '| Business Impact | so |' || chr(10)
-  || '| Status | ' || status || ' |' || chr(10) || '| Resolution | ' || resolution || ' |' || chr(10)"""
+  || '| Root Cause (hypothesis) | ' || replace(root_cause, '|', '\|') || ' |' || chr(10)
+  || '| Business Impact | ' || replace(business_impact, '|', '\|') || ' |' || chr(10)
+  || '| Status | ' || status || ' |' || chr(10) || '| Resolution | ' || replace(resolution, '|', '\|') || ' |' || chr(10)"""""
 
 
-@query("S8_problem_statements", with_ctes(ALL, FINDINGS, ISSUES, select=(
-    f"SELECT issue_id, {DOCUMENT} AS document FROM issue_rows")))
+@query("S8_problem_statements", with_ctes(ALL, FINDINGS, ISSUES, *RESOLVED, select=(
+    f"SELECT issue_id, {DOCUMENT} AS document FROM (SELECT *, {CAUSE} AS root_cause, {IMPACT_TEXT} AS business_impact FROM issue_rows) i")))
 def problem_statements(spark, sf):
-    log = logged(spark, sf)[2]
-    return SK.problem_statements(log.withColumn("root_cause", F.lit("why")).withColumn("business_impact", F.lit("so")))
+    return SK.problem_statements(job(spark, sf).issues)
 
 
 BEFORE = (f"before AS (SELECT cost_centre, count(*) AS row_count, {money('amount')} AS total_amount FROM fin "
@@ -195,10 +223,7 @@ IMPACT_SELECT = ("SELECT scenario, cost_centre, row_count, total_amount, "
 
 
 def figures(spark, sf):
-    src, held, targets = migrated(spark, sf)
-    ids = held.filter(F.col("table_name") == "legacy_finance").select(
-        F.col("row_identifier").alias("gl_entry_id")).distinct()
-    return KP.figures_before(src["finance"], ids), KP.figures_after(targets["finance"])
+    return job(spark, sf).figures
 
 
 @query("S9_impact_sink", with_ctes(ALL, *KPI, select=IMPACT_SELECT))
@@ -349,7 +374,7 @@ def descriptions(spark, sf):
 @query("C13_numbered_findings", with_ctes(ALL, FINDINGS, select=(
     f"SELECT finding_id, {NO_ORDER} FROM findings")))
 def numbered_findings(spark, sf):
-    return found(spark, sf)[1].drop("finding_key")
+    return job(spark, sf).findings.drop("finding_key")
 
 
 TYPE_COUNTS = ", ".join(f"count(*) FILTER (issue_type = '{t}') AS {t}" for t in ISSUE_TYPES)
@@ -359,4 +384,4 @@ TYPE_COUNTS = ", ".join(f"count(*) FILTER (issue_type = '{t}') AS {t}" for t in
     f"SELECT domain, {TYPE_COUNTS}, count(*) AS total FROM findings GROUP BY domain UNION ALL "
     f"SELECT 'Total', {TYPE_COUNTS}, count(*) FROM findings")))
 def findings_pivot(spark, sf):
-    return C.findings_pivot(found(spark, sf)[1])
+    return C.findings_pivot(job(spark, sf).findings)

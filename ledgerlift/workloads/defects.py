@@ -10,9 +10,6 @@ from ledgerlift.workloads.base import *  # noqa: F403
 from ledgerlift.workloads.checks import MANIFEST, _number, planted_sql
 
 START = {"hr": ("employee_id", 5), "finance": ("gl_entry_id", 4), "procurement": ("po_id", 4), "expenses": ("expense_id", 5)}
-NUMBER = {"hr": "CAST(substr(employee_id, 5) AS BIGINT)", "finance": "CAST(substr(gl_entry_id, 4) AS BIGINT)",
-          "procurement": "CAST(split_part(substr(po_id, 4), '-', 1) AS BIGINT)",
-          "expenses": "CAST(substr(expense_id, 5) AS BIGINT)"}
 CANONICAL = "regexp_full_match(cost_centre, 'CC-[0-9]{3}')"
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ledgerlift.operators import investigate as Q
 from ledgerlift.workloads.base import *  # noqa: F403
 
@@ -68,8 +70,17 @@ def q9_priorities(spark, sf):
 
 
 def _listed(key: str, entry: str, order: str, source: str, name: str, out: str) -> str:
-    return (f"SELECT {key} AS {name}, count(*) AS duplicate_count, string_agg({entry}, ', ' ORDER BY {order}) AS {out} "
-            f"FROM {source} GROUP BY {key} HAVING count(*) > 1")
+    return (f"SELECT {name}, duplicate_count, CAST(part AS INTEGER) AS part, string_agg(e, ', ' ORDER BY o, e) AS {out} FROM ("
+            f"SELECT {key} AS {name}, {entry} AS e, {order} AS o, count(*) OVER (PARTITION BY {key}) AS duplicate_count, "
+            f"(row_number() OVER (PARTITION BY {key} ORDER BY {order}, {entry}) - 1) // 1000 AS part FROM {source}) q "
+            f"WHERE duplicate_count > 1 GROUP BY {name}, duplicate_count, part")
+
+
+@query("Q10_orders_by_status", _listed("o_orderstatus", "o_orderkey", "o_orderkey", "orders", "name", "employee_ids"))
+def q10_statuses(spark, sf):
+    """Groups of thousands: every part of 1,000 entries in order."""
+    return Q.same_names(table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("employee_id"), F.col("o_orderstatus").alias("name")))
 
 
 @query("Q10_same_names", with_ctes("hr", select=_listed("name", "employee_id", "employee_id", "hr", "name", "employee_ids")))

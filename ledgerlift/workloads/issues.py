@@ -8,60 +8,38 @@ from ledgerlift.operators import clusters as K
 from ledgerlift.operators import wording as W
 from ledgerlift.operators import inject as J
 from ledgerlift.workloads.base import *  # noqa: F403
-from ledgerlift.workloads.matching import REVIEWED, VENDORS, person_groups, vendor_groups
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
-def _text_case(rules, by_type, default: str) -> str:
-    whens = [f"WHEN detection_rule = '{r}' AND column_name = '{c}' THEN {_quoted(t)}" for r, c, t in rules if c]
-    whens += [f"WHEN detection_rule = '{r}' THEN {_quoted(t)}" for r, c, t in rules if not c]
-    whens += [f"WHEN issue_type = '{i}' THEN {_quoted(t)}" for i, t in by_type]
-    return f"CASE {' '.join(whens)} ELSE {_quoted(default)} END"
-
-
-CAUSE = _text_case(W.ROOT_CAUSES, W.ROOT_CAUSE_BY_TYPE, W.ROOT_CAUSE_DEFAULT)
-IMPACT = _text_case(W.BUSINESS_IMPACTS, W.IMPACT_BY_TYPE, W.IMPACT_DEFAULT)
+IMPACT = IMPACT_TEXT
 LOGGED = (FINDINGS, ISSUES)
+SETTLED = (FINDINGS, ISSUES, *RESOLVED)
 
 
-@query("I1_issue_log", with_ctes(ALL, *LOGGED, select=(
+@query("I1_issue_log", with_ctes(ALL, *SETTLED, select=(
     f"SELECT issue_id, domain, table_name, column_name, issue_type, description, {CAUSE} AS root_cause, "
     f"{IMPACT} AS business_impact, status, resolution FROM issue_rows")))
 def issue_log(spark, sf):
-    return I.issue_log(logged(spark, sf)[2])
+    return I.issue_log(job(spark, sf).issues)
 
 
 @query("I2_root_causes", with_ctes(ALL, FINDINGS, select=(
     f"SELECT finding_id, {CAUSE} AS root_cause FROM findings")))
 def root_causes(spark, sf):
-    return I.lookup_text(found(spark, sf)[1], W.ROOT_CAUSES, W.ROOT_CAUSE_BY_TYPE, W.ROOT_CAUSE_DEFAULT,
+    return I.lookup_text(job(spark, sf).findings, W.ROOT_CAUSES, W.ROOT_CAUSE_BY_TYPE, W.ROOT_CAUSE_DEFAULT,
                          "root_cause").select("finding_id", "root_cause")
 
 
 @query("I3_business_impacts", with_ctes(ALL, FINDINGS, select=(
     f"SELECT finding_id, {IMPACT} AS business_impact FROM findings")))
 def business_impacts(spark, sf):
-    return I.lookup_text(found(spark, sf)[1], W.BUSINESS_IMPACTS, W.IMPACT_BY_TYPE, W.IMPACT_DEFAULT,
+    return I.lookup_text(job(spark, sf).findings, W.BUSINESS_IMPACTS, W.IMPACT_BY_TYPE, W.IMPACT_DEFAULT,
                          "business_impact").select("finding_id", "business_impact")
 
 
-@query("I4_issue_rows", with_ctes(ALL, *LOGGED, select=(
+@query("I4_issue_rows", with_ctes(ALL, *SETTLED, select=(
     "SELECT issue_id, row_identifier, table_name, detection_rule, status FROM issue_rows")))
 def issue_rows(spark, sf):
-    return logged(spark, sf)[3].select("issue_id", "row_identifier", "table_name", "detection_rule", "status")
-
-
-# old codes of open drift issues; the manifest guard takes out rows planted as blank
-DRIFT = ("drift AS (SELECT i.issue_id, i.finding_id, i.row_identifier, o.cost_centre AS old, o.code AS new FROM issue_rows i JOIN ("
-         + " UNION ALL ".join(f"SELECT '{DOMAINS[k].table}' AS table_name, {DOMAINS[k].row_id} AS row_identifier, "
-                              f"cost_centre, {CODE} AS code FROM {SHORT[k]}" for k in KEYS)
-         + ") o ON o.table_name = i.table_name AND o.row_identifier = i.row_identifier "
-           "WHERE i.issue_type = 'consistency' AND i.column_name = 'cost_centre' "
-           "AND NOT regexp_full_match(o.cost_centre, 'CC-[0-9]{3}') AND regexp_full_match(o.code, 'CC-[0-9]{3}'))")
-DRIFT_NOTE = "'cost_centre normalised via canonical mapping in Stage 5: ''' || old || ''' -> ''' || new || '''.'"
+    return job(spark, sf).issue_rows.select("issue_id", "row_identifier", "table_name", "detection_rule", "status")
 
 
 def _numbered(resolutions, rows):
@@ -70,28 +48,28 @@ def _numbered(resolutions, rows):
 
 @query("I5_mark_resolved", with_ctes(ALL, *LOGGED, DRIFT, select=(
     f"SELECT i.issue_id, CASE WHEN d.issue_id IS NULL THEN 'Open' ELSE 'Resolved' END AS status, "
-    f"coalesce({DRIFT_NOTE}, 'Pending') AS resolution FROM issue_rows i LEFT JOIN drift d ON d.issue_id = i.issue_id")))
+    f"coalesce({DRIFT_NOTE}, 'Pending') AS resolution FROM issue_open i LEFT JOIN drift d ON d.issue_id = i.issue_id")))
 def mark_resolved(spark, sf):
-    src, _, log, rows = logged(spark, sf)
-    settled = stage(I.resolve_code_drift(rows, src), "resolutions")
-    return I.apply_resolutions(log, settled).select("issue_id", "status", "resolution")
+    j = job(spark, sf)
+    settled = stage(I.resolve_code_drift(j.logged_rows, j.sources), "resolutions")
+    return I.apply_resolutions(j.log, settled).select("issue_id", "status", "resolution")
 
 
 @query("I6_annotated", with_ctes(ALL, *LOGGED, select=(
     "SELECT issue_id, status, CASE WHEN issue_type = 'accuracy' THEN 'checked with the source team: ' || row_identifier "
-    "ELSE 'Pending' END AS resolution FROM issue_rows")))
+    "ELSE 'Pending' END AS resolution FROM issue_open")))
 def annotated(spark, sf):
-    _, _, log, rows = logged(spark, sf)
+    log, rows = job(spark, sf).log, job(spark, sf).logged_rows
     note = F.concat(F.lit("checked with the source team: "), "row_identifier")
     return I.apply_resolutions(log, I.annotate(rows.filter("issue_type = 'accuracy'"), note)).select(
         "issue_id", "status", "resolution")
 
 
 @query("I7_ground_truth_guard", with_ctes(ALL, *LOGGED, select=(
-    "SELECT issue_id, row_identifier FROM issue_rows WHERE row_identifier NOT IN (SELECT expense_id FROM exp "
+    "SELECT issue_id, row_identifier FROM issue_open WHERE row_identifier NOT IN (SELECT expense_id FROM exp "
     "WHERE CAST(substr(expense_id, 5) AS BIGINT) % 100 = 0)")))
 def ground_truth_guard(spark, sf):
-    src, _, _, rows = logged(spark, sf)
+    src, rows = job(spark, sf).sources, job(spark, sf).logged_rows
     number = F.expr("cast(substr(expense_id, 5) as bigint) % 100")
     manifest = J.plant(src["expenses"], DOMAINS["expenses"], J.standard_defects("expenses"), number)[1]
     return I.not_blocked(rows, manifest).select("issue_id", "row_identifier")
@@ -100,122 +78,93 @@ def ground_truth_guard(spark, sf):
 @query("I8_resolve_code_drift", with_ctes(ALL, *LOGGED, DRIFT, select=(
     f"SELECT issue_id, 'Resolved' AS status, {DRIFT_NOTE} AS note FROM drift")))
 def resolve_code_drift(spark, sf):
-    src, _, _, rows = logged(spark, sf)
-    return _numbered(I.resolve_code_drift(rows, src), rows)
+    rows = job(spark, sf).logged_rows
+    return _numbered(I.resolve_code_drift(rows, job(spark, sf).sources), rows)
+
 
+# targets of which every hundredth row was written with another code
+def _written(key: str) -> str:
+    return (f"SELECT {DOMAINS[key].row_id} AS row_identifier, {CODE} AS wanted, CASE WHEN {NUMBER[key]} % 100 = 3 THEN 'CC-000' "
+            f"ELSE {CODE} END AS written FROM {SHORT[key]}")
 
-@query("I8_repair_disagreements", with_ctes(ALL, select=(
-    "SELECT 'x' AS table_name, 'x' AS row_identifier, 'x' AS wanted, 'x' AS written WHERE 1 = 0")))
+
+@query("I8_repair_disagreements", with_ctes(ALL, select=" UNION ALL ".join(
+    f"SELECT '{DOMAINS[k].table}' AS table_name, * FROM ({_written(k)}) t_{k} WHERE wanted IS DISTINCT FROM written" for k in KEYS)))
 def repair_disagreements(spark, sf):
-    src = sources(spark, sf)
-    return I.code_repair_disagreements(src, map_all(src), default_spec())
+    src, specs = job(spark, sf).sources, default_spec()
+    written = {
+        k: stage(df.withColumn("cost_centre", F.when(number_of(k) % 100 == 3, "CC-000").otherwise(F.col("cost_centre"))), f"written-{k}")
+        for k, df in map_all(src).items()}
+    return I.code_repair_disagreements(src, written, specs)
 
 
-@query("I9_resolve_contradiction", with_ctes(ALL, *LOGGED, select=(
-    f"SELECT issue_id, 'Resolved' AS status, {_quoted(W.STATUS_DROPPED_NOTE)} AS note FROM issue_rows "
-    "WHERE detection_rule = 'status_date_contradiction'")))
+@query("I9_resolve_contradiction", with_ctes(ALL, *LOGGED, select=CONTRADICTIONS))
 def resolve_contradiction(spark, sf):
-    rows = logged(spark, sf)[3]
+    rows = job(spark, sf).logged_rows
     return _numbered(I.resolve_status_contradiction(rows, default_spec()["hr"]), rows)
 
 
-MEMBERS = ("members AS (SELECT cluster, string_agg(vendor_id, ', ' ORDER BY vendor_id) AS ids FROM vcl GROUP BY cluster "
-           "HAVING count(*) > 1)")
-VENDOR_PARTS = tuple(v for v in VENDORS if not v.startswith("nc AS"))
-
-
-@query("I10_resolve_vendor_duplicates", with_ctes(ALL, *LOGGED, *VENDOR_PARTS, MEMBERS, recursive=True, select="""
-  SELECT i.issue_id, 'Resolved' AS status, 'Vendor name duplication resolved via target_vendor_master: ' || m.ids ||
-    ' consolidated to canonical name ''' || vm.canonical_vendor_name || ''' (Stage 5).' AS note
-  FROM issue_rows i JOIN proc p ON p.po_id = i.row_identifier JOIN (SELECT DISTINCT vendor_id, cluster FROM vcl) v
-    ON v.vendor_id = p.vendor_id JOIN members m ON m.cluster = v.cluster JOIN vmaster vm ON vm.vendor_id = p.vendor_id
-  WHERE i.column_name = 'vendor_name' AND i.issue_type = 'duplication'"""))
+@query("I10_resolve_vendor_duplicates", with_ctes(ALL, *LOGGED, *VENDOR_TABLES, *VENDOR_NOTES, select="SELECT * FROM vendor_notes"))
 def resolve_vendor_duplicates(spark, sf):
-    src, _, _, rows = logged(spark, sf)
-    groups = vendor_groups(spark, sf)
-    return _numbered(I.resolve_vendor_duplicates(rows, src["procurement"], groups, K.member_notes(groups),
-                                                 K.vendor_master(groups)), rows)
-
-
-OPEN_PERSONS = ("SELECT row_identifier, finding_id, issue_id FROM issue_rows WHERE domain = 'HR' "
-                "AND issue_type = 'duplication' AND status = 'Open'")
+    j = job(spark, sf)
+    return _numbered(I.resolve_vendor_duplicates(
+        j.logged_rows, D.first_orders(j.sources["procurement"]), j.vendor_clusters, K.member_notes(j.vendor_clusters),
+        j.vendor_master), j.logged_rows)
 
 
 @query("I11_open_person_issues", with_ctes(ALL, *LOGGED, select=OPEN_PERSONS))
 def open_person_issues(spark, sf):
-    return I.open_person_duplicates(logged(spark, sf)[3]).drop("finding_key")
-
-
-REVIEW_PARTS = tuple(r for r in REVIEWED if not r.startswith("np AS"))
-TOUCHED = f"""open_p AS ({OPEN_PERSONS}),
-touched AS (SELECT CASE WHEN h THEN employee_id_a ELSE employee_id_b END AS row_identifier,
-    CASE WHEN h THEN employee_id_b ELSE employee_id_a END AS partner, recommendation = 'likely_duplicate' AS likely,
-    similarity_score, hire_date_delta_days
-  FROM (SELECT *, employee_id_a IN (SELECT row_identifier FROM open_p) AS h FROM review) q),
-best AS (SELECT row_identifier, bool_or(likely) AS likely, min(hire_date_delta_days) FILTER (likely) AS gap
-  FROM touched GROUP BY row_identifier)"""
+    return I.open_person_duplicates(job(spark, sf).logged_rows).drop("finding_key")
 
 
-@query("I12_resolve_persons", with_ctes(ALL, *LOGGED, *REVIEW_PARTS, TOUCHED, recursive=True, select="""
-  SELECT o.issue_id, CASE WHEN b.likely THEN 'Resolved' ELSE 'Open' END AS status, CASE WHEN b.likely THEN
-    'Flagged as probable data-entry duplicate: same dept/cost_centre, hire dates ' || CAST(b.gap AS VARCHAR) ||
-    ' days apart. Consolidation requires HR sign-off, not auto-merged.' END AS note
-  FROM open_p o JOIN best b ON b.row_identifier = o.row_identifier"""))
+@query("I12_resolve_persons", with_ctes(ALL, *LOGGED, *PERSON_NOTES, select="SELECT * FROM person_notes"))
 def resolve_persons(spark, sf):
-    src, _, _, rows = logged(spark, sf)
-    review = K.duplicate_review(src["hr"], person_groups(spark, sf, src["hr"]), "levenshtein")
-    return _numbered(I.resolve_person_pairs(rows, review), rows).withColumn(
-        "note", F.when(F.col("status") == "Resolved", F.col("note")))
+    j = job(spark, sf)
+    return _numbered(I.resolve_persons(j.logged_rows, j.person_review), j.logged_rows)
 
 
-@query("I12_resolve_persons_by_partner", with_ctes(ALL, *LOGGED, *REVIEW_PARTS, TOUCHED, recursive=True, select="""
-  SELECT o.issue_id, CASE WHEN b.likely THEN 'Resolved' ELSE 'Open' END AS status
-  FROM open_p o JOIN ph ON ph.id = o.row_identifier LEFT JOIN best b ON b.row_identifier = o.row_identifier"""))
+@query("I12_resolve_persons_by_partner", with_ctes(ALL, *LOGGED, *PERSON_NOTES, select=(
+    "SELECT o.issue_id, r.employee_id, r.partner_id, r.settle_gap FROM open_p o JOIN review r ON r.employee_id = o.row_identifier")))
 def resolve_persons_by_partner(spark, sf):
-    src, _, _, rows = logged(spark, sf)
-    partners = K.review_partners(src["hr"], person_groups(spark, sf, src["hr"]), I.open_person_duplicates(rows))
-    return _numbered(I.resolve_person_partners(rows, partners), rows).drop("note")
+    j = job(spark, sf)
+    issues = I.open_person_duplicates(j.logged_rows).select("issue_id", F.col("row_identifier").alias("employee_id"))
+    return issues.join(j.person_review, "employee_id").select("issue_id", "employee_id", "partner_id", "settle_gap")
 
 
 REASON = "CASE issue_type " + " ".join(
-    f"WHEN '{t}' THEN {_quoted(r)}" for t, r in W.STILL_OPEN_REASONS) + f" ELSE {_quoted(W.STILL_OPEN_DEFAULT)} END"
+    f"WHEN '{t}' THEN {quoted(r)}" for t, r in W.STILL_OPEN_REASONS) + f" ELSE {quoted(W.STILL_OPEN_DEFAULT)} END"
 
 
-@query("I13_still_open", with_ctes(ALL, *LOGGED, DRIFT, select=(
+@query("I13_still_open", with_ctes(ALL, *SETTLED, select=(
     f"SELECT issue_type, {REASON} AS reason, issue_id, domain, column_name, finding_id FROM issue_rows "
-    "WHERE issue_id NOT IN (SELECT issue_id FROM drift)")))
+    "WHERE status = 'Open'")))
 def still_open(spark, sf):
-    src, _, log, rows = logged(spark, sf)
-    return I.still_open(I.apply_resolutions(log, I.resolve_code_drift(rows, src)))
+    return I.still_open(job(spark, sf).issues)
 
 
-@query("I14_status_counts", with_ctes(ALL, *LOGGED, DRIFT, select=(
-    "SELECT CASE WHEN issue_id IN (SELECT issue_id FROM drift) THEN 'Resolved' ELSE 'Open' END AS status, "
-    "count(*) AS issues FROM issue_rows GROUP BY 1")))
+@query("I14_status_counts", with_ctes(ALL, *SETTLED, select=(
+    "SELECT status, count(*) AS issues FROM issue_rows GROUP BY status")))
 def status_counts(spark, sf):
-    src, _, log, rows = logged(spark, sf)
-    return I.status_counts(I.apply_resolutions(log, I.resolve_code_drift(rows, src)))
+    return I.status_counts(job(spark, sf).issues)
 
 
 @query("I15_domain_counts", with_ctes(ALL, FINDINGS, select=(
     "SELECT domain, count(*) AS findings FROM findings GROUP BY domain")))
 def domain_counts(spark, sf):
-    return C.domain_counts(found(spark, sf)[1])
+    return C.domain_counts(job(spark, sf).findings)
 
 
 @query("I15_domain_filter", with_ctes(ALL, FINDINGS, select=(
     "SELECT finding_id, row_identifier FROM findings WHERE domain = 'Finance'")))
 def domain_filter(spark, sf):
-    return C.findings_of(found(spark, sf)[1], "Finance").select("finding_id", "row_identifier")
+    return C.findings_of(job(spark, sf).findings, "Finance").select("finding_id", "row_identifier")
 
 
-@query("I16_totals", with_ctes(ALL, *LOGGED, HELD, *VENDOR_PARTS, recursive=True, select="""
+@query("I16_totals", with_ctes(ALL, *SETTLED, HELD, select="""
   SELECT 'findings' AS metric, count(*) AS value FROM findings UNION ALL SELECT 'held_rows', count(*) FROM held UNION ALL
   SELECT 'vendor_master_rows', count(*) FROM vmaster UNION ALL
   SELECT 'canonical_vendors', count(DISTINCT canonical_vendor_name) FROM vmaster UNION ALL
   SELECT 'employee_master_rows', count(*) FROM hr"""))
 def totals(spark, sf):
-    src, findings, _, rows = logged(spark, sf)
-    vendors = K.vendor_master(vendor_groups(spark, sf))
-    persons = K.person_master(src["hr"], person_groups(spark, sf, src["hr"]))
-    return I.headline_totals(findings, P.held_rows(rows), vendors, persons)
+    j = job(spark, sf)
+    return I.headline_totals(j.findings, j.held, j.vendor_master, j.person_master)

@@ -170,79 +170,57 @@ def similarity_levenshtein(spark, sf):
     return _managed(spark, sf).withColumn("score", similarity(F.col("a"), F.col("b"), "levenshtein"))
 
 
-# components over given edges: vendors and persons by the exact rules
-VENDOR_EDGES = ("ve AS (SELECT a.id AS a, b.id AS b FROM nc a JOIN nc b ON a.norm = b.norm AND a.id <> b.id)",
-                "vr AS (SELECT id AS node, id AS seen FROM nc UNION SELECT r.node, e.b FROM vr r JOIN ve e ON e.a = r.seen)",
-                "vc AS (SELECT node AS vendor_id, min(seen) AS cluster FROM vr GROUP BY node)")
-PERSON_EDGES = (f"pe0 AS (SELECT a.id AS a, b.id AS b FROM np a JOIN np b ON a.id <> b.id AND (a.norm = b.norm OR ({ABBREVIATES})))",
-                "pr AS (SELECT id AS node, id AS seen FROM np UNION SELECT r.node, e.b FROM pr r JOIN pe0 e ON e.a = r.seen)",
-                "pc0 AS (SELECT node AS id, min(seen) AS cluster FROM pr GROUP BY node)",
-                "pc AS (SELECT id, cluster, cluster_rows FROM (SELECT id, cluster, count(*) OVER (PARTITION BY cluster) "
-                "AS cluster_rows FROM pc0) q WHERE cluster_rows > 1)")
-
-
 def person_groups(spark, sf, hr=None):
-    return stage(K.person_clusters(hr if hr is not None else view(spark, sf, "hr"), fuzzy=False), "person-clusters")
+    return stage(K.person_clusters(hr if hr is not None else view(spark, sf, "hr")), "person-clusters")
 
 
 def vendor_groups(spark, sf):
-    return stage(K.vendor_clusters(view(spark, sf, "procurement"), fuzzy=False), "vendor-clusters")
+    return stage(K.vendor_clusters(view(spark, sf, "procurement")), "vendor-clusters")
 
 
-@query("D10_vendor_clusters", with_ctes("proc", COMPANIES, *VENDOR_EDGES, recursive=True, select=(
+@query("D10_vendor_clusters", with_ctes("proc", COMPANIES, *with_similar(VENDOR_EDGES, "nc", False, "ve", "levenshtein"), recursive=True, select=(
     "SELECT DISTINCT p.vendor_id, p.vendor_name, o.orders, vc.cluster FROM proc p JOIN vc ON vc.vendor_id = p.vendor_id "
     "JOIN (SELECT vendor_id, count(*) AS orders FROM proc GROUP BY vendor_id) o ON o.vendor_id = p.vendor_id")))
 def vendor_clusters(spark, sf):
-    return K.vendor_clusters(view(spark, sf, "procurement"), fuzzy=False)
-
-
-def _with_similar(edges: tuple[str, ...], names: str, blocked: bool, edge: str) -> tuple[str, ...]:
-    """Component expressions whose edges include similar names."""
-    fuzzy = sql_fuzzy(names, blocked, False, 0.9, "ratio")
-    first = edges[0].replace(f"{edge} AS (", f"{edge}_exact AS (", 1)
-    union = f"{edge} AS (SELECT a, b FROM {edge}_exact UNION SELECT id, other_id FROM fz UNION SELECT other_id, id FROM fz)"
-    return (first, fuzzy, union, *edges[1:])
+    return K.vendor_clusters(view(spark, sf, "procurement"), metric="levenshtein")
 
 
 @query("D10_vendor_clusters_ratio", with_ctes(
-    "proc", COMPANIES, *_with_similar(VENDOR_EDGES, "nc", False, "ve"), recursive=True, select=(
+    "proc", COMPANIES, *with_similar(VENDOR_EDGES, "nc", False, "ve"), recursive=True, select=(
         "SELECT DISTINCT p.vendor_id, p.vendor_name, o.orders, vc.cluster FROM proc p JOIN vc ON vc.vendor_id = p.vendor_id "
         "JOIN (SELECT vendor_id, count(*) AS orders FROM proc GROUP BY vendor_id) o ON o.vendor_id = p.vendor_id")))
 def vendor_clusters_ratio(spark, sf):
     return K.vendor_clusters(view(spark, sf, "procurement"))
 
 
-@query("D11_person_clusters", with_ctes("hr", PERSONS, *PERSON_EDGES, recursive=True, select="SELECT * FROM pc"))
+@query("D11_person_clusters", with_ctes("hr", PERSONS, *with_similar(PERSON_EDGES, "np", True, "pe0", "levenshtein"), recursive=True, select="SELECT * FROM pc"))
 def person_clusters(spark, sf):
     return K.person_clusters(view(spark, sf, "hr"), metric="levenshtein")
 
 
 @query("D11_person_clusters_ratio", with_ctes(
-    "hr", PERSONS, *_with_similar(PERSON_EDGES, "np", True, "pe0"), recursive=True, select="SELECT * FROM pc"))
+    "hr", PERSONS, *with_similar(PERSON_EDGES, "np", True, "pe0"), recursive=True, select="SELECT * FROM pc"))
 def person_clusters_ratio(spark, sf):
     return K.person_clusters(view(spark, sf, "hr"))
 
 
-LINKS = ("links AS (SELECT DISTINCT l_orderkey % 5003 AS a, 100000 + l_partkey % 997 AS b FROM lineitem WHERE l_quantity >= 48)",
-         "both_ AS (SELECT a, b FROM links UNION SELECT b, a FROM links)",
-         "lr AS (SELECT a AS node, a AS component FROM both_ UNION SELECT l.b, r.component FROM lr r JOIN both_ l ON l.a = r.node)")
-
-
-@query("D12_connected_components", "WITH RECURSIVE " + ", ".join(LINKS) +
-       " SELECT node, min(component) AS component FROM lr GROUP BY node")
+# every order is linked to the parts it holds; no SQL, as a recursive union over all links does not end in useful
+# time; tests compare the operator with a plain union-find
+@query("D12_connected_components")
 def connected_components(spark, sf):
-    links = table(spark, sf, "lineitem").filter("l_quantity >= 48").select(
-        (F.col("l_orderkey") % 5003).alias("a"), (100000 + F.col("l_partkey") % 997).alias("b"))
+    links = table(spark, sf, "lineitem").select(
+        F.concat(F.lit("O"), "l_orderkey").alias("a"), F.concat(F.lit("P"), "l_partkey").alias("b"))
     return K.connected_components(links)
 
 
-VENDORS = (COMPANIES, *VENDOR_EDGES, """vcl AS (SELECT DISTINCT p.vendor_id, p.vendor_name, o.orders, vc.cluster FROM proc p
-  JOIN vc ON vc.vendor_id = p.vendor_id JOIN (SELECT vendor_id, count(*) AS orders FROM proc GROUP BY vendor_id) o
-  ON o.vendor_id = p.vendor_id)""",
-           """canon AS (SELECT cluster, vendor_name AS canonical_vendor_name, members FROM (SELECT cluster, vendor_name,
-  row_number() OVER (PARTITION BY cluster ORDER BY orders DESC, len(vendor_name) DESC, vendor_name) AS rn,
-  count(*) OVER (PARTITION BY cluster) AS members FROM vcl) q WHERE rn = 1)""",
-           "vmaster AS (SELECT DISTINCT v.vendor_id, c.canonical_vendor_name FROM vcl v JOIN canon c ON c.cluster = v.cluster)")
+@query("D12_order_halves", "SELECT node, CASE WHEN node % 2 = 0 THEN node ELSE node - 1 END AS component FROM ("
+       "SELECT o_orderkey AS node FROM orders WHERE o_orderkey % 2 = 1 AND o_orderkey - 1 IN (SELECT o_orderkey FROM orders) "
+       "UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey + 1 IN (SELECT o_orderkey FROM orders)) n")
+def order_halves(spark, sf):
+    """Orders linked to the order of the next key: each odd key to the even one before it."""
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("a"))
+    links = orders.filter("a % 2 = 1").withColumn("b", F.col("a") - 1)
+    return K.connected_components(links.join(orders.select(F.col("a").alias("b")), "b"))
 
 
 @query("D13_canonical_names", with_ctes("proc", *VENDORS, recursive=True, select="SELECT * FROM canon"))
@@ -262,76 +240,59 @@ def consolidation(spark, sf):
 
 
 @query("D15_cluster_members", with_ctes("proc", *VENDORS, recursive=True, select=(
-    "SELECT cluster, count(*) AS members, string_agg(vendor_id, ', ' ORDER BY vendor_id) AS member_ids FROM vcl "
-    "GROUP BY cluster HAVING count(*) > 1")))
+    "SELECT cluster, members, CAST(part AS INTEGER) AS part, string_agg(vendor_id, ', ' ORDER BY vendor_id) AS member_ids FROM ("
+    "SELECT cluster, vendor_id, count(*) OVER (PARTITION BY cluster) AS members, "
+    "(row_number() OVER (PARTITION BY cluster ORDER BY vendor_id) - 1) // 1000 AS part "
+    "FROM (SELECT DISTINCT cluster, vendor_id FROM vcl) d) q WHERE members > 1 GROUP BY cluster, members, part")))
 def cluster_members(spark, sf):
-    return K.member_list(vendor_groups(spark, sf)).drop("part")
+    return K.member_list(vendor_groups(spark, sf))
 
 
-@query("D16_person_master", with_ctes("hr", PERSONS, *PERSON_EDGES, recursive=True, select=(
+@query("D16_person_master", with_ctes("hr", *GROUPED_PERSONS, recursive=True, select=(
     "SELECT h.employee_id, h.name AS canonical_name, pc.cluster AS cluster_id FROM hr h LEFT JOIN pc ON pc.id = h.employee_id")))
 def person_master(spark, sf):
     hr = view(spark, sf, "hr")
     return K.person_master(hr, person_groups(spark, sf, hr))
 
 
-REVIEW = """review AS (SELECT a.id AS employee_id_a, b.id AS employee_id_b, a.name AS name_a, b.name AS name_b,
-    1 - 2.0 * levenshtein(lower(trim(a.name)), lower(trim(b.name))) / (len(trim(a.name)) + len(trim(b.name)))
-      AS similarity_score,
-    a.dept_code IS NOT DISTINCT FROM b.dept_code AS same_dept_code,
-    a.cost_centre IS NOT DISTINCT FROM b.cost_centre AS same_cost_centre,
-    abs(date_diff('day', a.hire_date, b.hire_date)) AS hire_date_delta_days, a.cluster,
-    CASE WHEN a.dept_code IS NOT DISTINCT FROM b.dept_code AND a.cost_centre IS NOT DISTINCT FROM b.cost_centre
-      AND abs(date_diff('day', a.hire_date, b.hire_date)) <= 30 THEN 'likely_duplicate' ELSE 'needs_human_review' END
-      AS recommendation
-  FROM ph a JOIN ph b ON a.cluster = b.cluster AND a.id < b.id)"""
-PERSON_ROWS = "ph AS (SELECT h.employee_id AS id, h.name, h.dept_code, h.cost_centre, h.hire_date, pc.cluster FROM hr h JOIN pc ON pc.id = h.employee_id)"
-REVIEWED = (PERSONS, *PERSON_EDGES, PERSON_ROWS, REVIEW)
+REVIEW_COLUMNS = ("employee_id, partner_id, partner_name, similarity_score, same_dept_code, same_cost_centre, "
+                  "hire_date_delta_days, likely_rows")
 
 
-@query("D17_pair_review", with_ctes("hr", *REVIEWED, recursive=True, select=(
-    "SELECT employee_id_a, employee_id_b, name_a, name_b, similarity_score, same_dept_code, same_cost_centre, "
-    "hire_date_delta_days FROM review")))
-def pair_review(spark, sf):
+def _review(spark, sf, metric="ratio"):
     hr = view(spark, sf, "hr")
-    return K.duplicate_review(hr, person_groups(spark, sf, hr), "levenshtein").drop("recommendation")
+    links = D.name_links(D.person_rows(hr), metric=metric)
+    return K.person_review(hr, stage(K.person_clusters(hr, links=links), "person-clusters"), links, metric)
 
 
-RATIO_REVIEW = ("rp AS (SELECT employee_id_a || chr(31) || employee_id_b AS pid, lower(trim(name_a)) AS a, "
-                "lower(trim(name_b)) AS b FROM review)", sql_ratio("rp", "rr"))
+@query("D17_pair_review", with_ctes("hr", *reviewed("levenshtein"), recursive=True, select=f"SELECT {REVIEW_COLUMNS} FROM review"))
+def pair_review(spark, sf):
+    return _review(spark, sf, "levenshtein").select(*REVIEW_COLUMNS.split(", "))
 
 
-@query("D17_pair_review_ratio", with_ctes("hr", *REVIEWED, *RATIO_REVIEW, recursive=True, select=(
-    "SELECT employee_id_a, employee_id_b, name_a, name_b, rr.score AS similarity_score, same_dept_code, same_cost_centre, "
-    "hire_date_delta_days, recommendation FROM review JOIN rr ON rr.pid = employee_id_a || chr(31) || employee_id_b")))
+@query("D17_pair_review_ratio", with_ctes("hr", *reviewed("ratio"), recursive=True, select=(
+    f"SELECT {REVIEW_COLUMNS}, cluster, cluster_rows, name, recommendation, named_partner_id, named_score FROM review")))
 def pair_review_ratio(spark, sf):
-    hr = view(spark, sf, "hr")
-    return K.duplicate_review(hr, person_groups(spark, sf, hr))
+    return _review(spark, sf).drop("settle_gap")
 
 
-@query("D17_review_partners", with_ctes("hr", *REVIEWED, recursive=True, select="""
-  SELECT p.id, p.cluster, count(r.employee_id_a) AS likely_rows,
-    coalesce(min(CASE WHEN r.employee_id_a = p.id THEN r.employee_id_b ELSE r.employee_id_a END)
-      FILTER (CASE WHEN r.employee_id_a = p.id THEN r.employee_id_b ELSE r.employee_id_a END < p.id),
-      max(CASE WHEN r.employee_id_a = p.id THEN r.employee_id_b ELSE r.employee_id_a END)) AS partner_id
-  FROM ph p LEFT JOIN review r ON r.recommendation = 'likely_duplicate' AND p.id IN (r.employee_id_a, r.employee_id_b)
-  GROUP BY p.id, p.cluster"""))
+@query("D17_review_partners", with_ctes("hr", *reviewed("ratio"), recursive=True, select=(
+    "SELECT employee_id AS id, cluster, likely_rows, near_id AS partner_id FROM review")))
 def review_partners(spark, sf):
-    hr = view(spark, sf, "hr")
-    return K.review_partners(hr, person_groups(spark, sf, hr)).drop("settles")
+    return _review(spark, sf).select(
+        F.col("employee_id").alias("id"), "cluster", "likely_rows",
+        F.when(F.col("likely_rows") > 0, F.col("partner_id")).alias("partner_id"))
 
 
-@query("D18_recommendations", with_ctes("hr", *REVIEWED, recursive=True, select=(
-    "SELECT employee_id_a, employee_id_b, recommendation FROM review")))
+@query("D18_recommendations", with_ctes("hr", *reviewed("levenshtein"), recursive=True, select=(
+    "SELECT employee_id, partner_id, recommendation FROM review")))
 def recommendations(spark, sf):
-    hr = view(spark, sf, "hr")
-    return K.duplicate_review(hr, person_groups(spark, sf, hr), "levenshtein").select(
-        "employee_id_a", "employee_id_b", "recommendation")
+    return _review(spark, sf, "levenshtein").select("employee_id", "partner_id", "recommendation")
 
 
-@query("D19_review_metrics", with_ctes("hr", *REVIEWED, recursive=True, select=(
-    "SELECT count(DISTINCT cluster) AS clusters, count(*) AS pairs, count(*) FILTER (recommendation = 'likely_duplicate') "
-    "AS likely, count(*) FILTER (recommendation <> 'likely_duplicate') AS review FROM review")))
+@query("D19_review_metrics", with_ctes("hr", *GROUPED_PERSONS, PERSON_ROWS, recursive=True, select=f"""
+  SELECT count(DISTINCT a.cluster) AS clusters, count(*) AS pairs, count(*) FILTER ({LIKELY}) AS likely,
+    count(*) - count(*) FILTER ({LIKELY}) AS review FROM ph a JOIN ph b ON a.cluster = b.cluster AND a.id < b.id"""))
 def review_metrics(spark, sf):
     hr = view(spark, sf, "hr")
     return K.review_metrics(K.review_totals(hr, person_groups(spark, sf, hr)))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlift.functions.codes import COST_CENTRE
@@ -10,9 +13,10 @@ from ledgerlift.operators import kpi as KP
 from ledgerlift.operators import mapping as M
 from ledgerlift.operators import reconcile as R
 from ledgerlift.plans.pipeline import run
+from ledgerlift.sources.publish import version
+from ledgerlift.sources.stages import new_path
 from ledgerlift.workloads.base import *  # noqa: F403
 from ledgerlift.workloads.checks import AFTER, BEFORE, IMPACT_SELECT, KPI, SPLIT, figures
-from ledgerlift.workloads.matching import VENDORS, vendor_groups
 
 MAPPED = tuple(sql_target(k, held=False) for k in KEYS)
 
@@ -78,14 +82,12 @@ FK_EMPLOYEE = "SELECT expense_id, employee_id FROM exp WHERE employee_id NOT IN
 
 
 def _orphan_vendors(spark, sf):
-    finance = M.map_table(view(spark, sf, "finance"), default_spec()["finance"])
-    return M.orphan_vendors(finance, K.vendor_master(vendor_groups(spark, sf)))
+    return M.orphan_vendors(job(spark, sf).mapped["finance"], job(spark, sf).vendor_master)
 
 
 def _orphan_employees(spark, sf):
-    specs = default_spec()
-    return M.orphan_employees(M.map_table(view(spark, sf, "expenses"), specs["expenses"]),
-                              M.map_table(view(spark, sf, "hr"), specs["hr"]))
+    mapped = job(spark, sf).mapped
+    return M.orphan_employees(mapped["expenses"], mapped["hr"])
 
 
 @query("M5_vendor_references", with_ctes("proc fin", select=FK_VENDOR))
@@ -119,11 +121,10 @@ def mapped_codes(spark, sf):
     "LEFT JOIN (SELECT row_identifier, arg_min(issue_id, finding_id) AS issue_id, arg_min(status, finding_id) AS status "
     "FROM issue_rows WHERE table_name = 'legacy_finance' GROUP BY row_identifier) i ON i.row_identifier = f.gl_entry_id")))
 def failures_with_issue(spark, sf):
-    rows = logged(spark, sf)[3]
+    rows = job(spark, sf).issue_rows
     return M.with_issue(_orphan_vendors(spark, sf).select("gl_entry_id", "vendor_id"), "gl_entry_id", "legacy_finance", rows)
 
 
-VENDOR_PARTS = tuple(v for v in VENDORS if not v.startswith("nc AS"))
 STATS = "stats AS (" + " UNION ALL ".join(_stats(k) for k in KEYS) + ")"
 REPORT = " UNION ALL ".join(
     [f"SELECT 'row_count' AS section, 'target_{k}' AS \"check\", 'INFO' AS status, count(*) AS value FROM {SHORT[k]}" for k in KEYS]
@@ -137,14 +138,9 @@ REPORT = " UNION ALL ".join(
        "SELECT 'issues', status, 'INFO', count(*) FROM issue_rows GROUP BY status"])
 
 
-@query("M9_validation_report", with_ctes(ALL, *CHAIN, *VENDOR_PARTS, STATS, recursive=True, select=REPORT))
+@query("M9_validation_report", with_ctes(ALL, *CHAIN, STATS, select=REPORT))
 def validation_report(spark, sf):
-    src, _, log, _ = logged(spark, sf)
-    groups = vendor_groups(spark, sf)
-    mapped = map_all(src)
-    return M.validation_report(mapped, src, K.consolidation(groups),
-                               M.orphan_vendors(mapped["finance"], K.vendor_master(groups)),
-                               M.orphan_employees(mapped["expenses"], mapped["hr"]), log)
+    return job(spark, sf).validation
 
 
 @query("M10_derived_status", with_ctes("hr", select=(
@@ -162,26 +158,23 @@ def derived_status(spark, sf):
     "SELECT issue_id, row_identifier, CASE WHEN issue_type IN ('obsolete_orphaned', 'accuracy') THEN 'hold' ELSE 'flag' END "
     "AS action FROM issue_rows WHERE status = 'Open' AND issue_type <> 'consistency'")))
 def policy_actions(spark, sf):
-    return P.with_action(logged(spark, sf)[3]).select("issue_id", "row_identifier", "action")
+    return P.with_action(job(spark, sf).issue_rows).select("issue_id", "row_identifier", "action")
 
 
 @query("R2_held_rows", with_ctes(ALL, *CHAIN, select="SELECT domain, table_name, row_identifier, issue_id, finding_id, reason FROM held"))
 def held_rows(spark, sf):
-    return P.held_rows(logged(spark, sf)[3])
+    return job(spark, sf).held
 
 
 @query("R3_flagged_rows", with_ctes(ALL, *CHAIN, select="SELECT table_name, row_identifier, finding_id, issue_id FROM flags"))
 def flagged_rows(spark, sf):
-    return P.flagged_rows(logged(spark, sf)[3])
+    return P.flagged_rows(job(spark, sf).issue_rows)
 
 
 for _key in KEYS:
     @query(f"R4_migrated_{_key}", with_ctes(ALL, *CHAIN, sql_target(_key), select=f"SELECT * FROM target_{SHORT[_key]}"))
     def migrated_table(spark, sf, key=_key):
-        src, _, _, rows = logged(spark, sf)
-        actions = stage(P.row_actions(rows), "row-actions")
-        spec = default_spec()[key]
-        return P.migrate(M.map_table(src[key], spec), spec, DOMAINS[key].row_id, actions)
+        return job(spark, sf).target(key)
 
 
 def _counts_sql() -> str:
@@ -202,62 +195,90 @@ COUNTED = with_ctes(ALL, *CHAIN, *TARGETS, COUNTS, select=(
 
 @query("R5_row_counts", COUNTED)
 def row_counts(spark, sf):
-    src, held, targets = migrated(spark, sf)
-    return R.row_counts(src, targets, held)
+    return job(spark, sf).counts
 
 
 @query("R6_held_listing", with_ctes(ALL, *CHAIN, select=(
     "SELECT table_name, row_identifier, issue_id, reason FROM held WHERE table_name = 'legacy_finance'")))
 def held_listing(spark, sf):
-    return R.held_listing(P.held_rows(logged(spark, sf)[3]), "legacy_finance")
+    return R.held_listing(job(spark, sf).held, "legacy_finance")
+
 
+# targets with planted drift, lost and invented rows, so that every state occurs in every table
+CHANGED_COLUMN = {"hr": ("job_title", "'changed'"), "finance": ("amount", "amount + 1"), "procurement": ("quantity", "quantity + 1"),
+                  "expenses": ("amount", "amount + 1")}
 
-# a target with planted drift, lost and invented rows, so that every state occurs
-def _damaged(target):
-    number = F.expr("cast(substr(gl_entry_id, 4) as bigint)")
+
+def _damaged(target, key):
+    column, changed = CHANGED_COLUMN[key]
+    row_id, number = DOMAINS[key].row_id, number_of(key)
     kept = target.filter(number % 401 != 7)
-    changed = kept.withColumn("amount", F.when(number % 307 == 5, F.col("amount") + 1).otherwise(F.col("amount")))
-    extra = target.filter(number % 503 == 9).withColumn("gl_entry_id", F.concat(F.lit("X"), "gl_entry_id"))
-    return changed.unionByName(extra)
+    drifted = kept.withColumn(column, F.when(number % 307 == 5, F.expr(changed)).otherwise(F.col(column)))
+    extra = target.filter(number % 503 == 9).withColumn(row_id, F.concat(F.lit("X"), row_id))
+    return drifted.unionByName(extra)
+
+
+def _damaged_sql(key: str) -> str:
+    (column, changed), row_id, number, short = CHANGED_COLUMN[key], DOMAINS[key].row_id, NUMBER[key], SHORT[key]
+    return (f"damaged_{short} AS (SELECT * REPLACE (CASE WHEN {number} % 307 = 5 THEN {changed} ELSE {column} END AS {column}) "
+            f"FROM target_{short} WHERE {number} % 401 <> 7 UNION ALL SELECT * REPLACE ('X' || {row_id} AS {row_id}) "
+            f"FROM target_{short} WHERE {number} % 503 = 9)")
+
+
+def _states_sql(key: str) -> str:
+    row_id, short, table_name = DOMAINS[key].row_id, SHORT[key], DOMAINS[key].table
+    differ = " OR ".join(f"s.{c} IS DISTINCT FROM t.{c}" for c in default_spec()[key].targets())
+    return (f"states_{short} AS (SELECT '{table_name}' AS table_name, coalesce(s.{row_id}, t.{row_id}) AS key, "
+            f"CASE WHEN s.{row_id} IS NULL THEN 'unexpected' WHEN t.{row_id} IS NULL THEN CASE WHEN s.{row_id} IN "
+            f"(SELECT row_identifier FROM held WHERE table_name = '{table_name}') THEN 'held' ELSE 'missing' END WHEN {differ} "
+            f"THEN 'drifted' ELSE 'matched' END AS state FROM mapped_{short} s FULL OUTER JOIN damaged_{short} t ON t.{row_id} = s.{row_id})")
+
 
+CHECKSUM = (*CHAIN, *TARGETS, *MAPPED, *(_damaged_sql(k) for k in KEYS), *(_states_sql(k) for k in KEYS),
+            "states AS (" + " UNION ALL ".join(f"SELECT * FROM states_{SHORT[k]}" for k in KEYS) + ")")
 
-NUM = "CAST(substr(gl_entry_id, 4) AS BIGINT)"
-DAMAGED = (f"damaged AS (SELECT * REPLACE (CASE WHEN {NUM} % 307 = 5 THEN amount + 1 ELSE amount END AS amount) FROM target_fin "
-           f"WHERE {NUM} % 401 <> 7 UNION ALL SELECT * REPLACE ('X' || gl_entry_id AS gl_entry_id) FROM target_fin WHERE {NUM} % 503 = 9)")
-FIN_COLUMNS = default_spec()["finance"].targets()
-STATES = ("states AS (SELECT coalesce(s.gl_entry_id, t.gl_entry_id) AS key, CASE WHEN s.gl_entry_id IS NULL THEN 'unexpected' "
-          "WHEN t.gl_entry_id IS NULL THEN CASE WHEN s.gl_entry_id IN (SELECT row_identifier FROM held WHERE table_name = "
-          "'legacy_finance') THEN 'held' ELSE 'missing' END WHEN " +
-          " OR ".join(f"s.{c} IS DISTINCT FROM t.{c}" for c in FIN_COLUMNS) +
-          " THEN 'drifted' ELSE 'matched' END AS state FROM mapped_fin s FULL OUTER JOIN damaged t ON t.gl_entry_id = s.gl_entry_id)")
-CHECKSUM = (*CHAIN, sql_target("finance"), sql_target("finance", held=False), DAMAGED, STATES)
 
+def _union(parts):
+    return reduce(DataFrame.unionByName, parts)
 
-def _states(spark, sf):
-    src, held, targets = migrated(spark, sf)
-    return R.row_checksums(src["finance"], _damaged(targets["finance"]), default_spec()["finance"], "gl_entry_id", held)
 
+def _comparisons(spark, sf):
+    j = job(spark, sf)
+    damaged = {k: stage(_damaged(j.target(k), k), f"damaged-{k}") for k in KEYS}
+    return R.compare_all(j.sources, damaged, j.specs, j.held)
 
-@query("R7_row_checksums", with_ctes(ALL, *CHECKSUM, select="SELECT key, state FROM states"))
+
+@query("R7_row_checksums", with_ctes(ALL, *CHECKSUM, select="SELECT table_name, key, state FROM states"))
 def row_checksums(spark, sf):
-    return _states(spark, sf)
+    """Every row id of every table, compared row by row."""
+    j = job(spark, sf)
+    return _union([
+        R.row_checksums(j.sources[k], _damaged(j.target(k), k), j.specs[k], DOMAINS[k].row_id, j.held).select(
+            F.lit(DOMAINS[k].table).alias("table_name"), "key", "state") for k in KEYS])
+
+
+@query("R7_range_differences", with_ctes(ALL, *CHECKSUM, select=(
+    "SELECT table_name, key, state FROM states WHERE state NOT IN ('matched', 'held')")))
+def range_differences(spark, sf):
+    """The rows that differ, found by reading only the key ranges whose fingerprints differ."""
+    return _union([c.differences().filter(~F.col("state").isin("matched", "held")).select(
+        F.lit(c.spec.source_table).alias("table_name"), "key", "state") for c in _comparisons(spark, sf).values()])
 
 
 @query("R7_checksum_summary", with_ctes(ALL, *CHECKSUM, select=(
-    "SELECT 'legacy_finance' AS table_name, " + ", ".join(
-        f"count(*) FILTER (state = '{s}') AS {s}" for s in ("matched", "drifted", "held", "missing", "unexpected"))
+    "SELECT table_name, " + ", ".join(f"count(*) FILTER (state = '{s}') AS {s}" for s in R.STATES)
     + ", CASE WHEN count(*) FILTER (state IN ('drifted', 'missing', 'unexpected')) = 0 THEN 'CLEAN' ELSE 'DRIFT' END AS status "
-      "FROM states")))
+      "FROM states GROUP BY table_name")))
 def checksum_summary(spark, sf):
-    return R.checksum_summary(_states(spark, sf), "legacy_finance")
+    return _union([c.summary() for c in _comparisons(spark, sf).values()])
 
 
 @query("R8_column_drift", with_ctes(ALL, *CHECKSUM, select=" UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, count(*) AS compared, count(*) FILTER (s.{c} IS DISTINCT FROM t.{c}) AS drifted "
-    "FROM mapped_fin s JOIN damaged t ON t.gl_entry_id = s.gl_entry_id" for c in FIN_COLUMNS if c != "gl_entry_id")))
+    f"SELECT '{DOMAINS[k].table}' AS table_name, '{c}' AS column_name, count(*) AS compared, "
+    f"count(*) FILTER (s.{c} IS DISTINCT FROM t.{c}) AS drifted FROM mapped_{SHORT[k]} s JOIN damaged_{SHORT[k]} t "
+    f"ON t.{DOMAINS[k].row_id} = s.{DOMAINS[k].row_id}" for k in KEYS for c in default_spec()[k].targets() if c != DOMAINS[k].row_id)))
 def column_drift(spark, sf):
-    src, _, targets = migrated(spark, sf)
-    return R.column_drift(src["finance"], _damaged(targets["finance"]), default_spec()["finance"], "gl_entry_id")
+    return _union([c.column_drift() for c in _comparisons(spark, sf).values()])
 
 
 def _rule_sql(key: str, expression: str, rule: str, group: str | None = None) -> str:
@@ -282,31 +303,31 @@ RULES = {
 for _name, (_key, _expression, _rule) in RULES.items():
     @query(_name, with_ctes(ALL, *CHAIN, sql_target(_key), select=_rule_sql(_key, _expression, _rule)))
     def business_total(spark, sf, key=_key):
-        src, held, targets = migrated(spark, sf)
-        return R.standard_rules(src, targets, held, [key])
+        j = job(spark, sf)
+        return R.standard_rules(j.sources, {key: j.target(key)}, j.held, [key])
 
 
 @query("R9_expenses_by_centre", with_ctes(ALL, *CHAIN, sql_target("expenses"), select=_rule_sql(
     "expenses", "amount", "expenses by cost centre", CODE)))
 def expenses_by_centre(spark, sf):
-    src, held, targets = migrated(spark, sf)
-    return R.compare_totals(src["expenses"], targets["expenses"], F.col("amount"), held, "legacy_expenses", "expense_id",
+    j = job(spark, sf)
+    return R.compare_totals(j.sources["expenses"], j.target("expenses"), F.col("amount"), j.held, "legacy_expenses", "expense_id",
                             "expenses by cost centre", COST_CENTRE.normalise(F.col("cost_centre")))
 
 
 @query("R10_orders_by_vendor", with_ctes(ALL, *CHAIN, sql_target("procurement"), select=_rule_sql(
     "procurement", PO_VALUE, "order value by vendor", "vendor_id")))
 def orders_by_vendor(spark, sf):
-    src, held, targets = migrated(spark, sf)
-    return R.compare_totals(src["procurement"], targets["procurement"], R.order_value(), held, "legacy_procurement", "po_id",
+    j = job(spark, sf)
+    return R.compare_totals(j.sources["procurement"], j.target("procurement"), R.order_value(), j.held, "legacy_procurement", "po_id",
                             "order value by vendor", F.col("vendor_id"))
 
 
 @query("R11_finance_by_account", with_ctes(ALL, *CHAIN, sql_target("finance"), select=_rule_sql(
     "finance", "amount", "finance by account", "account_code")))
 def finance_by_account(spark, sf):
-    src, held, targets = migrated(spark, sf)
-    return R.compare_totals(src["finance"], targets["finance"], F.col("amount"), held, "legacy_finance", "gl_entry_id",
+    j = job(spark, sf)
+    return R.compare_totals(j.sources["finance"], j.target("finance"), F.col("amount"), j.held, "legacy_finance", "gl_entry_id",
                             "finance by account", F.col("account_code"))
 
 
@@ -315,22 +336,16 @@ def finance_by_account(spark, sf):
     f"'migrated_with_flag') AS flagged_in, (SELECT count(DISTINCT row_identifier) FROM held WHERE table_name = "
     f"'{DOMAINS[k].table}') AS held_out" for k in KEYS)))
 def inclusion_counts(spark, sf):
-    _, held, targets = migrated(spark, sf)
-    out = None
-    for k in KEYS:
-        part = R.inclusion_counts(targets[k], held, DOMAINS[k].table)
-        out = part if out is None else out.unionByName(part)
-    return out
+    return job(spark, sf).inclusions
 
 
 @query("R13_target_deltas", with_ctes(ALL, *CHAIN, *TARGETS, COUNTS, select=(
     "SELECT table_name, target_rows, target_rows - source_rows AS delta FROM counts")))
 def target_deltas(spark, sf):
-    src, held, targets = migrated(spark, sf)
-    return R.target_deltas(R.row_counts(src, targets, held))
+    return R.target_deltas(job(spark, sf).counts)
 
 
-@query("R14_headline", with_ctes(ALL, *CHAIN, *TARGETS, COUNTS, *(sql_target(k, held=False) for k in KEYS), select=(
+@query("R14_headline", with_ctes(ALL, *CHAIN, *TARGETS, COUNTS, *MAPPED, select=(
     "SELECT count(*) AS checks, count(*) FILTER (NOT ok) AS failed, CASE WHEN bool_and(ok) THEN "
     "'Reconciles cleanly against migration policy' ELSE 'Does not reconcile with migration policy' END AS headline FROM ("
     "SELECT target_rows - source_rows = -held_rows AS ok FROM counts UNION ALL "
@@ -342,21 +357,23 @@ def target_deltas(spark, sf):
     + " UNION ALL " + " UNION ALL ".join(
         f"SELECT status = 'PASS' FROM ({_rule_sql(k, e, r)}) r" for k, e, r in RULES.values()) + ") c")))
 def headline(spark, sf):
-    src, held, targets = migrated(spark, sf)
-    targets = {k: stage(t, f"target-{k}") for k, t in targets.items()}
-    sums = None
-    for k in KEYS:
-        part = R.checksum_summary(R.row_checksums(src[k], targets[k], default_spec()[k], DOMAINS[k].row_id, held),
-                                  DOMAINS[k].table)
-        sums = part if sums is None else sums.unionByName(part)
-    return R.headline(R.row_counts(src, targets, held), sums, R.standard_rules(src, targets, held))
-
-
-# resolutions and fuzzy findings change flags, never the held rows
-@query("whole_migration", COUNTED)
+    return job(spark, sf).headline
+
+
+@query("whole_migration", with_ctes(ALL, *CHAIN, *TARGETS, COUNTS, select=(
+    "SELECT 'discovery_findings' AS table_name, count(*) AS n FROM findings UNION ALL SELECT 'issue_log', count(*) FROM issue_rows "
+    "UNION ALL SELECT 'resolutions', count(*) FROM settled UNION ALL SELECT 'person_clusters', count(*) FROM pc "
+    "UNION ALL SELECT 'vendor_clusters', count(*) FROM vcl UNION ALL SELECT 'target_vendor_master', count(*) FROM vmaster "
+    "UNION ALL SELECT 'target_hr_master', count(*) FROM hr UNION ALL SELECT 'hr_duplicate_review', count(*) FROM review "
+    "UNION ALL SELECT 'held_rows', count(*) FROM held UNION ALL SELECT 'row_counts', count(*) FROM counts UNION ALL "
+    + " UNION ALL ".join(f"SELECT '{default_spec()[k].target_table}', count(*) FROM target_{SHORT[k]}" for k in KEYS))))
 def whole_migration(spark, sf):
-    """Every stage in order, resolutions and the fuzzy rules included."""
-    return run(staged_sources(spark, sf), AS_OF, earliest=EARLIEST).counts
+    """The job run in one go and published; the rows of its tables, as the published version states them."""
+    folder = new_path(spark, "published")
+    run(staged_sources(spark, sf), AS_OF, earliest=EARLIEST, publish_to=folder)
+    rows = version(spark, folder).rows
+    few = ("checksums", "business_rules", "headline", "validation_report", "kpi_impact")
+    return spark.createDataFrame([(n, c) for n, c in rows.items() if n not in few], "table_name string, n bigint")
 
 
 # --- figures ------------------------------------------------------------------------------
@@ -396,13 +413,18 @@ def impact_deltas(spark, sf):
     return KP.impact_deltas(*figures(spark, sf))
 
 
-@query("K5_scenario_guard", with_ctes("fin", select=(
-    "SELECT cost_centre, count(*) AS n FROM fin WHERE regexp_full_match(cost_centre, '[0-9]{3}') GROUP BY cost_centre")))
+@query("K5_scenario_guard", with_ctes(ALL, FINDINGS, ISSUES, *RESOLVED, select=(
+    "SELECT f.cost_centre, i.issue_id, i.status FROM fin f JOIN issue_rows i ON i.row_identifier = f.gl_entry_id "
+    "AND i.detection_rule = 'cost_centre_format_drift' WHERE f.gl_entry_id = 'GL-000000005'")))
 def scenario_guard(spark, sf):
-    fin = view(spark, sf, "finance")
+    j = job(spark, sf)
     # order 5 is always among the drifted rows: 5 % 97 = 5, centre 5 % 15 + 1
-    KP.require_scenario(fin, "gl_entry_id", "GL-000000005", "cost_centre", "006")
-    return fin.filter(F.col("cost_centre").rlike(r"^[0-9]{3}\z")).groupBy("cost_centre").agg(F.count(F.lit(1)).alias("n"))
+    row = "GL-000000005"
+    issue = j.issue_rows.filter((F.col("row_identifier") == row) & (F.col("detection_rule") == "cost_centre_format_drift"))
+    number = issue.select("issue_id").first()[0]
+    KP.require_scenario(j.sources["finance"], "gl_entry_id", row, "cost_centre", "006", j.issues, number)
+    return issue.join(j.sources["finance"].withColumnRenamed("gl_entry_id", "row_identifier"), "row_identifier").select(
+        "cost_centre", "issue_id", "status")
 
 
 @query("K9_scenario_rows", with_ctes(ALL, *KPI, select=f"SELECT * FROM ({IMPACT_SELECT}) i WHERE scenario = 'before'"))

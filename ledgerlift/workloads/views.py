@@ -16,27 +16,27 @@ EARLIEST = date(1995, 1, 10)
 VIEWS = {
     "hr": ("customer", """
 SELECT concat('EMP-', lpad(CAST(k AS STRING), 8, '0')) AS employee_id,
- CASE WHEN k % 50 = 49 THEN concat(first, ' ', substr(last, 1, 1), '.') WHEN k % 50 = 37 THEN concat(first, ' ', last, ' ')
+ CASE WHEN k % 25 = 2 THEN 'Sam Hotname' WHEN k % 50 = 11 THEN concat(first, ' ', substr(last, 1, 7), 'q') WHEN k % 50 = 49 THEN concat(first, ' ', substr(last, 1, 1), '.') WHEN k % 50 = 37 THEN concat(first, ' ', last, ' ')
       WHEN k % 50 = 21 THEN concat('Dr ', first, ' ', last) ELSE concat(first, ' ', last) END AS name,
- concat('D', CAST(b % 8 AS STRING)) AS dept_code, seg AS job_title,
- DATE '2015-01-01' + CAST(b % 3000 AS INT) AS hire_date,
+ CASE WHEN k % 25 = 2 THEN 'D2' ELSE concat('D', CAST(b % 8 AS STRING)) END AS dept_code, seg AS job_title,
+ CASE WHEN k % 60 <> 17 THEN DATE '2015-01-01' + CAST(b % 3000 AS INT) END AS hire_date,
  CASE WHEN k % 20 = 3 THEN DATE '2015-01-01' + CAST(b % 3000 + 300 AS INT) WHEN k % 83 = 4 THEN DATE '2017-06-01' END AS termination_date,
  CASE WHEN k % 20 = 3 THEN 'Terminated' ELSE 'Active' END AS employment_status,
- concat('CC-', lpad(CAST(b % 15 + 1 AS STRING), 3, '0')) AS cost_centre,
+ CASE WHEN k % 75 = 2 THEN 'CC-002' WHEN k % 25 = 2 THEN 'CC-003' ELSE concat('CC-', lpad(CAST(b % 15 + 1 AS STRING), 3, '0')) END AS cost_centre,
  CASE WHEN k > 0 THEN concat('EMP-', lpad(CAST(k % 10 AS STRING), 8, '0')) END AS manager_id
 FROM (SELECT *, translate(substr(md5(concat('f', CAST(b % 997 AS STRING))), 1, 6), '0123456789','ghijklmnop') AS first,
              translate(substr(md5(concat('l', CAST(b AS STRING))), 1, 8), '0123456789','ghijklmnop') AS last
-      FROM (SELECT c_custkey AS k, c_mktsegment AS seg, CASE WHEN c_custkey % 50 IN (49, 37, 21) THEN c_custkey - 1 ELSE c_custkey END AS b FROM customer) x) y
+      FROM (SELECT c_custkey AS k, c_mktsegment AS seg, CASE WHEN c_custkey % 50 IN (49, 37, 21, 11) THEN c_custkey - 1 ELSE c_custkey END AS b FROM customer) x) y
 """),
     "procurement": ("lineitem", """
 SELECT concat('PO-', lpad(CAST(o AS STRING), 9, '0'), '-', CAST(ln AS STRING), '-', CAST(p AS STRING), '-', CAST(k AS STRING), '-', CAST(CAST(q AS INT) AS STRING), '-', CAST(d AS STRING)) AS po_id,
  concat('VEND-', lpad(CAST(k AS STRING), 6, '0')) AS vendor_id,
- concat(translate(substr(md5(concat('v', CAST(b AS STRING))), 1, 12), '0123456789','ghijklmnop'), CASE WHEN k % 10 = 7 THEN ' Ltd' ELSE '' END) AS vendor_name,
+ concat(translate(substr(md5(concat('v', CAST(b AS STRING))), 1, CASE WHEN k % 10 = 4 THEN 11 ELSE 12 END), '0123456789','ghijklmnop'), CASE WHEN k % 10 = 7 THEN ' Ltd' WHEN k % 10 = 4 THEN 'q' ELSE '' END) AS vendor_name,
  concat('MAT-', CAST(p AS STRING)) AS material_code,
  CAST(CASE WHEN o % 89 = 8 AND ln = 1 THEN -q ELSE q END AS BIGINT) AS quantity,
  price AS unit_price, d AS po_date, st AS delivery_status, CASE WHEN o % 97 = 5 THEN substr(concat('CC-', lpad(CAST(o % 15 + 1 AS STRING), 3, '0')),4) WHEN o % 97 = 11 THEN concat('C', substr(concat('CC-', lpad(CAST(o % 15 + 1 AS STRING), 3, '0')),4)) WHEN o % 101 = 7 THEN '' ELSE concat('CC-', lpad(CAST(o % 15 + 1 AS STRING), 3, '0')) END AS cost_centre
 FROM (SELECT l_orderkey AS o, l_linenumber AS ln, l_partkey AS p, l_suppkey AS k, l_quantity AS q, l_extendedprice AS price, CAST(l_shipdate AS DATE) AS d, l_linestatus AS st,
-      CASE WHEN l_suppkey % 10 = 7 THEN l_suppkey - 1 ELSE l_suppkey END AS b FROM lineitem) x
+      CASE WHEN l_suppkey % 10 IN (7, 4) THEN l_suppkey - 1 ELSE l_suppkey END AS b FROM lineitem) x
 """),
     "finance": ("orders", """
 SELECT concat('GL-', lpad(CAST(o_orderkey AS STRING), 9, '0')) AS gl_entry_id, CASE WHEN o_orderkey % 97 = 5 THEN substr(concat('CC-', lpad(CAST(o_orderkey % 15 + 1 AS STRING), 3, '0')),4) WHEN o_orderkey % 97 = 11 THEN concat('C', substr(concat('CC-', lpad(CAST(o_orderkey % 15 + 1 AS STRING), 3, '0')),4)) WHEN o_orderkey % 101 = 7 THEN '' ELSE concat('CC-', lpad(CAST(o_orderkey % 15 + 1 AS STRING), 3, '0')) END AS cost_centre,

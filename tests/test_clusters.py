@@ -1,9 +1,12 @@
 import random
+from collections import Counter
 from datetime import date, timedelta
+from difflib import SequenceMatcher
 
 import pytest
 
 from ledgerlift.operators import clusters as K
+from ledgerlift.operators import duplicates as D
 from ledgerlift.operators import skew
 
 
@@ -82,36 +85,72 @@ def test_review_of_missing_facts(spark):
         ("E5", "Cy Young", "D1", "CC-002", date(2020, 1, 1)),
     ], HR)
     groups = K.person_clusters(hr).cache()
-    rows = {r["employee_id_a"]: r for r in K.duplicate_review(hr, groups).collect()}
-    assert rows["E1"]["same_dept_code"] and rows["E1"]["recommendation"] == "likely_duplicate"
+    rows = {r["employee_id"]: r for r in review_of(hr, groups).collect()}
+    assert rows["E1"]["same_dept_code"] and rows["E1"]["recommendation"] == "likely_duplicate" and rows["E1"]["partner_id"] == "E2"
     assert rows["E3"]["hire_date_delta_days"] is None and rows["E3"]["recommendation"] == "needs_human_review"
+    assert rows["E3"]["partner_id"] == "E4" and "E5" not in rows
     master = {r["employee_id"]: r["cluster_id"] for r in K.person_master(hr, groups).collect()}
     assert master == {"E1": "E1", "E2": "E1", "E3": "E3", "E4": "E3", "E5": None}
 
 
-def test_totals_equal_the_listed_pairs(spark):
-    rng = random.Random(8)
-    rows = [(f"E{i:03d}", rng.choice(["Ann Smith", "Ann S.", "Bob Stone", "Bob S", f"Solo N{i}x"]),
-             rng.choice(["D1", "D2", None]), rng.choice(["CC-001", "CC-002"]),
-             rng.choice([None, date(2020, 1, 1) + timedelta(days=rng.randrange(90))])) for i in range(70)]
+def review_of(hr, groups, issues=None, fuzzy=True):
+    return K.person_review(hr, groups, D.name_links(D.person_rows(hr), fuzzy=fuzzy), with_issue=issues)
+
+
+def ratio(left, right):
+    (_, a), (_, b) = sorted([left, right])
+    return SequenceMatcher(None, a.strip().lower(), b.strip().lower()).ratio()
+
+
+@pytest.mark.parametrize(("seed", "size"), [(8, 70), (3, 130)])
+def test_review_is_the_best_of_all_pairs(spark, seed, size):
+    """Clusters of over 50 rows: counts, nearest hires, gaps that settle issues and best names against all pairs."""
+    rng = random.Random(seed)
+    names = ["Ann Smith", "Dr Ann Smith", "ann smith ", "Ann S.", "Ann Smiths", "Bob Stone", "Bob S", "Bob Stonne"]
+    rows = [(f"E{i:03d}", rng.choice([*names, f"Solo N{i}x"]), rng.choice(["D1", "D2", None]), rng.choice(["CC-001", "CC-002"]),
+             rng.choice([None, date(2020, 1, 1) + timedelta(days=rng.randrange(90))])) for i in range(size)]
     hr = spark.createDataFrame(rows, HR)
-    groups = K.person_clusters(hr, fuzzy=False).cache()
-    pairs = K.duplicate_review(hr, groups, "levenshtein", listed_rows=1000).collect()
-    likely = [p for p in pairs if p["recommendation"] == "likely_duplicate"]
-    got = K.review_metrics(K.review_totals(hr, groups)).first().asDict()
-    assert got["pairs"] == len(pairs) and got["likely"] == len(likely) and got["review"] == len(pairs) - len(likely)
-    issues = spark.createDataFrame([(f"E{i:03d}",) for i in range(70) if i % 2], "row_identifier string")
-    for r in K.review_partners(hr, groups, issues).collect():
-        mine = [p for p in likely if r["id"] in (p["employee_id_a"], p["employee_id_b"])]
-        assert r["likely_rows"] == len(mine), r
-        settles = any(p["employee_id_a"] == r["id"] or int(p["employee_id_a"][1:]) % 2 == 0 for p in mine)
-        assert r["settles"] == settles, r
-
-
-def test_large_cluster_is_summed_up_not_listed(spark):
+    groups = K.person_clusters(hr).cache()
+    cluster = {r["id"]: r["cluster"] for r in groups.collect()}
+    people = {r[0]: r for r in rows if r[0] in cluster}
+    likely = {
+        a: {b: abs((people[a][4] - people[b][4]).days) for b in people
+            if a != b and cluster[a] == cluster[b] and people[a][2:4] == people[b][2:4] and people[a][4] and people[b][4]
+            and abs((people[a][4] - people[b][4]).days) <= 30} for a in people}
+    totals = K.review_metrics(K.review_totals(hr, groups)).first().asDict()
+    sizes = Counter(cluster.values())
+    assert max(sizes.values()) > 30 and totals["pairs"] == sum(n * (n - 1) // 2 for n in sizes.values())
+    assert totals["likely"] == sum(map(len, likely.values())) // 2
+    issues = spark.createDataFrame([(f"E{i:03d}",) for i in range(size) if i % 2], "row_identifier string")
+    got = {r["employee_id"]: r for r in review_of(hr, groups, issues).collect()}
+    assert set(got) == set(people)
+    for a, r in got.items():
+        gaps = likely[a]
+        assert r["likely_rows"] == len(gaps)
+        settling = [g for b, g in gaps.items() if b > a or int(b[1:]) % 2 == 0]
+        assert r["settle_gap"] == min(settling, default=None)
+        if gaps:
+            assert r["hire_date_delta_days"] == min(gaps.values()) == gaps[r["partner_id"]]
+            assert r["recommendation"] == "likely_duplicate"
+        else:
+            assert r["partner_id"] == r["named_partner_id"] and r["recommendation"] == "needs_human_review"
+        raw = lambda i: people[i][1].strip().lower()
+        same = sorted(b for b in people if b != a and raw(b) == raw(a))
+        assert r["named_score"] == pytest.approx(ratio((a, people[a][1]), (r["named_partner_id"], people[r["named_partner_id"]][1])))
+        if same:
+            assert (r["named_partner_id"], r["named_score"]) == (same[0], 1.0)
+        assert cluster[r["named_partner_id"]] == cluster[a]
+        assert r["similarity_score"] == pytest.approx(ratio((a, r["name"]), (r["partner_id"], r["partner_name"])))
+
+
+def test_review_of_a_large_cluster_has_a_row_per_record(spark):
     hr = spark.createDataFrame(
-        [(f"E{i:05d}", "Ann Smith", "D1", "CC-001", date(2020, 1, 1)) for i in range(2000)], HR)
-    groups = K.person_clusters(hr, fuzzy=False).cache()
-    assert K.duplicate_review(hr, groups).count() == 0
-    assert K.review_metrics(K.review_totals(hr, groups)).first()["likely"] == 2000 * 1999 // 2
-    assert K.review_partners(hr, groups).filter("likely_rows = 1999 and partner_id <> id").count() == 2000
+        [(f"E{i:05d}", "Ann Smith", "D1", "CC-001", date(2020, 1, 1)) for i in range(3000)], HR)
+    groups = K.person_clusters(hr).cache()
+    assert K.review_metrics(K.review_totals(hr, groups)).first()["likely"] == 3000 * 2999 // 2
+    review = review_of(hr, groups)
+    assert review.filter("likely_rows = 2999 and partner_id <> employee_id and named_partner_id <> employee_id").count() == 3000
+    notes = K.member_notes(spark.createDataFrame(
+        [(f"V{i:04d}", f"N{i}", 1, "V0000") for i in range(1500)] + [("W1", "a", 1, "W1"), ("W2", "a", 1, "W1"), ("X", "b", 1, "X")],
+        "vendor_id string, vendor_name string, orders long, cluster string"))
+    assert {r["member_ids"] for r in notes.collect()} == {"V0000 to V1499 (1500 vendors)", "W1 to W2 (2 vendors)"}

@@ -143,12 +143,11 @@ def test_issue_types_are_closed(spark):
 def test_likely_pair_wins_over_later_review_pairs(spark):
     _, log, rows = log_of(spark, [finding(1, "E1", "duplication", "legacy_hr", "name", "HR", "exact_name_match"),
                                   finding(2, "E4", "duplication", "legacy_hr", "name", "HR", "exact_name_match")])
-    review = spark.createDataFrame([
-        ("E1", "E2", 1.0, 3, "likely_duplicate"), ("E1", "E3", 0.95, 400, "needs_human_review"),
-        ("E2", "E3", 0.95, 400, "needs_human_review"), ("E4", "E5", 0.925, 99, "needs_human_review")],
-        "employee_id_a string, employee_id_b string, similarity_score double, hire_date_delta_days int, recommendation string")
+    review = spark.createDataFrame(
+        [("E1", 3, "E2", 1.0), ("E2", None, "E1", 1.0), ("E4", None, "E5", 0.925)],
+        "employee_id string, settle_gap int, named_partner_id string, named_score double")
     done = {r["issue_id"]: (r["status"], r["resolution"]) for r in I.apply_resolutions(
-        log, I.resolve_person_pairs(rows, review)).collect()}
+        log, I.resolve_persons(rows, review)).collect()}
     assert done["ISSUE-001"][0] == "Resolved" and "3 days apart" in done["ISSUE-001"][1]
     assert done["ISSUE-002"][0] == "Open" and "near-duplicate of E5 (similarity 92%)" in done["ISSUE-002"][1]
 
