@@ -13,11 +13,17 @@ SLICE_BYTES = 8 << 20
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows in order, cut so that ``column`` holds about ``most`` bytes a slice; a longer row stands alone."""
+    """The rows in order, cut so that ``column`` (text, bytes or a list of ints) holds about ``most`` bytes a slice.
+
+    A longer row stands alone.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        values = batch.column(column)
+        lengths = (pa.compute.multiply(pa.compute.list_value_length(values), 4) if pa.types.is_list(values.type)
+                   else pa.compute.binary_length(values))
+        lengths = pa.compute.fill_null(lengths, 0).to_numpy(zero_copy_only=False).astype("int64")
         ends = lengths.cumsum()
         first = 0
         while first < batch.num_rows:

@@ -178,7 +178,7 @@ def encode(
         return work
 
     names = list(dict.fromkeys([*keep, text]))
-    return map_slices(docs.select(*names), text, start, schema, 16 << 20)
+    return map_slices(docs.select(*names), text, start, schema, 4 << 20)
 
 
 def decode(
@@ -193,21 +193,22 @@ def decode(
     fields = arrow_schema(schema)
     table = rows.sparkSession.sparkContext.broadcast(ranks)
 
-    def run(batches):
+    def start():
         tokens = np.empty(max(table.value.values(), default=-1) + 1, dtype=object)
         for token, rank in table.value.items():
             tokens[rank] = token
-        for batch in batches:
+
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             column = batch.column(ids)
-            out = []
-            for n in range(batch.num_rows):
-                if not column[n].is_valid:
-                    out.append(None)
-                    continue
-                own = column[n].values.to_numpy(zero_copy_only=False)
-                if own.size and (own.min() < 0 or own.max() >= len(tokens)):
-                    raise ValueError(f"id outside the vocabulary: {own.min()} to {own.max()}")
-                out.append(b"".join(tokens[own].tolist()))
-            yield extended(batch, columns, {decoded: pa.array(out, pa.binary())}, fields)
-
-    return rows.mapInArrow(run, schema)
+            own, sizes = column.flatten().to_numpy(zero_copy_only=False), pa.compute.list_value_length(column)
+            if own.size and (own.min() < 0 or own.max() >= len(tokens)):
+                raise ValueError(f"id outside the vocabulary: {own.min()} to {own.max()}")
+            at, out = 0, []
+            for size in sizes.to_pylist():
+                out.append(None if size is None else b"".join(tokens[own[at:at + size]].tolist()))
+                at += size or 0
+            return extended(batch, columns, {decoded: pa.array(out, pa.binary())}, fields)
+
+        return work
+
+    return map_slices(rows, ids, start, schema, 4 << 20)
