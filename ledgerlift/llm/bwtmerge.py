@@ -4,9 +4,10 @@ The strings are split into shards. A shard's transform lists its suffixes in ord
 with the bytes before it. The merge does not sort suffixes of different shards: it starts
 from any interleaving of the shards and refines it. If the interleaving is right for the
 first k bytes, putting its rows in the order of the bytes before them, without changing
-the order of equal ones, makes it right for k bytes more. Eight bytes are taken at a
-time. Where neighbours differ, in the bytes just added or before, a block of equal
-prefixes ends; blocks of one row can hold no repetition and leave the refinement.
+the order of equal ones, makes it right for k bytes more. Several words of eight bytes
+are taken at a time, numbered by doubling. Where neighbours differ, in the bytes just added
+or before, a block of equal prefixes ends; blocks of one row can hold no repetition and
+leave the refinement.
 """
 
 from __future__ import annotations
@@ -25,8 +26,44 @@ def _words(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def _order(values: np.ndarray) -> np.ndarray:
+    """The stable order of numbers; with their places in the low bits, where both fit into 63 bits, a plain sort gives it."""
+    bits = len(values).bit_length()
+    if not len(values) or int(values.max()).bit_length() + bits > 63:
+        return np.argsort(values, kind="stable")
+    return np.sort(values.astype(np.int64) << bits | np.arange(len(values))) & ((1 << bits) - 1)
+
+
 def _dense(values: np.ndarray) -> np.ndarray:
-    return np.unique(values, return_inverse=True)[1].astype(np.int64)
+    """The number of each value among the different ones, ascending."""
+    order = _order(values)
+    ordered = values[order]
+    out = np.empty(len(values), np.int64)
+    out[order] = np.cumsum(np.concatenate([np.zeros(min(1, len(values)), np.int64), ordered[1:] != ordered[:-1]]))
+    return out
+
+
+def stride_of(length: int) -> int:
+    """Bytes of a refinement step: whole words that divide the window into four steps or more, if any do."""
+    return _WORD * max(n for n in range(1, max(1, length // _WORD // 4) + 1) if length // _WORD % n == 0)
+
+
+def numbered_before(words: np.ndarray, before: np.ndarray, stride: int) -> np.ndarray:
+    """For places with ``stride`` bytes before them in their string, those bytes' number in their order; else 0."""
+    have, out = _WORD, np.zeros(len(words), np.int64)
+    full = np.flatnonzero(before >= have)
+    out[full] = _dense(words[full - have])
+    last = out
+    while have < stride:
+        step = min(have, stride - have)
+        full = np.flatnonzero(before >= have + step)
+        # the bytes before are those further away, then the nearer ones
+        far, near = (out, last if step == have else numbered_before(words, before, step))
+        grown = np.zeros(len(words), np.int64)
+        grown[full] = _dense(far[full - step] * (len(words) + 1) + near[full])
+        out = last = grown
+        have += step
+    return out
 
 
 def suffix_order(words: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
@@ -44,7 +81,7 @@ def suffix_order(words: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
         ahead[left <= step] = 0
         rank = _dense(rank * (len(words) + 2) + ahead)
         have += step
-    return np.argsort(rank, kind="stable")
+    return _order(rank)
 
 
 def repeated_windows(strings: list[bytes], weights: np.ndarray, length: int, shards: int = 4) -> list[np.ndarray]:
@@ -74,13 +111,13 @@ def repeated_windows(strings: list[bytes], weights: np.ndarray, length: int, sha
     places, shard_of = np.concatenate(places), np.concatenate(shard_of)
     row_of = np.empty(len(data), np.int64)
     row_of[places] = np.arange(len(data))
-    symbol = np.zeros(len(data), np.int64)
-    full = before >= _WORD
-    symbol[full] = _dense(words[np.flatnonzero(full) - _WORD])  # bytes before each place, numbered in order
+    stride = stride_of(length)
+    full = before >= stride
+    symbol = numbered_before(words, before, stride)
     alive = np.arange(len(data))  # rows of the transforms, shard by shard
     interleaving = shard_of.copy()
     block = np.zeros(len(data), np.int64)
-    for depth in range(0, length, _WORD):
+    for depth in range(0, length, stride):
         merged = np.empty(len(alive), np.int64)
         merged[np.argsort(interleaving, kind="stable")] = alive
         place = places[merged]
@@ -89,14 +126,14 @@ def repeated_windows(strings: list[bytes], weights: np.ndarray, length: int, sha
         if not len(place):
             alive = alive[:0]
             break
-        turn = np.sort(symbol[place] << 32 | np.arange(len(place))) & ((1 << 32) - 1)
+        turn = _order(symbol[place])
         place, block, added = place[turn], block[turn], symbol[place[turn]]
         new = np.concatenate([[True], (block[1:] != block[:-1]) | (added[1:] != added[:-1])])
         start = np.flatnonzero(new)
         count = np.diff(np.concatenate([start, [len(place)]]))
         block = np.repeat(np.arange(len(start)), count)
-        stays = np.repeat(count > 1, count) if depth + _WORD < length else np.ones(len(place), bool)
-        rows = row_of[place - _WORD]
+        stays = np.repeat(count > 1, count) if depth + stride < length else np.ones(len(place), bool)
+        rows = row_of[place - stride]
         rows, block = rows[stays], block[stays]
         interleaving = shard_of[rows]
         flags = np.zeros(len(data), bool)

@@ -150,7 +150,9 @@ def merged_verdicts(texts: DataFrame, length: int, most_bytes: int = 2 << 20) ->
         if data:
             yield told(len(data))
 
-    dealt = texts.repartition("__bucket").sortWithinPartitions(*BUCKET)
+    # much work for few bytes: as many tasks as the session asks for, not merged by size
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = texts.repartition(tasks, "__bucket").sortWithinPartitions(*BUCKET)
     return dealt.mapInArrow(run, _VERDICT)
 
 
@@ -177,15 +179,31 @@ def window_verdicts(texts: DataFrame, length: int) -> DataFrame:
         F.flatten(F.collect_list(F.array(F.col("at").cast("int"), F.lit(1)))).alias("runs"))
 
 
+HEAVY_REGIONS, HEAVY_BUCKETS, SALTS = 20_000, 256, 32
+
+
+def _marked(regions: DataFrame, shared: DataFrame) -> DataFrame:
+    """The regions of shared buckets with ``mixed``; an anchor that stands in very many texts is salted by the text.
+
+    The largest buckets, 256 at most, are named in the plan; all others join as they are.
+    """
+    largest = shared.filter(F.col("n") >= HEAVY_REGIONS).orderBy(F.desc("n"), "__bucket").limit(HEAVY_BUCKETS)
+    heavy = F.col("__bucket").isin([r["__bucket"] for r in largest.select("__bucket").collect()])
+    salt = F.when(heavy, F.pmod(DOC[0], F.lit(SALTS)).cast("int")).otherwise(0)
+    every = F.when(heavy, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return regions.withColumn("__salt", salt).join(
+        shared.select("__bucket", "mixed", F.explode(every).alias("__salt")), ["__bucket", "__salt"]).drop("__salt")
+
+
 def repeated_runs(
     docs: DataFrame, *, length: int = 200, text: str = "text", most_regions: int = 20_000,
 ) -> DataFrame:
     """(__k1, __k2, __runs): first window and number of each run of repeated windows of a keyed document."""
     regions = stage(region_rows(docs, length, text), "dedup-regions")
-    shared = regions.groupBy("__bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min("__hash").alias("lo"), F.max("__hash").alias("hi")).filter("n >= 2")
-    found = stage(
-        regions.join(shared.select("__bucket", (F.col("lo") != F.col("hi")).alias("mixed")), "__bucket"), "dedup-shared")
+    shared = stage(regions.groupBy("__bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.min("__hash").alias("lo"), F.max("__hash").alias("hi")).filter("n >= 2").select(
+        "__bucket", "n", (F.col("lo") != F.col("hi")).alias("mixed")), "dedup-buckets")
+    found = stage(_marked(regions, shared), "dedup-shared")
     variants = found.filter("mixed").groupBy(*BUCKET).agg(
         F.count(F.lit(1)).alias("weight"), F.min(F.struct(*DOC, "first", "windows")).alias("place")).select(
         *BUCKET, "weight", "place.*")
