@@ -13,6 +13,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ledgerlift.llm.batches import with_fields
 
 BINS = 2048
 NEAR = 0.0005  # a cut may miss its share by this part of the box
@@ -147,8 +150,10 @@ def kd_shards(
     counts as 0. Rows equal in a dimension go by a hash of ``group``, so equal groups stay
     together wherever that misses the median by no more than 0.5 % of a box; larger
     groups are split by a hash of ``key``. Rows that agree in all of that stay together.
-    The tree is part of the plan, so it is meant for up to a few thousand shards.
+    The tree is part of the plan, so it is meant for up to a few thousand shards. A column
+    ``name`` is an error.
     """
+    with_fields(rows, rows.columns, **{name: T.IntegerType()})
     clear = lambda c: F.shiftrightunsigned(F.xxhash64(c), 12).cast("double")  # noqa: E731  52 bits are exact
     helpers = {f"__d{n}": F.coalesce(F.col(d).cast("double"), F.lit(0.0)) for n, d in enumerate(dimensions)}
     table = rows.withColumns(
@@ -171,8 +176,10 @@ def with_slots(rows: DataFrame, *, shard: str, key: str, tie: str, name: str = "
 
     Rows are numbered inside (shard, block of keys), and each block starts after the rows
     of the blocks before it, so no window holds a whole shard. The table of block sizes is
-    bounded by shards times blocks, and blocks follow the shuffle parallelism.
+    bounded by shards times blocks, and blocks follow the shuffle parallelism. A column
+    ``name`` is an error.
     """
+    with_fields(rows, rows.columns, **{name: T.LongType()})
     blocks = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.withColumn("__block", F.pmod(F.xxhash64(key, tie), F.lit(blocks)))
     earlier = Window.partitionBy(shard).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)

@@ -192,8 +192,10 @@ def near_duplicates(prints: DataFrame, *, threshold: int = 2, key: str = "doc_id
     ``prints`` should be a written table, as it is read twice. Documents with equal
     fingerprints are one node; a fingerprint on a third of all rows is one row from the
     first aggregation on. Null keys form no component id of their own: they take the
-    smallest key that is not null, if any. An empty table gives an empty table.
+    smallest key that is not null, if any. An empty table gives an empty table. A column
+    component_id is an error.
     """
+    with_fields(prints, prints.columns, component_id=prints.schema[key].dataType)
     nodes = stage(prints.groupBy(fp).agg(F.min(key).alias("__least")), "simhash-nodes")
     links = links_at_anchors(at_anchors(nodes, threshold, fp), threshold)
     joined = connected_components(stage(links, "simhash-links"))

@@ -46,10 +46,12 @@ def terms_of(segment: str, buckets: int) -> list[int]:
     return out
 
 
-def passages(store: SegmentStore, texts: list[str], length: int = PASSAGE):
+def passages(store: SegmentStore, texts: list[str], length: int = PASSAGE, overlap: bool = False):
     """Terms of all texts, the first term of each passage, and the text number of each passage.
 
     A text of n stretches gives ceil(n / length) passages of nearly equal length; an empty one gives one.
+    With ``overlap`` there is one more from the middle of each passage to the middle of the
+    next, so words that stand within half a passage of each other always meet in one.
     """
     owner: list[int] = []
 
@@ -58,7 +60,11 @@ def passages(store: SegmentStore, texts: list[str], length: int = PASSAGE):
             found = t.lower().split()
             parts = max(1, -(-len(found) // length))
             edges = [len(found) * p // parts for p in range(parts + 1)]
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
+            cuts = list(zip(edges[:-1], edges[1:], strict=True))
+            if overlap:
+                middles = [(a + b) // 2 for a, b in cuts]
+                cuts += zip(middles[:-1], middles[1:], strict=True)
+            for a, b in cuts:
                 owner.append(number)
                 yield list(dict.fromkeys(found[a:b]))  # once each, so repetition alone weighs nothing
 
@@ -212,7 +218,7 @@ def score(
         store = SegmentStore(lambda new: (terms_of(s, buckets) for s in new))
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            terms, offsets, owner = passages(store, texts_of(batch, text))
+            terms, offsets, owner = passages(store, texts_of(batch, text), overlap=True)
             best = np.full(batch.num_rows, -np.inf)
             np.maximum.at(best, owner, logits(own, terms, offsets))
             found = 1 / (1 + np.exp(-np.clip(best, -30, 30))) if own.prior > 0 else np.zeros(batch.num_rows)
