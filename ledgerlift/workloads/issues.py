@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlift.operators import clusters as K
 from ledgerlift.operators import wording as W
 from ledgerlift.operators import inject as J
+from ledgerlift.plans.incremental import first_state, next_state
 from ledgerlift.workloads.base import *  # noqa: F403
 
 
@@ -55,6 +56,16 @@ def mark_resolved(spark, sf):
     return I.apply_resolutions(j.log, settled).select("issue_id", "status", "resolution")
 
 
+@query("I5_incremental_findings", with_ctes(ALL, FINDINGS, select=(
+    "SELECT domain, table_name, column_name, row_identifier, issue_type, description, confidence, detection_rule FROM raw_findings")))
+def incremental_findings(spark, sf):
+    """Findings after a tenth of all rows came in, from the state before."""
+    src = job(spark, sf).sources
+    before = {k: stage(df.filter(number_of(k) % 10 != 3), f"before-{k}") for k, df in src.items()}
+    after = next_state(first_state(before, AS_OF, EARLIEST), src, AS_OF, EARLIEST)
+    return after.findings.drop("check_order", "finding_key")
+
+
 @query("I6_annotated", with_ctes(ALL, *LOGGED, select=(
     "SELECT issue_id, status, CASE WHEN issue_type = 'accuracy' THEN 'checked with the source team: ' || row_identifier "
     "ELSE 'Pending' END AS resolution FROM issue_open")))
