@@ -32,7 +32,7 @@ _PIECES = T.StructType([
 
 @dataclass(frozen=True)
 class Loaded:
-    """Rows that fit the schema, and rejected records (file, line, record, reason-free)."""
+    """Rows that fit the schema, and rejected records as (file, line, record)."""
 
     rows: DataFrame
     rejected: DataFrame
