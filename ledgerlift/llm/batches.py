@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,6 +13,15 @@ from pyspark.sql import types as T
 SLICE_BYTES = 8 << 20
 
 
+def give_back() -> None:
+    """Return freed memory to the machine at the end of a task, as the process goes on to tasks of other stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library keeps what it has
+        pass
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows in order, cut so that ``column`` (text, bytes or a list of ints) holds about ``most`` bytes a slice.
 
@@ -78,6 +88,6 @@ def map_slices(
             if done is not None and done.num_rows:
                 yield done
         del work
-        pa.default_memory_pool().release_unused()  # the process goes on to tasks of other stages
+        give_back()
 
     return df.mapInArrow(run, schema)

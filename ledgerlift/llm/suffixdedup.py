@@ -72,7 +72,7 @@ def region_rows(docs: DataFrame, length: int, text: str) -> DataFrame:
 
         return work
 
-    return map_slices(docs.select(*DOC, text), text, start, schema, 4 << 20)
+    return map_slices(docs.select(*DOC, text), text, start, schema, 2 << 20)
 
 
 def _region_texts(docs: DataFrame, regions: DataFrame, length: int, text: str) -> DataFrame:
