@@ -9,8 +9,9 @@ distinct-name pairs behind the fuzzy rule are available from ``similar_names``.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +30,9 @@ LEAST_LENGTH = 4
 BLOCK_LETTERS = 3
 PART_NAMES = 1000  # names of one signature that a task compares with as many others
 PAIRS_PER_TASK = 4_000_000
+KEYS_PER_NAME = 40  # subsequences per name up to which they are the cheaper keys
+MOST_KEYS = 2000  # subsequences that one name may be written under
+OFTEN = 200  # names of a signature that are compared with each other
 
 
 def name_rows(df: DataFrame, row_id: str, name: str, drop: Sequence[str], trim: bool = True) -> DataFrame:
@@ -185,15 +189,14 @@ def check_threshold(threshold: float) -> None:
     """Refuse thresholds at which sharing two bigrams is no longer certain."""
     for length in range(2, 400):
         for partner in range(length, int(length * (2 - threshold) / threshold + 1e-9) + 1):
-            k = int((1 - threshold) * (length + partner) + 1e-9)
-            k -= (length + partner - k) % 2
+            k = _edits(length, partner, threshold)
             shared = (length + partner - k) // 2 - 1 - k
             if k >= partner - length and k > 0 and shared < GRAMS_PER_KEY:
                 raise ValueError(f"threshold {threshold} is too low to find every pair through shared bigrams")
 
 
 def candidate_keys(names: DataFrame, threshold: float) -> DataFrame:
-    """(raw, prefix, sig): signatures such that any two names over the threshold share one.
+    """(raw, block, prefix, sig): signatures such that any two names over the threshold share one.
 
     Prefix filtering over numbered bigrams in one global order, rare ones first: names
     that share at least m bigrams share two within their first (count - m + 2). The order
@@ -231,40 +234,126 @@ def candidate_keys(names: DataFrame, threshold: float) -> DataFrame:
         lambda x, i: F.transform(
             F.slice(F.col("prefix"), i + 2, F.size("prefix")), lambda y: F.array(x, y)),
     ))
-    return ranked.select("raw", prefix.alias("prefix")).select("raw", "prefix", F.explode(pairs).alias("sig"))
+    return ranked.select("raw", "block", prefix.alias("prefix")).select("raw", "block", "prefix", F.explode(pairs).alias("sig"))
 
 
-def near_names(names: DataFrame, threshold: float, part_names: int = PART_NAMES) -> DataFrame:
-    """(raw_1, raw_2): distinct names of one block within the edit distance of the threshold.
+def _edits(a: int, b: int, threshold: float) -> int:
+    """``edit_budget`` of two lengths."""
+    k = int((1.0 - threshold) * (a + b) + 1e-9)
+    return k - (a + b - k) % 2
+
 
-    A pair is taken at the first signature its names share and nowhere else, so no
-    candidate is tested twice or has to be made distinct. The names of a signature are cut
-    into parts of about ``part_names``, and every pair of parts i <= j is a cell that one
-    task compares: a signature on very many names becomes a triangle of cells, each of
-    bounded size, and a name is sent once to each part of its signatures and once more.
+def length_pairs(lengths: Collection[int], threshold: float) -> list[tuple[int, int, int]]:
+    """(a, b, common) for every two of the lengths, a <= b, that different names at the threshold can have.
+
+    Two such names have a common subsequence of ``common`` characters.
+    """
+    ordered, out = sorted(n for n in lengths if n >= LEAST_LENGTH), []
+    for i, a in enumerate(ordered):
+        for b in ordered[i:]:
+            if b > a * (2 - threshold) / threshold + 1e-9:
+                break
+            k = _edits(a, b, threshold)
+            if k > 0 and k >= b - a:
+                out.append((a, b, (a + b - k) // 2))
+    return out
+
+
+def subsequences(text: Column, cuts: Column) -> Column:
+    """The distinct texts that are left when ``cuts`` characters are taken out of ``text``."""
+    def one_less(s: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length(s)),
+                           lambda i: F.concat(s.substr(F.lit(1), i - 1), s.substr(i + 1, F.length(s))))
+
+    cut = F.aggregate(F.sequence(F.lit(1), cuts), F.array(text),
+                      lambda made, _: F.array_distinct(F.flatten(F.transform(made, one_less))))
+    return F.when(cuts == 0, F.array(text)).otherwise(cut)
+
+
+def _compared(placed: DataFrame, threshold: float, metric: str, part_names: int) -> DataFrame:
+    """(raw_1, raw_2) of names that share a key of the written table ``placed(key, raw, ...)`` and are near enough.
+
+    The names of a key are cut into parts of about ``part_names``, and every pair of parts
+    i <= j is a cell that one task compares: a key on very many names becomes a triangle of
+    cells, each of bounded size, and a name is sent once to each part of its keys and once
+    more. With ``sig`` and ``prefix`` a pair is taken at the first signature its names share only.
     """
-    sig = stage(candidate_keys(names, threshold), "name-signatures")
-    sizes = sig.groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
-    work = sizes.agg(F.sum(F.col("n").cast("double") * F.col("n") / 2)).first()[0] or 0.0
+    sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    seen = sizes.agg(F.sum(F.col("n").cast("double") * F.col("n") / 2).alias("work"), F.max("n").alias("most")).first()
     # few bytes but much work per row: tasks follow the pairs to compare, not the bytes
-    tasks = max(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(work / PAIRS_PER_TASK))
-    large = sizes.filter(F.col("n") > part_names).select("sig", F.ceil(F.col("n") / part_names).cast("int").alias("parts"))
-    dealt = sig.join(large, "sig", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn(
-        "part", F.pmod(F.xxhash64("raw"), F.col("parts")).cast("int"))
-    a = dealt.withColumns({"i": F.col("part"), "j": F.explode(F.sequence("part", F.col("parts") - 1))})
-    b = dealt.withColumns({"i": F.explode(F.sequence(F.lit(0), "part")), "j": F.col("part")})
-    a, b = (side.drop("part", "parts").repartition(tasks, "sig", "i", "j").alias(name) for side, name in ((a, "a"), (b, "b")))
-    budget = edit_budget(F.length("a.raw"), F.length("b.raw"), threshold)
-    first_shared = F.slice(F.array_intersect("a.prefix", "b.prefix"), 1, GRAMS_PER_KEY)
-    # the prefixes of both names are in one global order, so either side may come first
-    return a.join(
-        b,
-        (F.col("a.sig") == F.col("b.sig")) & (F.col("a.i") == F.col("b.i")) & (F.col("a.j") == F.col("b.j"))
-        & ((F.col("a.i") < F.col("a.j")) | (F.col("a.raw") < F.col("b.raw")))
-        & (F.abs(F.length("a.raw") - F.length("b.raw")) <= budget)
-        & (F.col("a.sig") == first_shared)
-        & F.call_function("levenshtein", F.col("a.raw"), F.col("b.raw"), budget).between(0, budget),
-    ).select(F.least("a.raw", "b.raw").alias("raw_1"), F.greatest("a.raw", "b.raw").alias("raw_2"))
+    tasks = max(int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil((seen["work"] or 0.0) / PAIRS_PER_TASK))
+    if (seen["most"] or 0) > part_names:
+        large = sizes.filter(F.col("n") > part_names).select("key", F.ceil(F.col("n") / part_names).cast("int").alias("parts"))
+        placed = placed.join(large, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+        dealt = placed.withColumn("part", F.pmod(F.xxhash64("raw"), F.col("parts")).cast("int"))
+        a = dealt.withColumns({"i": F.col("part"), "j": F.explode(F.sequence("part", F.col("parts") - 1))}).drop("part", "parts")
+        b = dealt.withColumns({"i": F.explode(F.sequence(F.lit(0), "part")), "j": F.col("part")}).drop("part", "parts")
+        cell = ["key", "i", "j"]
+    else:
+        a, b, cell = placed, placed, ["key"]
+    a, b = (side.repartition(tasks, *cell).alias(name) for side, name in ((a, "a"), (b, "b")))
+    length_a, length_b = F.length("a.raw"), F.length("b.raw")
+    budget = edit_budget(length_a, length_b, threshold)
+    # replacing a character counts once by edit distance and twice by inserts and deletes
+    most = F.floor((1.0 - threshold) * (length_a + length_b) / 2 + 1e-9).cast("int") if metric == "levenshtein" else budget
+    met = reduce(lambda x, y: x & y, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in cell])
+    met = met & ((F.col("a.i") < F.col("a.j")) | (F.col("a.raw") < F.col("b.raw")) if len(cell) > 1 else F.col("a.raw") < F.col("b.raw"))
+    met = met & (F.abs(length_a - length_b) <= budget)
+    if "prefix" in placed.columns:
+        # the prefixes of both names are in one global order, so either side may come first
+        met = met & (F.col("a.sig") == F.slice(F.array_intersect("a.prefix", "b.prefix"), 1, GRAMS_PER_KEY))
+    return a.join(b, met & F.call_function("levenshtein", F.col("a.raw"), F.col("b.raw"), most).between(0, most)).select(
+        F.least("a.raw", "b.raw").alias("raw_1"), F.greatest("a.raw", "b.raw").alias("raw_2"))
+
+
+def near_names(names: DataFrame, threshold: float, part_names: int = PART_NAMES, metric: str = "ratio",
+               keys_per_name: int = KEYS_PER_NAME, often: int = OFTEN) -> DataFrame:
+    """(raw_1, raw_2): distinct names of one block within the edit distance of the threshold.
+
+    Which names can be near follows from their lengths (``length_pairs``), and such names
+    share a subsequence, a key that hardly any other names share. Lengths with few of these
+    keys per name (``keys_per_name``) meet by them. The names of other lengths meet at a
+    signature of rare bigrams (``candidate_keys``); where one is on more than ``often`` names
+    that number would grow with the table, so these names meet by the subsequences too.
+    Only names with more than ``MOST_KEYS`` of them, long ones, are compared all the same.
+    """
+    spark = names.sparkSession
+    names = names.withColumn("size", F.length("raw"))
+    # one row per length
+    counts = {r["size"]: r["n"] for r in names.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
+    few, some, many = [], [], []
+    for a, b, common in length_pairs(counts, threshold):
+        keys = {n: math.comb(n, common) for n in (a, b)}
+        if max(keys.values()) > MOST_KEYS:
+            many.append((a, b, common))
+        else:
+            cost = sum(counts[n] * k for n, k in keys.items())
+            (few if cost <= keys_per_name * sum(counts[n] for n in keys) else some).append((a, b, common))
+
+    def by_size(pairs: list[tuple[int, int, int]], columns: str) -> DataFrame:
+        rows = sorted({(n, *p) for p in pairs for n in p[:2]})
+        return F.broadcast(spark.createDataFrame(rows, "size int, a int, b int, common int").select("size", *columns.split()).distinct())
+
+    wanted, found = names.join(by_size(few, "common"), "size").select("raw", "block", "common"), []
+    if some or many:
+        sig = stage(candidate_keys(names.join(by_size(some + many, ""), "size", "left_semi"), threshold), "name-signatures")
+        hot = sig.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > often).select("sig")
+        hot_sig = stage(sig.join(hot, "sig", "left_semi").withColumn("size", F.length("raw")), "hot-signatures")
+        wanted = wanted.unionByName(
+            hot_sig.select("raw", "block", "size").distinct().join(by_size(some, "common"), "size").select("raw", "block", "common"))
+        rare = sig.join(hot, "sig", "left_anti").select(F.xxhash64("sig").alias("key"), "raw", "sig", "prefix")
+        found.append(_compared(stage(rare, "rare-signatures"), threshold, metric, part_names))
+        if many:
+            cells = hot_sig.join(by_size(many, "a b"), "size").select(F.xxhash64("sig", "a", "b").alias("key"), "raw", "sig", "prefix")
+            found.append(_compared(stage(cells, "long-names"), threshold, metric, part_names))
+    if few or some:
+        made = wanted.distinct().select("raw", F.explode(F.transform(
+            subsequences(F.col("raw"), F.length("raw") - F.col("common")), lambda s: F.xxhash64(F.col("block"), s))).alias("key"))
+        found.append(_compared(stage(made, "name-keys"), threshold, metric, part_names))
+    if not found:
+        return names.select(F.col("raw").alias("raw_1"), F.col("raw").alias("raw_2")).limit(0)
+    # dealt by the column that is joined next
+    return reduce(DataFrame.unionByName, found).repartition("raw_1").distinct()
 
 
 def similar_names(keys: DataFrame, threshold: float = NAME_THRESHOLD, metric: str = "ratio",
@@ -279,7 +368,7 @@ def similar_names(keys: DataFrame, threshold: float = NAME_THRESHOLD, metric: st
     check_threshold(threshold)
     block = F.substring("first", 1, BLOCK_LETTERS) if blocked else F.lit("")
     names = keys.withColumn("block", block).select("raw", "block")
-    near = near_names(names, threshold)
+    near = near_names(names, threshold, metric=metric)
     sides = keys.select("raw", "norm", "first", "last", "words", "head", "free", "last_id")
     pair = (
         near.join(sides.select(F.col("raw").alias("raw_1"), F.struct(*sides.columns).alias("x")), "raw_1")

@@ -157,6 +157,40 @@ def test_a_hot_signature_is_compared_in_a_triangle_of_parts(spark):
         assert len(pairs) == len(set(pairs)) and want <= set(pairs)
 
 
+def test_numbered_names_are_not_compared_with_all_others(spark, monkeypatch):
+    """Names that differ in a few digits of one pattern share all common signatures; candidates stay near the result."""
+    names = [f"Customer#{i:09d}" for i in range(0, 40_000, 10)]
+    keys = D.name_keys(D.person_rows(people(spark, [(f"E{i:05d}", n) for i, n in enumerate(names)])))
+    tried, compared = [], D._compared
+
+    def counting(placed, *rest):
+        tried.append(placed.groupBy("key").count().agg(F.sum(F.expr("count * (count - 1) / 2"))).first()[0] or 0)
+        return compared(placed, *rest)
+
+    monkeypatch.setattr(D, "_compared", counting)
+    got = {(r.a, r.b) for r in D.similar_names(keys, 0.92, "levenshtein").select(
+        F.col("early.raw").alias("a"), F.col("late.raw").alias("b")).collect()}
+    digits = [f"{i:09d}" for i in range(0, 40_000, 10)]
+    changed = {d: [d[:at] + x + d[at + 1:] for at in range(9) for x in "0123456789" if x > d[at]] for d in digits}
+    known = set(digits)
+    assert got == {(f"customer#{d}", f"customer#{c}") for d in digits for c in changed[d] if c in known}
+    assert sum(tried) < 60 * len(names)
+
+
+def test_subsequences_and_signatures_find_the_same_pairs(spark):
+    """Whichever way names of two lengths meet, no pair of all pairs is lost."""
+    rng = random.Random(4)
+    bases = ["christopher wood", "montgomery burns", "li wu", "elizabeth stone of the northern highlands by the sea"]
+    names = sorted({typo(rng, typo(rng, rng.choice(bases))).strip() for _ in range(200)})
+    keys = D.name_keys(D.person_rows(people(spark, [(f"E{i:04d}", n) for i, n in enumerate(names)]))).withColumn("block", F.lit(""))
+    want = {(a, b) for i, a in enumerate(names) for b in names[i + 1:] if SequenceMatcher(None, a, b).ratio() >= 0.9}
+    assert any(len(a) > 45 for a, _ in want) and any(len(a) < 20 for a, _ in want)
+    for keys_per_name, often in ((0, 1000), (0, 2), (40, 2), (5000, 200)):
+        got = D.near_names(keys.select("raw", "block"), 0.9, 3, keys_per_name=keys_per_name, often=often)
+        pairs = [(r["raw_1"], r["raw_2"]) for r in got.collect()]
+        assert len(pairs) == len(set(pairs)) and want <= set(pairs)
+
+
 def test_short_names_are_candidates(spark):
     names = sorted({"anna", "annas", "annxa", "xanna", "aaaa", "aaaaa", "abab", "ababa", "ann", "anns", "an", "ana", "bo", "bob"})
     keys = D.name_keys(D.person_rows(people(spark, [(f"E{i:04d}", n) for i, n in enumerate(names)])))
