@@ -9,10 +9,14 @@ Rows with one set of shingles are one node. Candidates come from two sources:
 Buckets of a band with up to ``listed`` nodes give all their pairs. Larger ones give a star
 around their least node, and their nodes meet again in the buckets of each two bands at most
 eight apart (eight minimum hashes), which are listed or linked as stars in the same way.
-So rows and candidates grow with the nodes, whatever the size of a group. Of a pair all of
-whose common buckets are large on both levels only the stars decide.
+So rows and candidates grow with the nodes, whatever the size of a group.
 
 Every candidate is tested by the exact resemblance of the two shingle sets.
+
+A pair all of whose common buckets are large on both levels may not be linked to either star.
+So nodes of large buckets meet once more, in an exact way: two sets at the threshold share one
+of the rarest shingles of each (``rare_candidates``). Nodes that are connected already need no
+further link, so a group of near copies costs nothing here, whatever its size.
 """
 
 from __future__ import annotations
@@ -33,6 +37,7 @@ LEAST_THRESHOLD = 0.8
 BANDS, BAND_ROWS = 32, 4
 APART = 8
 LISTED = 16
+PART_NODES = 1000
 
 _BLOCK = 1 << 11
 _DRAWN = np.random.default_rng(20).integers(0, 1 << 63, (3, BANDS * BAND_ROWS), np.uint64)
@@ -80,7 +85,10 @@ def shingle_prints(docs: DataFrame, *, words: int, text: str, keep: list[str]) -
 
 
 def _bucket_links(placed: DataFrame, listed: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """Candidates (a, b) of the buckets of ``placed(key, node, ...)``, and the rows in buckets of over ``listed`` nodes."""
+    """Candidates (a, b) of the buckets of ``placed(key, node, ...)``, and the rows in buckets of over ``listed`` nodes.
+
+    Large buckets give stars only; ``rare_candidates`` finds the rest of their pairs.
+    """
     sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least")).filter("n >= 2")
     rows = stage(join_to_groups(placed, stage(sizes, f"{name}-sizes"), "key", "n", "node"), name)
     few = rows.filter(F.col("n") <= listed).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("all"))
@@ -90,14 +98,46 @@ def _bucket_links(placed: DataFrame, listed: int, name: str) -> tuple[DataFrame,
     return few.select(F.inline(pairs)).unionByName(many.select(F.col("node").alias("a"), F.col("least").alias("b"))), many
 
 
-def band_candidates(nodes: DataFrame, listed: int = LISTED) -> DataFrame:
-    """(a, b): nodes that meet in a bucket of one band, or of two where that is large."""
+def band_candidates(nodes: DataFrame, listed: int = LISTED) -> tuple[DataFrame, DataFrame]:
+    """(a, b): nodes that meet in a bucket of one band, or of two where that is large; and the nodes of large buckets."""
     placed = nodes.select("node", F.posexplode("bands").alias("band", "key")).select("key", "node", "band")
     links, many = _bucket_links(placed, listed, "near-buckets")
     again = many.groupBy("node").agg(F.collect_list("band").alias("large")).join(nodes.select("node", "bands"), "node")
     both = F.flatten(F.transform("large", lambda i: F.transform(F.sequence(F.lit(1), F.lit(APART)), lambda d: F.xxhash64(
         F.get("bands", i), F.get("bands", (i + d) % BANDS)))))
-    return links.unionByName(_bucket_links(again.select(F.explode(both).alias("key"), "node"), listed, "near-second")[0])
+    second, _ = _bucket_links(again.select(F.explode(both).alias("key"), "node"), listed, "near-second")
+    return links.unionByName(second), many.select("node").distinct()
+
+
+def rare_candidates(sets: DataFrame, threshold: float, part_nodes: int = PART_NODES) -> DataFrame:
+    """(a, b): nodes of different components that share one of the rarest shingles of both.
+
+    ``sets`` is a written table (node, component, hashes). In any one order of all shingles, two
+    sets at the threshold share one among the first ``size - ceil(threshold * size) + 1`` of each;
+    rare ones come first here. The nodes of a shingle are cut into parts and every two parts
+    are a cell, so no task holds a shingle's nodes.
+    """
+    each = sets.select("node", F.explode("hashes").alias("key"))
+    often = each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    ordered = each.join(often, "key", "left").groupBy("node").agg(
+        # bounded by one text
+        F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "key"))).alias("all"))
+    size = F.size("all")
+    first = F.slice("all", 1, size - F.ceil(size * threshold - 1e-9).cast("int") + 1)
+    placed = ordered.select("node", size.alias("size"), F.explode(first).alias("s")).filter("s.n > 1").select(
+        "node", "size", F.col("s.key").alias("key")).join(sets.select("node", "component"), "node")
+    placed = stage(placed, "near-rare")
+    mixed = placed.groupBy("key").agg(
+        F.ceil(F.count(F.lit(1)) / part_nodes).cast("int").alias("parts"), F.min("component").alias("x"), F.max("component").alias("y")
+    ).filter("x <> y").select("key", "parts")
+    dealt = placed.join(mixed, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    x = dealt.withColumns({"i": F.col("part"), "j": F.explode(F.sequence("part", F.col("parts") - 1))}).alias("x")
+    y = dealt.withColumns({"i": F.explode(F.sequence(F.lit(0), "part")), "j": F.col("part")}).alias("y")
+    met = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("key", "i", "j")]
+    least, most = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
+    return x.join(y, [*met, F.col("x.component") != F.col("y.component"), least >= most * threshold - 1e-9,
+                      (F.col("x.i") < F.col("x.j")) | (F.col("x.node") < F.col("y.node"))]).select(
+        F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
 
 
 def anchor_candidates(nodes: DataFrame, threshold: int = 2) -> DataFrame:
@@ -139,6 +179,20 @@ def alike(pairs: DataFrame, texts: DataFrame, threshold: float, words: int) -> D
     return map_slices(both.select("a", "b", "text_a", "text_b"), "text_a", start, schema, 4 << 20)
 
 
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """(node, hashes): the distinct shingles of each of ``texts(node, text)``."""
+    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
+
+    def start():
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in texts_of(batch, "text")]
+            return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.list_(pa.int64()))], names=["node", "hashes"])
+
+        return work
+
+    return map_slices(texts.select("node", "text"), "text", start, schema)
+
+
 def survivors(
     docs: DataFrame, *, mark: str, order: list[str], threshold: float = LEAST_THRESHOLD, words: int = 5, text: str = "text",
     listed: int = LISTED,
@@ -154,12 +208,21 @@ def survivors(
     prints = stage(shingle_prints(docs, words=words, text=text, keep=[*order, mark]), "near-rows")
     nodes = stage(prints.groupBy("node").agg(
         F.min(F.struct(*order, mark)).alias("least"), F.min("fp").alias("fp"), F.first("bands").alias("bands")), "near-nodes")
-    found = band_candidates(nodes, listed).unionByName(anchor_candidates(nodes))
-    pairs = stage(found.filter("a <> b").select(
+    banded, crowded = band_candidates(nodes, listed)
+    pairs = stage(banded.unionByName(anchor_candidates(nodes)).filter("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "near-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(
+    crowded = stage(crowded, "near-crowded")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowded).distinct().join(
         nodes.select("node", F.col(f"least.{mark}").alias(mark)), "node")
     texts = stage(docs.select(mark, F.col(text).alias("text")).join(wanted, mark).select("node", "text"), "near-texts")
-    joined = connected_components(stage(alike(pairs, texts, threshold, words), "near-links"))
+    links = stage(alike(pairs, texts, threshold, words), "near-links")
+    joined = connected_components(links)
+    if not crowded.isEmpty():
+        sets = shingle_sets(texts.join(crowded, "node", "left_semi"), words).join(joined, "node", "left")
+        sets = stage(sets.select("node", "hashes", F.coalesce("component", "node").alias("component")), "near-sets")
+        rest = stage(rare_candidates(sets, threshold).join(pairs, ["a", "b"], "left_anti"), "near-rest")
+        more = stage(alike(rest, texts, threshold, words), "near-more")
+        if not more.isEmpty():
+            joined = connected_components(links.unionByName(more))
     groups = nodes.select("node", "least").join(joined, "node", "left").groupBy(F.coalesce("component", "node").alias("g"))
     return groups.agg(F.min("least").alias("least")).select(f"least.{mark}")

@@ -4,6 +4,7 @@ import random
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlift.llm import nearcopies
 
@@ -80,6 +81,38 @@ def test_large_buckets(spark, texts):
     assert sorted(r["doc_id"] for r in kept.collect()) == expected(texts)[0]
 
 
+def test_pairs_of_large_buckets_that_no_star_links(spark, monkeypatch):
+    """Every near copy shares its buckets with many texts that are like neither of the two."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklm", k=6)) for _ in range(4000)]
+    texts = [" ".join(rng.choices(words, k=80)) for _ in range(60)]
+    texts += [t.rsplit(" ", 3)[0] + " other words here" for t in texts]
+    stays, pairs = expected(texts)
+    assert pairs == 60 and stays == [*range(60)]
+    made = nearcopies.shingle_prints
+
+    def crowded(docs, **options):
+        bands = F.array([F.lit(i).cast("long") for i in range(nearcopies.BANDS)])
+        return made(docs, **options).withColumns({"fp": F.xxhash64("node"), "bands": bands})
+
+    monkeypatch.setattr(nearcopies, "shingle_prints", crowded)
+    docs = corpus_pipeline.stage(table(spark, texts), "no-star")
+    assert sorted(r["doc_id"] for r in nearcopies.survivors(docs, mark="doc_id", order=[]).collect()) == stays
+
+
+@pytest.mark.parametrize("parts", [2, 1000])
+def test_rare_shingles_lose_no_pair(spark, texts, parts):
+    """Candidates of different components contain every pair at the threshold, whatever the parts."""
+    sets = [sorted({hash(s) % (1 << 40) for s in shingles(t)}) for t in texts[:160]]
+    rows = [(i, i // 2, s) for i, s in enumerate(sets)]
+    made = corpus_pipeline.stage(spark.createDataFrame(rows, "node long, component long, hashes array<long>"), "rare-sets")
+    got = {(r["a"], r["b"]) for r in nearcopies.rare_candidates(made, 0.8, parts).collect()}
+    whole = [set(s) for s in sets]
+    want = {(i, j) for i, x in enumerate(whole) for j in range(i)
+            if i // 2 != j // 2 and len(x & whole[j]) >= 0.8 * len(x | whole[j])}
+    assert want and want <= got and all(a // 2 != b // 2 for a, b in got)
+
+
 def test_lower_thresholds_are_refused(spark):
     with pytest.raises(ValueError):
         nearcopies.survivors(table(spark, []), mark="doc_id", order=[], threshold=0.7)
