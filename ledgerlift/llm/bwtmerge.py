@@ -22,24 +22,35 @@ def _words(data: np.ndarray) -> np.ndarray:
     padded = np.concatenate([data, np.zeros(_WORD, np.uint8)])
     out = np.zeros(len(data), np.uint64)
     for n in range(_WORD):
-        out = out << np.uint64(8) | padded[n:n + len(data)].astype(np.uint64)
+        out <<= np.uint64(8)
+        out |= padded[n:n + len(data)]
     return out
 
 
+def _kind(n: int) -> type:
+    """The type of places among ``n``: most of the memory here is places, and few need 64 bits."""
+    return np.int32 if n < 1 << 31 else np.int64
+
+
 def _order(values: np.ndarray) -> np.ndarray:
     """The stable order of numbers; with their places in the low bits, where both fit into 63 bits, a plain sort gives it."""
     bits = len(values).bit_length()
     if not len(values) or int(values.max()).bit_length() + bits > 63:
-        return np.argsort(values, kind="stable")
-    return np.sort(values.astype(np.int64) << bits | np.arange(len(values))) & ((1 << bits) - 1)
+        return np.argsort(values, kind="stable").astype(_kind(len(values)))
+    packed = values.astype(np.int64)
+    packed <<= bits
+    packed |= np.arange(len(values), dtype=_kind(len(values)))
+    packed.sort()
+    packed &= (1 << bits) - 1
+    return packed.astype(_kind(len(values)))
 
 
 def _dense(values: np.ndarray) -> np.ndarray:
     """The number of each value among the different ones, ascending."""
     order = _order(values)
     ordered = values[order]
-    out = np.empty(len(values), np.int64)
-    out[order] = np.cumsum(np.concatenate([np.zeros(min(1, len(values)), np.int64), ordered[1:] != ordered[:-1]]))
+    out = np.empty(len(values), _kind(len(values)))
+    out[order] = np.cumsum(np.concatenate([np.zeros(min(1, len(values)), bool), ordered[1:] != ordered[:-1]]), dtype=out.dtype)
     return out
 
 
@@ -50,7 +61,7 @@ def stride_of(length: int) -> int:
 
 def numbered_before(words: np.ndarray, before: np.ndarray, stride: int) -> np.ndarray:
     """For places with ``stride`` bytes before them in their string, those bytes' number in their order; else 0."""
-    have, out = _WORD, np.zeros(len(words), np.int64)
+    have, out = _WORD, np.zeros(len(words), _kind(len(words)))
     full = np.flatnonzero(before >= have)
     out[full] = _dense(words[full - have])
     last = out
@@ -59,8 +70,8 @@ def numbered_before(words: np.ndarray, before: np.ndarray, stride: int) -> np.nd
         full = np.flatnonzero(before >= have + step)
         # the bytes before are those further away, then the nearer ones
         far, near = (out, last if step == have else numbered_before(words, before, step))
-        grown = np.zeros(len(words), np.int64)
-        grown[full] = _dense(far[full - step] * (len(words) + 1) + near[full])
+        grown = np.zeros(len(words), out.dtype)
+        grown[full] = _dense(far[full - step].astype(np.int64) * (len(words) + 1) + near[full])
         out = last = grown
         have += step
     return out
@@ -77,9 +88,9 @@ def suffix_order(words: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
     have = _WORD
     while have < depth:
         step = min(have, depth - have)
-        ahead = np.concatenate([rank[step:] + 1, np.zeros(step, np.int64)])
-        ahead[left <= step] = 0
-        rank = _dense(rank * (len(words) + 2) + ahead)
+        both = rank.astype(np.int64) * (len(words) + 2)
+        both[:-step] += np.where(left[:-step] > step, rank[step:] + 1, 0)
+        rank = _dense(both)
         have += step
     return _order(rank)
 
@@ -97,28 +108,30 @@ def repeated_windows(strings: list[bytes], weights: np.ndarray, length: int, sha
     order = np.concatenate(members)
     data = np.frombuffer(b"".join(strings[i] + b"\0" for i in order), np.uint8)
     ends = np.cumsum(sizes[order])
-    owner = np.repeat(order, sizes[order])
-    left = np.repeat(ends, sizes[order]) - np.arange(len(data)) - 1
-    before = sizes[owner] - 1 - left  # bytes of the string before the place
+    kind = _kind(len(data))
+    owner = np.repeat(order.astype(kind), sizes[order])
+    left = np.repeat((ends - 1).astype(kind), sizes[order]) - np.arange(len(data), dtype=kind)
+    before = sizes.astype(kind)[owner] - 1 - left  # bytes of the string before the place
     words = _words(data)
     # transform of each shard: its places in suffix order
     places, shard_of, first = [], [], 0
     for number, own in enumerate(members):
         size = int(sizes[own].sum())
-        places.append(first + suffix_order(words[first:first + size], left[first:first + size], length))
+        places.append((first + suffix_order(words[first:first + size], left[first:first + size], length)).astype(kind))
         shard_of.append(np.full(size, number, np.uint16))
         first += size
     places, shard_of = np.concatenate(places), np.concatenate(shard_of)
-    row_of = np.empty(len(data), np.int64)
-    row_of[places] = np.arange(len(data))
+    row_of = np.empty(len(data), kind)
+    row_of[places] = np.arange(len(data), dtype=kind)
     stride = stride_of(length)
     full = before >= stride
     symbol = numbered_before(words, before, stride)
-    alive = np.arange(len(data))  # rows of the transforms, shard by shard
+    del words, before, left
+    alive = np.arange(len(data), dtype=kind)  # rows of the transforms, shard by shard
     interleaving = shard_of.copy()
-    block = np.zeros(len(data), np.int64)
+    block = np.zeros(len(data), kind)
     for depth in range(0, length, stride):
-        merged = np.empty(len(alive), np.int64)
+        merged = np.empty(len(alive), kind)
         merged[np.argsort(interleaving, kind="stable")] = alive
         place = places[merged]
         ready = full[place]
@@ -131,17 +144,17 @@ def repeated_windows(strings: list[bytes], weights: np.ndarray, length: int, sha
         new = np.concatenate([[True], (block[1:] != block[:-1]) | (added[1:] != added[:-1])])
         start = np.flatnonzero(new)
         count = np.diff(np.concatenate([start, [len(place)]]))
-        block = np.repeat(np.arange(len(start)), count)
+        block = np.repeat(np.arange(len(start), dtype=kind), count)
         stays = np.repeat(count > 1, count) if depth + stride < length else np.ones(len(place), bool)
         rows = row_of[place - stride]
         rows, block = rows[stays], block[stays]
         interleaving = shard_of[rows]
         flags = np.zeros(len(data), bool)
         flags[rows] = True
-        alive = np.flatnonzero(flags)
+        alive = np.flatnonzero(flags).astype(kind)
     found = np.zeros(len(data), bool)
     if len(alive):  # rows whose whole window was compared
-        merged = np.empty(len(alive), np.int64)
+        merged = np.empty(len(alive), kind)
         merged[np.argsort(interleaving, kind="stable")] = alive
         place = places[merged]
         total = np.bincount(block, weights[owner[place]])

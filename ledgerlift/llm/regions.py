@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_CHUNK = 1 << 21  # windows at a time; places are kept in 24 bits
+_CHUNK = 1 << 18  # windows at a time, about 80 bytes of memory each; places are kept in 24 bits
 
 
 class Winnower:

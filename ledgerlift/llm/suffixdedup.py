@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlift.llm.batches import arrow_schema, map_slices, texts_of, whole_text, with_fields
+from ledgerlift.llm.batches import arrow_schema, give_back, map_slices, texts_of, whole_text, with_fields
 from ledgerlift.llm.bwtmerge import repeated_windows
 from ledgerlift.llm.regions import Winnower
 from ledgerlift.sources.stages import stage
@@ -115,7 +115,7 @@ def _runs(mask: np.ndarray) -> list[int]:
 def merged_verdicts(texts: DataFrame, length: int, most_bytes: int = 2 << 20) -> DataFrame:
     """(__bucket, __hash, runs): which windows of each region repeat, by merged transforms.
 
-    A task takes whole buckets, about ``most_bytes`` at a time; a bucket is bounded before.
+    A task takes whole buckets, ``most_bytes`` at a time, or one that is larger; a bucket is bounded before.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,21 +134,23 @@ def merged_verdicts(texts: DataFrame, length: int, most_bytes: int = 2 << 20) ->
                 del column[:upto]
             return out
 
-        held = 0
+        held = done = ahead = 0  # bytes, and rows and bytes of the buckets that are complete
         for batch in batches:
             for b, h, w, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket and b != bucket[-1]:
                     seen.clear()
-                    if held >= most_bytes:
-                        yield told(len(data))
-                        held = 0
+                    done, ahead = len(data), held
                 if h in seen:
                     continue  # a repeated row of the documents gave the same region again
+                if done and held + len(t) > most_bytes:
+                    yield told(done)
+                    held, done, ahead = held - ahead, 0, 0
                 seen.add(h)
                 bucket.append(b), hashes.append(h), weight.append(w), data.append(t)
                 held += len(t)
         if data:
             yield told(len(data))
+        give_back()
 
     # much work for few bytes: as many tasks as the session asks for, not merged by size
     tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
