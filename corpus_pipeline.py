@@ -21,6 +21,7 @@ TOXIC_FROM = 0.7
 NEAR_FROM = 0.8
 REPEATED_BYTES = 200
 SEQUENCE = 4096
+SLICE_BYTES = 2 << 20  # tasks of the last stage share their executor with what the stages before it left
 
 
 def _apart(docs: DataFrame) -> DataFrame:
@@ -83,7 +84,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences: every piece with its ids, its sequence and its place there; a null text is an end alone."""
     with open(public_tokenizers.path("word_bpe_49k.json")) as file:
-        pieces = packing.tokenise(docs, file.read(), end=2, capacity=SEQUENCE, keep=["doc_id"])
+        pieces = packing.tokenise(docs, file.read(), end=2, capacity=SEQUENCE, keep=["doc_id"], slice_bytes=SLICE_BYTES)
     return packing.assign(pieces, docs.count(), capacity=SEQUENCE)
 
 

@@ -21,9 +21,11 @@ further link, so a group of near copies costs nothing here, whatever its size.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +40,7 @@ BANDS, BAND_ROWS = 32, 4
 APART = 8
 LISTED = 16
 PART_NODES = 1000
+SKETCH = [f"bits_{i}" for i in range(8)]
 
 _BLOCK = 1 << 11
 _DRAWN = np.random.default_rng(20).integers(0, 1 << 63, (3, BANDS * BAND_ROWS), np.uint64)
@@ -109,13 +112,28 @@ def band_candidates(nodes: DataFrame, listed: int = LISTED) -> tuple[DataFrame,
     return links.unionByName(second), many.select("node").distinct()
 
 
+def sketch(hashes: str) -> list[Column]:
+    """A bit for each of 512 classes of hashes, as eight longs: whether an odd number of the set is in it.
+
+    Common hashes cancel, so two sets differ in at least as many hashes as their sketches in bits.
+    """
+    def word(i: int) -> Column:
+        return F.aggregate(hashes, F.lit(0).cast("long"), lambda bits, h: F.when(
+            F.pmod(F.shiftright(h, 6), F.lit(len(SKETCH))) == i,
+            bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int")))).otherwise(bits))
+
+    return [word(i).alias(c) for i, c in enumerate(SKETCH)]
+
+
 def rare_candidates(sets: DataFrame, threshold: float, part_nodes: int = PART_NODES) -> DataFrame:
     """(a, b): nodes of different components that share one of the rarest shingles of both.
 
     ``sets`` is a written table (node, component, hashes). In any one order of all shingles, two
     sets at the threshold share one among the first ``size - ceil(threshold * size) + 1`` of each;
-    rare ones come first here. The nodes of a shingle are cut into parts and every two parts
-    are a cell, so no task holds a shingle's nodes.
+    rare ones come first here. At the first shingle that two sets share, no more of them can be
+    common than what follows there in either, and they differ in no fewer shingles than their
+    sketches in bits; pairs that either keeps below the threshold are not made. The nodes of a
+    shingle are cut into parts and every two parts are a cell, so no task holds a shingle's nodes.
     """
     each = sets.select("node", F.explode("hashes").alias("key"))
     often = each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -124,8 +142,9 @@ def rare_candidates(sets: DataFrame, threshold: float, part_nodes: int = PART_NO
         F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "key"))).alias("all"))
     size = F.size("all")
     first = F.slice("all", 1, size - F.ceil(size * threshold - 1e-9).cast("int") + 1)
-    placed = ordered.select("node", size.alias("size"), F.explode(first).alias("s")).filter("s.n > 1").select(
-        "node", "size", F.col("s.key").alias("key")).join(sets.select("node", "component"), "node")
+    sketched = sets.select("node", "component", *sketch("hashes"))
+    placed = ordered.select("node", size.alias("size"), F.posexplode(first).alias("place", "s")).filter("s.n > 1").select(
+        "node", "size", "place", F.col("s.key").alias("key")).join(sketched, "node")
     placed = stage(placed, "near-rare")
     mixed = placed.groupBy("key").agg(
         F.ceil(F.count(F.lit(1)) / part_nodes).cast("int").alias("parts"), F.min("component").alias("x"), F.max("component").alias("y")
@@ -135,8 +154,13 @@ def rare_candidates(sets: DataFrame, threshold: float, part_nodes: int = PART_NO
     y = dealt.withColumns({"i": F.explode(F.sequence(F.lit(0), "part")), "j": F.col("part")}).alias("y")
     met = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("key", "i", "j")]
     least, most = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
+    both, follow = F.col("x.size") + F.col("y.size"), [F.col(f"{c}.size") - F.col(f"{c}.place") for c in "xy"]
+    apart = reduce(Column.__add__, [F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in SKETCH])
+    # a share t of the union is t / (1 + t) of both sizes
     return x.join(y, [*met, F.col("x.component") != F.col("y.component"), least >= most * threshold - 1e-9,
-                      (F.col("x.i") < F.col("x.j")) | (F.col("x.node") < F.col("y.node"))]).select(
+                      (F.col("x.i") < F.col("x.j")) | (F.col("x.node") < F.col("y.node")),
+                      F.least(*follow) * (1 + threshold) >= both * threshold - 1e-6,
+                      apart * (1 + threshold) <= both * (1 - threshold) + 1e-6]).select(
         F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlift.llm.batches import arrow_schema, map_slices, with_fields
+from ledgerlift.llm.batches import SLICE_BYTES, arrow_schema, map_slices, with_fields
 from ledgerlift.llm.segments import SegmentStore
 
 
@@ -39,14 +39,15 @@ def _segments(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 def tokenise(
     docs: DataFrame, tokenizer: str, *, text: str = "text", end: int | None = 2, capacity: int = 4096,
-    keep: list[str] | None = None,
+    keep: list[str] | None = None, slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """Pieces of at most ``capacity`` token ids: columns ``keep``, start, length, doc_tokens, ids.
 
     ``tokenizer`` is the JSON of a `tokenizers` tokenizer that ignores spaces and line
     feeds between words, so words are encoded once a task; special tokens are not added.
     ``end`` is appended to each document; without it an empty document has no piece.
-    start counts the document's ids before the piece. Null text counts as empty.
+    start counts the document's ids before the piece. Null text counts as empty. A task
+    encodes ``slice_bytes`` of text at a time and holds about 20 times that.
     """
     keep = [c for c in docs.columns if c != text] if keep is None else keep
     schema = with_fields(
@@ -86,7 +87,7 @@ def tokenise(
         return work
 
     names = list(dict.fromkeys([*keep, text]))
-    return map_slices(docs.select(*names), text, start, schema)
+    return map_slices(docs.select(*names), text, start, schema, slice_bytes)
 
 
 def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -274,7 +274,7 @@ def remove_repeats(
 
         return work
 
-    return map_slices(joined, text, start, schema)
+    return map_slices(joined, text, start, schema, 2 << 20)
 
 
 def removed_bytes(spans: str = "spans") -> Column:

@@ -116,3 +116,40 @@ def test_rare_shingles_lose_no_pair(spark, texts, parts):
 def test_lower_thresholds_are_refused(spark):
     with pytest.raises(ValueError):
         nearcopies.survivors(table(spark, []), mark="doc_id", order=[], threshold=0.7)
+
+
+def test_rare_candidates_do_not_grow_with_the_square_of_a_family(spark):
+    """Texts that share three quarters of their shingles are no near copies: hardly a pair of them is made."""
+    rng = random.Random(7)
+    common = list(range(300))
+
+    def made(n):
+        own = [sorted({*common, *(1000 + 100 * i + k for k in range(40)), *rng.sample(range(300, 400), 10)}) for i in range(n)]
+        rows = [(i, i, [h * 0x9E3779B97F4A7C15 % (1 << 63) for h in s]) for i, s in enumerate(own)]
+        sets = spark.createDataFrame(rows, "node long, component long, hashes array<long>")
+        return nearcopies.rare_candidates(corpus_pipeline.stage(sets, "family"), 0.8).count()
+
+    assert made(200) == 0
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_hashes(spark):
+    rng = random.Random(5)
+    sets = [[rng.randrange(-(1 << 63), 1 << 63) for _ in range(rng.choice([0, 1, 40, 900]))] for _ in range(12)]
+    sets += [s[:len(s) * 9 // 10] + [rng.randrange(-(1 << 63), 1 << 63)] for s in sets]
+    rows = spark.createDataFrame(list(enumerate(sets)), "node long, hashes array<long>").select("node", *nearcopies.sketch("hashes")).collect()
+    words = {r["node"]: [v & (1 << 64) - 1 for v in r[1:]] for r in rows}
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            bits = sum((a ^ b).bit_count() for a, b in zip(words[i], words[j], strict=True))
+            assert bits <= len(set(x) ^ set(y)) and (len(x) != 1 or i == j or len(y) or bits == 1)
+
+
+def test_pairs_just_at_the_threshold_are_made(spark):
+    """Equal and unequal sizes, at 0.8 exactly: the filters of the join lose none of them."""
+    rows, want = [], set()
+    for n, (common, one, other) in enumerate([(8, 1, 1), (8, 2, 0), (80, 10, 10), (80, 20, 0), (800, 150, 50), (4, 1, 0)]):
+        base = [hash((n, k)) for k in range(common + one + other)]
+        rows += [(2 * n, 2 * n, base[:common + one]), (2 * n + 1, 2 * n + 1, base[:common] + base[common + one:])]
+        want.add((2 * n + 1, 2 * n))
+    sets = corpus_pipeline.stage(spark.createDataFrame(rows, "node long, component long, hashes array<long>"), "at-threshold")
+    assert {(r["a"], r["b"]) for r in nearcopies.rare_candidates(sets, 0.8).collect()} == want
