@@ -16,8 +16,8 @@ START = {"hr": ("employee_id", 5), "finance": ("gl_entry_id", 4), "procurement":
 CANONICAL = "regexp_full_match(cost_centre, 'CC-[0-9]{3}')"
 
 
-def planted(spark, sf, key):
-    return J.plant(view(spark, sf, key), DOMAINS[key], J.standard_defects(key), _number(*START[key]))
+def planted(spark, sf, key, rows=None):
+    return J.plant(view(spark, sf, key) if rows is None else rows, DOMAINS[key], J.standard_defects(key), _number(*START[key]))
 
 
 @query("J1_duplicate_persons", with_ctes("hr", select=(
@@ -124,14 +124,20 @@ KNOWN = "EXISTS (SELECT 1 FROM m WHERE f.row_identifier = m.row_identifier AND f
 _planted_jobs: dict[tuple[str, str], tuple] = {}
 
 
+def planted_tables(spark, sf):
+    """The four tables and their manifests, planted in written tables: the plan would work out a view's ids for every use of them."""
+    rows = job(spark, sf).sources
+    return {k: planted(spark, sf, k, rows[k]) for k in KEYS}
+
+
 def scored(spark, sf):
     """Manifest and findings of the four planted tables; the queries of a session share them."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _planted_jobs:
-        made = {k: planted(spark, sf, k) for k in KEYS}
+        made = planted_tables(spark, sf)
         manifest = stage(reduce(DataFrame.unionByName, [m for _, m in made.values()]), "manifest")
-        job = Migration({k: stage(df, f"planted-{k}") for k, (df, _) in made.items()}, AS_OF, manifest=manifest, earliest=EARLIEST)
-        _planted_jobs[key] = manifest, job.findings
+        run = Migration({k: stage(df, f"planted-{k}") for k, (df, _) in made.items()}, AS_OF, manifest=manifest, earliest=EARLIEST)
+        _planted_jobs[key] = manifest, run.findings
     return _planted_jobs[key]
 
 
