@@ -332,15 +332,20 @@ def person_review(hr: DataFrame, clusters: DataFrame, links: NameLinks, metric:
 
 
 def vendor_clusters(procurement: DataFrame, threshold: float = NAME_THRESHOLD, metric: str = "ratio",
-                    fuzzy: bool = True, links: NameLinks | None = None) -> DataFrame:
+                    fuzzy: bool = True, links: NameLinks | None = None, orders: DataFrame | None = None) -> DataFrame:
     """(vendor_id, vendor_name, orders, cluster): one row per vendor id and name.
 
     Rows of one vendor id belong together whatever their names. Names without a usable
-    token stay alone with their vendor id.
+    token stay alone with their vendor id. ``orders`` are the written ``vendor_orders`` of
+    the same table, if the caller has them; the orders are not read again then.
     """
     # the one pass over the orders
-    named = stage(procurement.filter(F.col("vendor_id").isNotNull() & F.col("vendor_name").isNotNull()).groupBy(
-        "vendor_id", "vendor_name").agg(F.count(F.lit(1)).alias("name_orders")), "vendor-names")
+    known_as = F.col("vendor_id").isNotNull() & F.col("vendor_name").isNotNull()
+    if orders is not None:
+        named = orders.filter(known_as).select("vendor_id", "vendor_name", "name_orders")
+    else:
+        named = stage(procurement.filter(known_as).groupBy("vendor_id", "vendor_name").agg(
+            F.count(F.lit(1)).alias("name_orders")), "vendor-names")
     links = links or name_links(company_rows(named), threshold, metric, blocked=False, fuzzy=fuzzy)
     rows, known = links.rows, links.known
     heads = exact_groups(rows).select("norm", F.col("first_id").alias("b"), "n")

@@ -474,6 +474,12 @@ def vendor_names(procurement: DataFrame) -> DataFrame:
     return procurement.groupBy("vendor_id", "vendor_name").agg(F.min("po_id").alias("po_id"))
 
 
+def vendor_orders(procurement: DataFrame) -> DataFrame:
+    """``vendor_names`` with ``name_orders``, the number of orders of each name: all that the vendor rules and clusters read."""
+    return procurement.groupBy("vendor_id", "vendor_name").agg(
+        F.min("po_id").alias("po_id"), F.count(F.lit(1)).alias("name_orders"))
+
+
 def first_orders(procurement: DataFrame) -> DataFrame:
     """(vendor_id, first_po): the order that stands for a vendor, partially aggregated."""
     return procurement.groupBy("vendor_id").agg(F.min("po_id").alias("first_po"))

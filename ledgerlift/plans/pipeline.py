@@ -27,10 +27,10 @@ from ledgerlift.sources.stages import stage, stage_counted
 
 def discover(sources: Mapping[str, DataFrame], as_of: date, fuzzy: bool = True,
              earliest: date = EARLIEST_DATE, persons: D.NameLinks | None = None,
-             vendors: D.NameLinks | None = None) -> DataFrame:
-    """Numbered findings of all checks; ``persons`` and ``vendors`` are the names if already read."""
+             vendors: D.NameLinks | None = None, orders: DataFrame | None = None) -> DataFrame:
+    """Numbered findings of all checks; ``persons``, ``vendors`` and ``orders`` are the names if already read."""
     require_inputs(sources, DOMAINS)
-    orders = stage(D.vendor_names(sources["procurement"]), "vendor-names")
+    orders = orders if orders is not None else stage(D.vendor_names(sources["procurement"]), "vendor-names")
     persons = persons or D.name_links(D.person_rows(sources["hr"]), fuzzy=fuzzy)
     vendors = vendors or D.name_links(D.company_rows(orders), blocked=False, fuzzy=fuzzy)
     parts = [C.apply_rules(sources[k], d, C.standard_rules(k, as_of, earliest)) for k, d in DOMAINS.items()]
@@ -82,13 +82,19 @@ class Migration:
     def person_names(self) -> D.NameLinks:
         return D.name_links(D.person_rows(self.sources["hr"]), fuzzy=self.fuzzy)
 
+    @cached_property
+    def vendor_orders(self) -> DataFrame:
+        """Names, first orders and counts of the vendors: the one pass over the orders for their names."""
+        return stage(D.vendor_orders(self.sources["procurement"]), "vendor-orders")
+
     @cached_property
     def vendor_names(self) -> D.NameLinks:
-        return D.name_links(D.company_rows(self.sources["procurement"]), blocked=False, fuzzy=self.fuzzy)
+        return D.name_links(D.company_rows(self.vendor_orders), blocked=False, fuzzy=self.fuzzy)
 
     @cached_property
     def findings(self) -> DataFrame:
-        return discover(self.sources, self.as_of, self.fuzzy, self.earliest, self.person_names, self.vendor_names)
+        return discover(
+            self.sources, self.as_of, self.fuzzy, self.earliest, self.person_names, self.vendor_names, self.vendor_orders)
 
     @cached_property
     def person_clusters(self) -> DataFrame:
@@ -96,7 +102,8 @@ class Migration:
 
     @cached_property
     def vendor_clusters(self) -> DataFrame:
-        return stage(K.vendor_clusters(self.sources["procurement"], links=self.vendor_names), "vendor-clusters")
+        return stage(K.vendor_clusters(
+            self.sources["procurement"], links=self.vendor_names, orders=self.vendor_orders), "vendor-clusters")
 
     # --- the issue log
 
@@ -131,7 +138,7 @@ class Migration:
             I.resolve_code_drift(rows, self.sources, manifest),
             I.resolve_status_contradiction(rows, self.specs["hr"], manifest),
             I.resolve_vendor_duplicates(
-                rows, D.first_orders(self.sources["procurement"]), self.vendor_clusters, K.member_notes(self.vendor_clusters),
+                rows, D.first_orders(self.vendor_orders), self.vendor_clusters, K.member_notes(self.vendor_clusters),
                 self.vendor_master, manifest),
             I.resolve_persons(rows, self.person_review, manifest)]
         return stage(reduce(DataFrame.unionByName, parts), "resolutions")

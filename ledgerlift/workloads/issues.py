@@ -119,7 +119,7 @@ def resolve_contradiction(spark, sf):
 def resolve_vendor_duplicates(spark, sf):
     j = job(spark, sf)
     return _numbered(I.resolve_vendor_duplicates(
-        j.logged_rows, D.first_orders(j.sources["procurement"]), j.vendor_clusters, K.member_notes(j.vendor_clusters),
+        j.logged_rows, D.first_orders(j.vendor_orders), j.vendor_clusters, K.member_notes(j.vendor_clusters),
         j.vendor_master), j.logged_rows)
 
 
