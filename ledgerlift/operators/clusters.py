@@ -18,7 +18,7 @@ from ledgerlift.functions.text import strip_space
 from ledgerlift.operators.duplicates import (
     NameLinks, company_rows, exact_groups, initial_groups, initial_keyed, name_links, person_rows,
 )
-from ledgerlift.operators.skew import join_to_groups, list_in_parts
+from ledgerlift.operators.skew import join_to_groups, list_in_parts, meet
 from ledgerlift.schemas import HIRE_GAP_DAYS, NAME_THRESHOLD
 from ledgerlift.sources.stages import new_path, stage
 
@@ -112,7 +112,7 @@ def _similar_edges(rows: DataFrame, pairs: DataFrame) -> DataFrame:
 def _node_clusters(rows: DataFrame, edges: DataFrame, known: int) -> DataFrame:
     """(id, norm, cluster): each row under the least id of its component."""
     heads = exact_groups(rows).select("norm", F.col("first_id").alias("node"), "n")
-    found = heads.join(connected_components(edges), "node", "left").select(
+    found = meet(heads, connected_components(edges), "node", "left").select(
         "norm", F.coalesce("component", "node").alias("cluster"), "n")
     return join_to_groups(rows.select("id", "norm"), found, "norm", "n", "id", known).select("id", "norm", "cluster")
 
@@ -143,8 +143,7 @@ def person_master(hr: DataFrame, clusters: DataFrame) -> DataFrame:
 
 
 def _review_rows(hr: DataFrame, clusters: DataFrame) -> DataFrame:
-    return hr.select(F.col("employee_id").alias("id"), "name", "dept_code", "cost_centre", "hire_date").join(
-        clusters, "id")
+    return meet(hr.select(F.col("employee_id").alias("id"), "name", "dept_code", "cost_centre", "hire_date"), clusters, "id")
 
 
 def recommendation(same_dept, same_cost_centre, gap):
@@ -243,15 +242,15 @@ def _name_partners(links: NameLinks, metric: str) -> DataFrame:
     firsts = rows.select("raw", "id").withColumn(
         "place", F.row_number().over(Window.partitionBy("raw").orderBy("id"))).filter(F.col("place") <= 2)
     pairs = firsts.groupBy("raw").agg(F.min("id").alias("first_id"), F.max("id").alias("second_id"))
-    names = stage(links.keys.select("raw", "n", F.col("head.id").alias("id"), "norm", "first", "last", "words").join(
-        pairs, "raw"), "compared-names")
+    names = stage(meet(
+        links.keys.select("raw", "n", F.col("head.id").alias("id"), "norm", "first", "last", "words"), pairs, "raw"), "compared-names")
     single = names.filter(F.col("n") == 1)
     person = F.struct("id", "raw")
     # the same tokens: the first row of the group, or the second for the first itself
     groups = names.groupBy("norm").agg(F.min(person).alias("p"), F.count(F.lit(1)).alias("names")).filter(F.col("names") > 1)
     joined = join_to_groups(names.select("norm", "raw", "id"), groups, "norm", "names", "raw", known)
     second = joined.filter(F.col("id") != F.col("p.id")).groupBy("norm").agg(F.min(person).alias("q"))
-    joined = join_to_groups(single.select("norm", "raw", "id"), groups.join(second, "norm"), "norm", "names", "raw", known)
+    joined = join_to_groups(single.select("norm", "raw", "id"), meet(groups, second, "norm"), "norm", "names", "raw", known)
     found = joined.select("raw", "id", F.when(F.col("id") != F.col("p.id"), F.col("p")).otherwise(F.col("q")).alias("p"))
     # an initial: the first row of the other side
     keyed = initial_keyed(single).select("raw", "id", "hub", "is_short")
@@ -266,7 +265,7 @@ def _name_partners(links: NameLinks, metric: str) -> DataFrame:
             return across.select(F.col(f"{own}.raw").alias("raw"), head.alias("p"))
 
         found = found.unionByName(
-            single.select("raw", "id").join(seen("early", "late").unionByName(seen("late", "early")), "raw"))
+            meet(single.select("raw", "id"), seen("early", "late").unionByName(seen("late", "early")), "raw"))
     first = F.col("id") < F.col("p.id")
     score = similarity(F.when(first, F.col("raw")).otherwise(F.col("p.raw")), F.when(first, F.col("p.raw")).otherwise(F.col("raw")), metric)
     best = found.distinct().withColumn("score", score).groupBy("raw").agg(
@@ -296,21 +295,21 @@ def person_review(hr: DataFrame, clusters: DataFrame, links: NameLinks, metric:
         rows = rows.withColumn("free", F.lit(True))
     else:
         marks = with_issue.select(F.col("row_identifier").alias("id"), F.lit(False).alias("free")).distinct()
-        rows = rows.join(marks, "id", "left").withColumn("free", F.coalesce("free", F.lit(True)))
+        rows = meet(rows, marks, "id", "left").withColumn("free", F.coalesce("free", F.lit(True)))
     rows = stage(rows.withColumn("raw", F.lower(strip_space(F.col("name")))), "review-rows")
     partners = _name_partners(links, metric)
     details = hr.select(F.col("employee_id").alias("pid"), F.struct(
         F.col("employee_id").alias("id"), "name", "dept_code", "cost_centre", "hire_date").alias("person"))
     # a partner's facts are fetched once per name, not once per row
     ids = partners.select(F.explode(F.array("first_id", "second_id")).alias("pid")).distinct()
-    facts = stage(details.join(ids, "pid"), "partner-facts")
+    facts = stage(meet(details, ids, "pid"), "partner-facts")
+    first = meet(partners, facts.select(F.col("pid").alias("first_id"), F.col("person").alias("one")), "first_id")
     partners = stage(
-        partners.join(facts.select(F.col("pid").alias("first_id"), F.col("person").alias("one")), "first_id")
-        .join(facts.select(F.col("pid").alias("second_id"), F.col("person").alias("two")), "second_id")
+        meet(first, facts.select(F.col("pid").alias("second_id"), F.col("person").alias("two")), "second_id")
         .select("raw", "n", "one", "two", "score"), "partners")
     named = join_to_groups(rows, partners, "raw", "n", "id", links.known).withColumn(
         "named", F.when(F.col("one.id") != F.col("id"), F.col("one")).otherwise(F.col("two"))).drop("one", "two", "n")
-    both = named.join(_near_hires(rows), "id", "left")
+    both = meet(named, _near_hires(rows), "id", "left")
     likely = F.col("near").isNotNull()
     partner = F.when(likely, F.col("near.name")).otherwise(F.col("named.name"))
     pid = F.when(likely, F.col("near.id")).otherwise(F.col("named.id"))

@@ -22,6 +22,15 @@ def heavy_keys(groups: DataFrame, key: str, size: str) -> DataFrame:
     )
 
 
+def meet(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A join of two tables that both grow with the rows: each side is shuffled at every size.
+
+    Below the broadcast limit Spark would collect one side in the driver, and the many joins of
+    a job add up there; a merge join sends the driver nothing but task metrics.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
 def join_to_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, spread: str,
                    known_rows: int | None = None) -> DataFrame:
     """``rows`` joined to ``groups`` (one or few rows per key) without a hot task.
@@ -40,7 +49,7 @@ def join_to_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, spre
     salts = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     left = rows.join(heavy, key, "left").withColumn("_salt", salt).drop("_heavy")
     right = groups.join(heavy, key, "left").withColumn("_salt", F.explode(salts)).drop("_heavy")
-    return left.join(right, [key, "_salt"]).drop("_salt")
+    return meet(left, right, [key, "_salt"]).drop("_salt")
 
 
 LIST_LENGTH = 1000
