@@ -9,6 +9,8 @@ work is linear in the input; what is lost is at most one badly filled sequence a
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -20,17 +22,85 @@ from ledgerlift.llm.batches import SLICE_BYTES, arrow_schema, map_slices, with_f
 from ledgerlift.llm.segments import SegmentStore
 
 
+# letters that no normalizer of ``word_encoder`` changes: lower case, composed
+LETTERS = "a-zß-öø-ÿ"
+_JOINED = 2000  # words that are encoded as one text
+
+
+def word_encoder(tokenizer: str):
+    """The encoder of words of ``LETTERS`` alone, or None if the tokenizer may change or cut such a word.
+
+    Where the normalizer only composes, lowers and evens out spaces, and the pre-tokenizer
+    takes runs of letters as they are, such words need neither; what is left is the model.
+    """
+    told = json.loads(tokenizer)
+    normal = told.get("normalizer") or {"type": "Sequence", "normalizers": []}
+    steps = normal["normalizers"] if normal["type"] == "Sequence" else [normal]
+    harmless = all(s["type"] in ("NFC", "Lowercase") or s == {
+        "type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "} for s in steps)
+    cutters = (told.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    split = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+             "behavior": "Removed", "invert": True}
+    whole = len(cutters) == 2 and cutters[0] == split and cutters[1]["type"] == "ByteLevel" and not (
+        cutters[1]["add_prefix_space"] or cutters[1]["use_regex"])
+    if not (harmless and whole) or any(t["content"].isalpha() for t in told.get("added_tokens") or []) or any(
+            told.get(part) for part in ("truncation", "padding", "post_processor")):
+        return None
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_str(json.dumps(told | {"normalizer": None, "pre_tokenizer": {
+        "type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, cutters[1]]}}))
+
+
+def encoder(tokenizer: str):
+    """segments -> (ids laid end to end, ids of each segment), without special tokens.
+
+    Words of plain letters, nearly all segments, are encoded many at a time as one text; the
+    others, and all of a tokenizer that ``word_encoder`` does not know, by themselves.
+    """
+    from tokenizers import Tokenizer
+
+    own, words = Tokenizer.from_str(tokenizer), word_encoder(tokenizer)
+
+    def one_by_one(segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in own.encode_batch_fast(segments, add_special_tokens=False)]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter((i for part in ids for i in part), np.int32, int(size.sum())), size
+
+    def encode(segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if words is None or not segments:
+            return one_by_one(segments)
+        plain = pc.match_substring_regex(pa.array(segments, pa.string()), f"^[{LETTERS}]+$").to_numpy(zero_copy_only=False)
+        ids, size = [], np.zeros(len(segments), np.int64)
+        at = np.flatnonzero(plain)
+        for first in range(0, len(at), _JOINED):
+            part = at[first:first + _JOINED]
+            told = words.encode(" ".join([segments[i] for i in part]), add_special_tokens=False)
+            ids.append(np.array(told.ids, np.int32))
+            size[part] = np.bincount(np.array(told.word_ids, np.int64), minlength=len(part))
+        rest = np.flatnonzero(~plain)
+        found, size[rest] = one_by_one([segments[i] for i in rest])
+        # back into the order of the segments
+        flat, order = np.concatenate([*ids, found]), np.concatenate([at, rest])
+        first = np.empty(len(segments), np.int64)
+        first[order] = np.cumsum(size[order]) - size[order]
+        ends = np.cumsum(size)
+        return flat[np.repeat(first - (ends - size), size) + np.arange(len(flat))], size
+
+    return encode
+
+
 def _segments(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Stretches of the texts that are encoded by themselves: the distinct ones, their numbers in order, and how many a text has.
 
-    Ids do not change where a space parts a letter from a full stop or comma, nor, where no
+    Ids do not change where a space parts a letter from a mark that joins no letter, nor, where no
     mark may combine with a letter and no special token may arise, by lowering A-Z. So
     there are fewer distinct stretches than words with marks and case.
     """
     texts = pc.fill_null(texts, "")
     as_is = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, "[\u0300-\u036f]"))
     texts = pc.if_else(as_is, texts, pc.ascii_lower(texts))
-    texts = pc.replace_substring(pc.replace_substring_regex(texts, "([a-z])([.,])", r"\1 \2"), "\n", " ")
+    texts = pc.replace_substring(pc.replace_substring_regex(texts, f"([{LETTERS}])([.,;:!?*$%&#])", r"\1 \2"), "\n", " ")
     parts = pc.split_pattern(texts, " ")
     numbered = parts.flatten().dictionary_encode()
     return (numbered.dictionary.to_pylist(), numbered.indices.to_numpy(),
@@ -60,10 +130,7 @@ def tokenise(
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
-        from tokenizers import Tokenizer
-
-        own = Tokenizer.from_str(table.value)
-        store = SegmentStore(lambda new: (e.ids for e in own.encode_batch_fast(new, add_special_tokens=False)))
+        store = SegmentStore(encoder(table.value))
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             found, offsets = store.ids_of_numbered(*_segments(batch.column(text)))

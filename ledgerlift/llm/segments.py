@@ -15,7 +15,8 @@ MOST_SEGMENTS = 400_000
 
 
 class SegmentStore:
-    def __init__(self, encode: Callable[[list], Iterable[list[int]]], most: int = MOST_SEGMENTS):
+    def __init__(self, encode: Callable[[list], Iterable[list[int]] | tuple[np.ndarray, np.ndarray]], most: int = MOST_SEGMENTS):
+        """``encode`` gives the ids of each new segment, or a pair: all their ids end to end, and how many each has."""
         self.encode, self.most = encode, most
         self._clear()
 
@@ -24,9 +25,13 @@ class SegmentStore:
         self.flat, self.first, self.size = (np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64))
 
     def _learn(self, new: list) -> None:
-        ids = list(self.encode(new))
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for part in ids for i in part), np.int32, int(size.sum()))
+        told = self.encode(new)
+        if isinstance(told, tuple):
+            flat, size = told
+        else:
+            ids = list(told)
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter((i for part in ids for i in part), np.int32, int(size.sum()))
         first = len(self.flat) + np.cumsum(size) - size
         self.flat = np.concatenate([self.flat, flat])
         self.first = np.concatenate([self.first, first])

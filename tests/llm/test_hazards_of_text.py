@@ -151,3 +151,30 @@ def test_registered_queries_cover_their_table(spark, name):
         for own in places.values():
             own.sort()
             assert own[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(own, own[1:], strict=False)) and sum(n for _, n in own) <= 4096
+
+
+def test_plain_words_encoded_together_have_their_own_ids():
+    """op8_packing: words of plain letters were encoded one at a time, through normalizer and pattern, for most of the CPU time."""
+    import json
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("word_bpe_49k.json")) as file:
+        table = file.read()
+    own = Tokenizer.from_str(table)
+    rng = np.random.default_rng(3)
+    letters = list("abcdefghijklmnopqrstuvwxyzßàáéíñóöøüÿ")
+    made = ["".join(rng.choice(letters, n)) for n in rng.integers(1, 14, 5000)]
+    made += ["", ".", "Éa", "a1b", "l'heure", "don't", "été", "ÿ", "÷", "ab÷cd", "日本", "<|x|>", "a b", "ciónosó.", "Å", "x" * 300]
+    made = [made[i] for i in rng.permutation(len(made))]
+    flat, size = packing.encoder(table)(made)
+    wanted = [e.ids for e in own.encode_batch(made, add_special_tokens=False)]
+    assert size.tolist() == [len(w) for w in wanted] and flat.tolist() == [i for w in wanted for i in w]
+    assert [len(part) for part in packing.encoder(table)([])] == [0, 0]
+    # far fewer calls than words; a tokenizer that may change or cut a word is asked for each
+    assert packing.word_encoder(table) is not None
+    for change in ({"normalizer": {"type": "NFD"}}, {"pre_tokenizer": {"type": "Whitespace"}},
+                   {"added_tokens": [{"id": 7, "content": "the", "single_word": False, "lstrip": False, "rstrip": False,
+                                      "normalized": False, "special": False}]}):
+        assert packing.word_encoder(json.dumps(json.loads(table) | change)) is None
