@@ -7,9 +7,13 @@ the same names as all pairs would.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import date
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -20,68 +24,129 @@ from ledgerlift.operators.duplicates import (
 )
 from ledgerlift.operators.skew import join_to_groups, list_in_parts, meet
 from ledgerlift.schemas import HIRE_GAP_DAYS, NAME_THRESHOLD
-from ledgerlift.sources.stages import new_path, stage
+from ledgerlift.sources.stages import freed_shuffles, stage, unstage
+
+EDGES_AT_ONCE = 1 << 20
+
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges(a, b)``; the component is its least node.
 
-    Alternates large-star and small-star steps (Kiveris et al., 2014), which need
-    O(log^2 n) rounds. Each step is a partially aggregated minimum per node and one join
-    back; stars of hot nodes are salted. Every round is written to one of two folders in
-    shared storage in turn, so lineage stays short and a lost executor repeats one round.
+    Each task first replaces its edges by a spanning forest of them, at most a million at a
+    time. Then small-star and large-star steps alternate (Kiveris et al., 2014), which need
+    O(log^2 n) rounds: the edges of a larger node meet in one task, which again keeps a
+    forest, and children of a node move to its parent by one aggregate and one join; stars
+    of hot nodes are salted. A step is written to shared storage, so lineage stays short and
+    a lost executor repeats one step; the step before it is removed then, and with it what
+    it was shuffled through, so the disk holds the edges of one step and one exchange.
     """
-    spark = edges.sparkSession
-    folders = [new_path(spark, "components-a"), new_path(spark, "components-b")]
-    edges = stage(edges.select("a", "b"), "edges")  # read twice, and what makes them may be a long join
-    current = stage(_downward(edges.filter(F.col("a") != F.col("b"))), "", folders[0])
-    nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    before = _print_of(current)
-    for step in range(1, max_rounds + 1):
-        current = stage(_small_star(_large_star(current, before[0]), before[0]), "", folders[step % 2])
-        after = _print_of(current)
-        if after == before:
+    pair = F.array("a", "b")  # of one type
+    current = stage(_forest(edges.select(pair[0].alias("a"), pair[1].alias("b"))), _STEP)
+    alone = current.filter(F.col("a").eqNullSafe(F.col("b"))).select(F.col("a").alias("node"), F.col("a").alias("component"))
+    for step in range(max_rounds):
+        linked = current.filter(F.col("a") != F.col("b"))
+        if _settled(linked):
             break
-        before = after
+        if not step:
+            alone = stage(alone.distinct(), "component-alone")
+        star = stage(_small_star(linked), _STEP)
+        unstage(current, _STEP)
+        current = stage(_large_star(star, star.count()), _STEP)
+        unstage(star, _STEP)
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    parents = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return nodes.join(parents, "node", "left").select(
-        "node", F.coalesce("component", "node").alias("component"))
+    linked = current.filter(F.col("a") != F.col("b"))
+    found = linked.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    roots = linked.select(F.col("b").alias("node"), F.col("b").alias("component"))
+    return found.unionByName(roots).unionByName(alone).groupBy("node").agg(F.min("component").alias("component"))
 
 
-def _downward(edges: DataFrame) -> DataFrame:
-    """Each edge once, from the larger node to the smaller."""
-    return edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+_STEP = "component-edges"
 
 
-def _print_of(edges: DataFrame) -> tuple:
-    """Size and order-free fingerprint of an edge set, one row to the driver."""
-    row = edges.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.bit_xor(F.xxhash64("a", "b")).alias("x"),
-        F.sum(F.xxhash64("b", "a").cast("decimal(38,0)")).alias("s"),
-    ).first()
-    return (row["n"], row["x"], row["s"])
+def _settled(edges: DataFrame) -> bool:
+    """Whether all is stars: a larger node has one edge and is the smaller end of none."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select("b", F.lit(0), F.lit(1)).toDF("node", "up", "down"))
+    with freed_shuffles(edges.sparkSession):
+        return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter(
+            "up > 1 OR (up = 1 AND down = 1)").isEmpty()
 
 
-def _large_star(edges: DataFrame, known: int) -> DataFrame:
-    """Every larger neighbour of a node moves to the least of its neighbourhood."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count(F.lit(1)).alias("n"))
-    moved = join_to_groups(both, least, "a", "n", "b", 2 * known).filter(F.col("b") > F.col("a"))
-    return moved.select(F.col("b").alias("a"), F.col("m").alias("b")).filter(F.col("a") != F.col("b")).distinct()
+def _forest(edges: DataFrame, whole: bool = False) -> DataFrame:
+    """Fewer edges with the same components: stars (node, least node) in each task, without any exchange.
 
+    A task holds EDGES_AT_ONCE edges and a batch. With ``whole``, edges come sorted by their
+    larger node ``a``, and those of one node are not parted. Nodes without another end, or
+    with themselves as the other end, come as (node, node).
+    """
+    limit = EDGES_AT_ONCE
+
+    def stars(edges: pa.Table) -> pa.Table:
+        a, b = (edges[c].combine_chunks() for c in "ab")
+        proper = pc.fill_null(pc.not_equal(a, b), False)
+        odd = pc.invert(proper)
+        alone = pc.unique(pa.concat_arrays([a.filter(odd), b.filter(odd)]))
+        a, b = a.filter(proper), b.filter(proper)
+        coded = pa.concat_arrays([a, b]).dictionary_encode()
+        nodes = coded.dictionary
+        order = pc.sort_indices(nodes).to_numpy()
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        codes = rank[coded.indices.to_numpy()]
+        x, y = codes[: len(a)], codes[len(a):]
+        root = np.arange(len(order))
+        while len(x):
+            np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+            while (root != (upper := root[root])).any():
+                root = upper
+            x, y = root[x], root[y]
+            live = x != y
+            x, y = x[live], y[live]
+        moved = np.flatnonzero(root != np.arange(len(order)))
+        nodes = nodes.take(pa.array(order))
+        return pa.table({
+            "a": pa.concat_arrays([nodes.take(pa.array(moved)), alone]),
+            "b": pa.concat_arrays([nodes.take(pa.array(root[moved])), alone])}, schema=edges.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size < limit:
+                continue
+            table, rest = pa.Table.from_batches(held), None
+            if whole:
+                last = pc.equal(table["a"], table["a"][-1])
+                table, rest = table.filter(pc.invert(last)), stars(table.filter(last))
+                # a node's own edge stays for its next ones; what else its edges joined is told now
+                own = pc.equal(rest["a"], batch["a"][-1])
+                table, rest = pa.concat_tables([table, rest.filter(pc.invert(own))]), rest.filter(own)
+            yield from stars(table).to_batches(max_chunksize=1 << 16)
+            held = rest.to_batches() if whole else []
+            size = sum(b.num_rows for b in held)
+        if held:
+            yield from stars(pa.Table.from_batches(held)).to_batches(max_chunksize=1 << 16)
+
+    return edges.mapInArrow(run, edges.schema)
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """A node and its smaller neighbours move to the least of them, or of what those join in the same task.
+
+    No node is hot here: a forest of a million edges has one edge up from a node.
+    """
+    return _forest(edges.repartition("a").sortWithinPartitions("a"), whole=True)
 
-def _small_star(edges: DataFrame, known: int) -> DataFrame:
-    """A node and its smaller neighbours move to the least of them."""
-    down = _downward(edges)
-    least = down.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
-    moved = join_to_groups(down, least, "a", "n", "b", known)
-    return (
-        moved.filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        .unionByName(least.select("a", F.col("m").alias("b")))
-        .distinct()
-    )
+
+def _large_star(edges: DataFrame, known: int) -> DataFrame:
+    """Every larger neighbour of a node moves to the least of its neighbourhood."""
+    both = edges.select("a", "b", F.lit(0).alias("larger")).unionByName(
+        edges.select(F.col("b").alias("a"), F.col("b"), F.lit(1).alias("larger")))
+    least = both.groupBy("a").agg(F.min("b").alias("m"), F.sum("larger").alias("n")).filter(F.col("n") > 0)
+    moved = join_to_groups(edges.select(F.col("b").alias("a"), F.col("a").alias("b")), least, "a", "n", "b", known)
+    return _forest(moved.select(F.col("b").alias("a"), F.col("m").alias("b")))
 
 
 # --- edges ------------------------------------------------------------------------

@@ -1,11 +1,16 @@
 """What a job leaves on disk: no shuffle files of written stages, no second copies, a part of a large exchange at a time."""
 
 import os
+import random
 import time
 
+import pytest
+from test_clusters import components_of, solved
 from test_fingerprints import SPEC, tables
 
+from ledgerlift.operators import clusters as K
 from ledgerlift.operators import reconcile as R
+from ledgerlift.operators import skew
 from ledgerlift.sources import stages
 from ledgerlift.sources.stages import shared_dir, stage, unstage
 
@@ -50,3 +55,22 @@ def test_ids_of_a_large_table_are_exchanged_in_parts(spark, monkeypatch):
     monkeypatch.setattr(stages, "MOST_PASSES", 2)
     assert results() == whole
     assert sum(f.startswith("differing-ids") for f in folders(spark) - before) == 2
+
+
+@pytest.mark.parametrize("at_once", [3, 1 << 20])
+def test_components_keep_one_step_on_disk(spark, monkeypatch, at_once):
+    monkeypatch.setattr(K, "EDGES_AT_ONCE", at_once)
+    monkeypatch.setattr(skew, "HEAVY_ROWS", 10)
+    rng = random.Random(5)
+    edges = [(f"o{rng.randrange(300):03d}", f"p{rng.randrange(200):03d}") for _ in range(260)]
+    edges += [("z", f"z{i:02d}") for i in range(40)] + [(f"y{i:03d}", f"y{i + 1:03d}") for i in range(60)]
+    rng.shuffle(edges)
+    before = folders(spark)
+    assert solved(spark, edges) == components_of(edges)
+    assert sorted(f.rsplit("-", 1)[0] for f in folders(spark) - before) in (
+        ["component-edges"], ["component-alone", "component-edges"])
+
+
+def test_nodes_without_another_end(spark):
+    rows = [(None, "a"), ("b", None), ("a", "c"), ("c", "a"), ("d", "d"), (None, None)]
+    assert solved(spark, rows) == {None: None, "a": "a", "b": "b", "c": "a", "d": "d"}
