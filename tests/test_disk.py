@@ -3,6 +3,7 @@
 import os
 import random
 import time
+from types import SimpleNamespace
 
 import pytest
 from test_clusters import components_of, solved
@@ -11,8 +12,15 @@ from test_fingerprints import SPEC, tables
 from ledgerlift.operators import clusters as K
 from ledgerlift.operators import reconcile as R
 from ledgerlift.operators import skew
+from ledgerlift.plans import incremental as N
 from ledgerlift.sources import stages
 from ledgerlift.sources.stages import shared_dir, stage, unstage
+from ledgerlift.workloads import issues, migration
+from ledgerlift.workloads.base import KEYS
+from ledgerlift.workloads.views import views
+
+SF = "/root/testdata/sf0.001"
+
 
 def shuffle_files(spark):
     tops = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
@@ -57,6 +65,42 @@ def test_ids_of_a_large_table_are_exchanged_in_parts(spark, monkeypatch):
     assert sum(f.startswith("differing-ids") for f in folders(spark) - before) == 2
 
 
+def test_no_second_copy_of_the_tables(spark, monkeypatch):
+    sources = {k: df for k, df in views(spark, SF).items() if k in KEYS}
+    fake = SimpleNamespace(sources=sources, target=sources.get, specs=None, held=None)
+    monkeypatch.setattr(migration, "job", lambda *a: fake)
+    monkeypatch.setattr(issues, "job", lambda *a: fake)
+    monkeypatch.setattr(R, "compare_all", lambda sources, targets, *a: targets)
+    monkeypatch.setattr(issues, "first_state", lambda before, *a: before)
+    monkeypatch.setattr(issues, "next_state", lambda before, *a: SimpleNamespace(findings=before["hr"]))
+    before = folders(spark)
+    damaged = migration._comparisons(spark, SF)
+    assert issues.incremental_findings(spark, SF).count() < sources["hr"].count()
+    assert all(0 < damaged[k].exceptAll(sources[k]).count() for k in ("finance", "procurement"))
+    assert folders(spark) == before
+
+
+def test_changed_ids_of_a_large_load_are_exchanged_in_parts(spark, monkeypatch):
+    rng = random.Random(4)
+    schema = "id string, lo bigint, hi bigint"
+    old = [(rng.choice([None, *(f"r{i}" for i in range(90))]), rng.randrange(-9, 9) << 33, 1) for _ in range(200)]
+    new = old[10:] + [("r3", 7 << 33, 1), ("new", 1, 1)] + old[40:44]
+    before, after = (stage(spark.createDataFrame(x, schema), "load").select("id", "lo", "hi") for x in (old, new))
+
+    def of(rows):
+        groups = {}
+        for i, lo, hi in rows:
+            groups.setdefault(i, []).append((lo, hi))
+        return {i: sorted(x) for i, x in groups.items()}
+
+    want = {i for i in {*of(old), *of(new)} if of(old).get(i) != of(new).get(i)}
+    assert {r[0] for r in N.changed_ids(before, after).collect()} == want
+    monkeypatch.setattr(stages, "PASS_ROWS", 100)
+    found = [r[0] for r in N._changed(before, after, "changed-load").collect()]
+    assert set(found) == want and len(found) == len(want)
+    assert sum(f.startswith("changed-load") for f in folders(spark)) == 4
+
+
 @pytest.mark.parametrize("at_once", [3, 1 << 20])
 def test_components_keep_one_step_on_disk(spark, monkeypatch, at_once):
     monkeypatch.setattr(K, "EDGES_AT_ONCE", at_once)
